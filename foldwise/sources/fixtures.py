@@ -216,3 +216,15 @@ def y1(spark: SparkSession, d: str) -> DataFrame:
         # same IEEE arithmetic, so tie-inducing 2-decimal scores agree bit for bit
         out = out.withColumn(f"score_{m}", F.floor((u * 0.7 + F.col("y") * shift) * 100 + 0.5) / 100.0)
     return out
+
+
+KR_FEATURES = ["n_orders", "recency_days", "is_building", "acctbal_k"]
+
+
+def kr(spark: SparkSession, d: str) -> DataFrame:
+    """Neighbour-regression stand-in: per customer, target = spend / 1e5."""
+    m = m1(spark, d)
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("row_id"),
+                                           (F.col("c_acctbal") / 1000.0).alias("acctbal_k"))
+    j = m.join(c, "row_id")
+    return j.select("row_id", (F.col("total_spend") / 100000.0).alias("target"), *KR_FEATURES)

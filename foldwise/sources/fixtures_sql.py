@@ -138,3 +138,9 @@ from orders
 def with_(**ctes: str) -> str:
     """``WITH name AS (...), ...`` prefix for an oracle query."""
     return "with " + ",\n".join(f"{k} as ({v})" for k, v in ctes.items()) + "\n"
+
+KR = f"""
+select m.row_id, m.total_spend / 100000.0 as target, m.n_orders, m.recency_days, m.is_building,
+       c.c_acctbal / 1000.0 as acctbal_k
+from ({M1}) m join customer c on m.row_id = c.c_custkey
+"""
