@@ -94,9 +94,9 @@ def fit_scaler(df: DataFrame, cols: list[str], kind: str = "standard", fold_col:
         return per.select(*out)
     if kind == "robust":
         if cv:  # each row is train data for the K-1 other folds
-            k = base.agg(F.max(fc) + 1).scalar()
-            others = F.filter(F.sequence(F.lit(0), k - 1), lambda f: f != F.col(fc))
-            lab = base.withColumn("fold", F.explode(others)).drop(fc)
+            k = int(base.agg(F.max(fc)).first()[0]) + 1   # number of folds (a small scalar)
+            others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda f: f != F.col(fc))
+            lab = base.withColumn("_tf", F.explode(others)).drop(fc).withColumnRenamed("_tf", "fold")
         else:
             lab = base.withColumnRenamed(fc, "fold")
         q = exact_quantiles(lab, cols, [0.25, 0.5, 0.75], by=["fold"])

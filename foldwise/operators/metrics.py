@@ -198,9 +198,10 @@ def mean_std(df: DataFrame, by: list[str], cols: list[str]) -> DataFrame:
 
 def summary(df: DataFrame, by: list[str], col: str, digits: int = 4) -> DataFrame:
     """Grouped mean, sample std, min, max, rounded."""
-    return df.groupBy(*by).agg(F.round(F.avg(col), digits).alias("mean"),
-                               F.round(F.stddev_samp(col), digits).alias("std"),
-                               F.round(F.min(col), digits).alias("min"), F.round(F.max(col), digits).alias("max"))
+    from foldwise.plans.catalog import sql_round
+    return df.groupBy(*by).agg(sql_round(F.avg(col), digits).alias("mean"),
+                               sql_round(F.stddev_samp(col), digits).alias("std"),
+                               sql_round(F.min(col), digits).alias("min"), sql_round(F.max(col), digits).alias("max"))
 
 
 def rank_avg(df: DataFrame, by: list[str], value: str, out: str = "rank") -> DataFrame:

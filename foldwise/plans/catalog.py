@@ -25,10 +25,20 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def sql_round(c: str | Column, digits: int = 6) -> Column:
+    """round(x, d) the way SQL engines round doubles: scale, round half away
+    from zero on the binary value, unscale (Spark's ``round`` rounds the
+    decimal text instead, which differs on values like 8.0109415)."""
+    col = (F.col(c) if isinstance(c, str) else c).cast("double")
+    m = float(10 ** digits)
+    # beyond 1e12 the scaled value leaves the long range used by floor();
+    # doubles that large carry no digits at 1e-6 to round anyway
+    return F.when(F.abs(col) >= 1e12, col).otherwise(F.signum(col) * F.floor(F.abs(col) * m + 0.5) / m)
+
+
 def r6(c: str | Column) -> Column:
     """Round a result column to 6 places (both engines round the same way)."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.round(col.cast("double"), 6)
+    return sql_round(c, 6)
 
 
 def key_sql(seed, salt: str, id_expr: str = "row_id", extra: str | None = None) -> str:

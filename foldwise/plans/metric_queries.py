@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from foldwise.operators import metrics as M
 from foldwise.operators import split as S
-from foldwise.plans.catalog import key_sql, r6, register
+from foldwise.plans.catalog import key_sql, r6, register, sql_round
 from foldwise.sources import fixtures as fx
 from foldwise.sources import fixtures_sql as fq
 from foldwise.sources.tables import table
@@ -282,7 +282,7 @@ def importance_vectors(spark, d):
     parts = []
     for i, thr in enumerate(THRESHOLDS, start=1):
         y = (F.col("net") > thr).cast("double")
-        row = base.agg(*[F.round(F.abs(F.corr(F.col(c).cast("double"), y)), 2).alias(c) for c in fx.T_NUMERIC])
+        row = base.agg(*[sql_round(F.abs(F.corr(F.col(c).cast("double"), y)), 2).alias(c) for c in fx.T_NUMERIC])
         arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in fx.T_NUMERIC])
         parts.append(row.select(F.lit(f"t{i}").alias("model"), F.explode(arr).alias("fv"))
                      .select("model", "fv.feature", "fv.value"))
