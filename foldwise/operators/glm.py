@@ -81,6 +81,13 @@ def class_balanced_weights(df: DataFrame, label: str = "target", out: str = "w")
 
 
 # ------------------------------------------------------------------ batched Newton solver
+def _conds(subset) -> list:
+    """Normalise a subset spec: None, one (col, op, value) or a list of them (AND)."""
+    if subset is None:
+        return []
+    return [subset] if isinstance(subset, tuple) else list(subset)
+
+
 class LogitSpec:
     """One L2 logistic model of a batch: C * sum(w_i * loss_i) + 1/2 |beta|^2
     (intercept free) over the rows where ``subset`` holds.
@@ -104,7 +111,7 @@ def newton_logistic(df: DataFrame, specs: list[LogitSpec], label: str = "target"
     Returns {key: (coef array, intercept)}."""
     import pandas as pd
 
-    cols = sorted({c for s in specs for c in s.features} | {s.subset[0] for s in specs if s.subset}
+    cols = sorted({c for s in specs for c in s.features} | {c for s in specs for c, _, _ in _conds(s.subset)}
                   | {s.weight for s in specs if s.weight})
     base = df.select(F.col(label).cast("double").alias("_y"), *[F.col(c) for c in cols]).cache()
     beta = {s.key: np.zeros(len(s.features) + 1) for s in specs}
@@ -122,11 +129,10 @@ def newton_logistic(df: DataFrame, specs: list[LogitSpec], label: str = "target"
             for b in batches:
                 y_all = b["_y"].to_numpy()
                 for k, (feats, subset, wcol, bt) in models.items():
-                    if subset is not None:
-                        col, op, val = subset
-                        m = (b[col].to_numpy() == val) if op == "==" else (b[col].to_numpy() != val)
-                    else:
-                        m = np.ones(len(b), dtype=bool)
+                    m = np.ones(len(b), dtype=bool)
+                    for col, op, val in _conds(subset):
+                        v = b[col].to_numpy()
+                        m &= (v == val) if op == "==" else (v != val)
                     if not m.any():
                         continue
                     X = np.hstack([np.ones((int(m.sum()), 1)), b.loc[m, feats].to_numpy(dtype=np.float64)])
@@ -198,8 +204,9 @@ def batch_accuracy(test: DataFrame, fits: dict, features: dict, label: str = "ta
             z = z + F.col(c) * float(w)
         hit = ((z > 0).cast("int") == F.col(label)).cast("double")
         if subsets and subsets.get(k):
-            col, op, val = subsets[k]
-            cond = (F.col(col) == val) if op == "==" else (F.col(col) != val)
+            cond = F.lit(True)
+            for col, op, val in _conds(subsets[k]):
+                cond = cond & ((F.col(col) == val) if op == "==" else (F.col(col) != val))
             hit = F.when(cond, hit)
         aggs.append(F.avg(hit).alias(f"a{i}"))
     row = test.agg(*aggs).first()
