@@ -95,12 +95,14 @@ class LogitSpec:
     subset: (column, op, value) with op in {"==", "!="}, or None for all rows.
     """
 
-    def __init__(self, key, features: list[str], C: float = 1.0, subset=None, weight: str | None = None):
+    def __init__(self, key, features: list[str], C: float = 1.0, subset=None, weight: str | None = None,
+                 loss: str = "log", penalize_intercept: bool = False):
         self.key, self.features, self.C, self.subset, self.weight = key, list(features), float(C), subset, weight
+        self.loss, self.penalize_intercept = loss, penalize_intercept
 
 
-def newton_logistic(df: DataFrame, specs: list[LogitSpec], label: str = "target", max_iter: int = 50,
-                    tol: float = 1e-9) -> dict:
+def newton_logistic(df: DataFrame, specs: list[LogitSpec], label: str = "target", max_iter: int = 30,
+                    tol: float = 1e-7) -> dict:
     """Fit many L2 logistic models with one data pass per Newton iteration.
 
     Every task accumulates, for every still-active model, the gradient and
@@ -121,14 +123,15 @@ def newton_logistic(df: DataFrame, specs: list[LogitSpec], label: str = "target"
     for _ in range(max_iter):
         if not active:
             break
-        bc = sc.broadcast({k: (by_key[k].features, by_key[k].subset, by_key[k].weight, beta[k]) for k in active})
+        bc = sc.broadcast({k: (by_key[k].features, by_key[k].subset, by_key[k].weight, beta[k], by_key[k].loss)
+                           for k in active})
 
         def part(batches):
             models = bc.value
             acc: dict = {}
             for b in batches:
                 y_all = b["_y"].to_numpy()
-                for k, (feats, subset, wcol, bt) in models.items():
+                for k, (feats, subset, wcol, bt, loss) in models.items():
                     m = np.ones(len(b), dtype=bool)
                     for col, op, val in _conds(subset):
                         v = b[col].to_numpy()
@@ -139,9 +142,16 @@ def newton_logistic(df: DataFrame, specs: list[LogitSpec], label: str = "target"
                     y = y_all[m]
                     sw = b.loc[m, wcol].to_numpy(dtype=np.float64) if wcol else np.ones(len(y))
                     z = X @ bt
-                    p = 1.0 / (1.0 + np.exp(-z))
-                    g = X.T @ ((p - y) * sw)
-                    H = (X * (p * (1 - p) * sw)[:, None]).T @ X
+                    if loss == "squared_hinge":          # labels to +-1; generalised Hessian
+                        ys = 2 * y - 1
+                        viol = np.maximum(0.0, 1 - ys * z)
+                        g = X.T @ (-2 * ys * viol * sw)
+                        act = (viol > 0) * sw * 2
+                        H = (X * act[:, None]).T @ X
+                    else:
+                        p = 1.0 / (1.0 + np.exp(-z))
+                        g = X.T @ ((p - y) * sw)
+                        H = (X * (p * (1 - p) * sw)[:, None]).T @ X
                     a = acc.setdefault(k, [0, 0])
                     a[0] = a[0] + g
                     a[1] = a[1] + H
@@ -169,7 +179,8 @@ def newton_logistic(df: DataFrame, specs: list[LogitSpec], label: str = "target"
             g, H = tot[str(k)]
             C = by_key[k].C
             reg = np.eye(len(g))
-            reg[0, 0] = 0.0                       # free intercept
+            if not by_key[k].penalize_intercept:
+                reg[0, 0] = 0.0                   # free intercept
             grad = C * g + reg @ beta[k]
             hess = C * H + reg
             step = np.linalg.solve(hess, grad)

@@ -149,9 +149,10 @@ def k10_nested_cv(spark, d, cs=(0.01, 0.1, 1.0, 10.0), outer: int = 5, inner: in
     train set; all 60 inner fits and 5 refits run as two batched Newton jobs."""
     n1 = fx.n1(spark, d)
     p = FE.fit_scaler(n1, N1F, "standard")
-    z = S.kfold(FE.apply_scaler(n1, p, N1F), outer, SEED, by="target", out="outer")
-    for f in range(outer):
-        inn = S.kfold(z.filter(F.col("outer") != f).select("row_id", "target"), inner, SEED, by="target",
+    base = S.kfold(FE.apply_scaler(n1, p, N1F), outer, SEED, by="target", out="outer").cache()
+    z = base
+    for f in range(outer):   # every inner split is drawn from the same cached base (linear plan)
+        inn = S.kfold(base.filter(F.col("outer") != f).select("row_id", "target"), inner, SEED, by="target",
                       salt=f"inner{f}", out=f"inner_{f}").select("row_id", f"inner_{f}")
         z = z.join(inn, "row_id", "left").fillna({f"inner_{f}": -1})
     z = z.cache()
@@ -171,6 +172,7 @@ def k10_nested_cv(spark, d, cs=(0.01, 0.1, 1.0, 10.0), outer: int = 5, inner: in
     refit = G.newton_logistic(z, [G.LogitSpec(f, N1F, best[f][0], ("outer", "!=", f)) for f in range(outer)])
     oacc = G.batch_accuracy(z, refit, {f: N1F for f in range(outer)}, subsets={f: ("outer", "==", f) for f in range(outer)})
     z.unpersist()
+    base.unpersist()
     rows = [(f, float(oacc[f]), float(best[f][0]), best[f][1]) for f in range(outer)]
     return spark.createDataFrame(rows, "outer_fold int, outer_score double, best_C double, inner_best double")
 

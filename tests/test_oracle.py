@@ -11,8 +11,13 @@ from conftest import SF_SMALL
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
+import os
+
 # heavy or non-SQL entries are covered elsewhere
 SKIP = set()
+# many-fit searches: run with FOLDWISE_SLOW=1
+SLOW = {"k4_grid_search", "k5_k6_k7_k8_search_comparison", "k9_n_iter_sensitivity", "g13_ensemble_benchmark",
+        "h2_init_comparison", "f11_optimizer_comparison", "f6_degree_sweep"}
 
 
 def _norm(v):
@@ -42,6 +47,8 @@ def test_query_matches_oracle(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in ORACLE))
 def test_rows_only_query_runs(spark, name):
+    if name in SLOW and not os.environ.get("FOLDWISE_SLOW"):
+        pytest.skip("many-fit search; set FOLDWISE_SLOW=1")
     assert QUERIES[name](spark, SF_SMALL).count() >= 0
 
 
