@@ -302,25 +302,33 @@ def k14_scaler_algo_matrix(spark, d, seeds=(0,), scalers=FE.SCALERS):
 @register("k15_outlier_ablation")
 def k15_outlier_ablation(spark, d, seeds=(0, 1), fracs=(0.0, 0.05, 0.1, 0.2), scalers=("standard", "robust")):
     """Outliers injected into train rows only (x50 on 1..p columns) at several rates;
-    standard vs robust scaling; kNN and logistic accuracy on the clean test rows."""
+    standard vs robust scaling; kNN and logistic accuracy on the clean test rows.
+    Every (seed, rate, scaler) variant is a config id in one long frame: one grouped
+    neighbour join and one batched logistic fit serve all of them."""
     n2 = fx.n2(spark, d)
-    rows = []
+    cfgs, parts = [], []
     for s in seeds:
         h = S.holdout(n2, 0.25, s, by="target")
         for fr in fracs:
             dirty = S.inject_outliers(h, N2F, fr, s, 50.0) if fr > 0 else h
             for sc in scalers:
                 p = FE.fit_scaler(dirty, N2F, sc, train_col="is_test")
-                z = FE.apply_scaler(dirty, p, N2F).cache()
-                te, tr = z.filter("is_test = 1"), z.filter("is_test = 0")
-                nb = KN.knn_join(te, tr, N2F, 5)
-                pr = KN.knn_classify(nb, [5], [], ("uniform",)).join(
-                    n2.select(F.col("row_id").alias("qid"), F.col("target").alias("y")), "qid")
-                rows.append((s, fr, sc, "knn", float(_acc_by(pr.withColumn("g", F.lit(0)), ["g"]).first()["score"])))
-                fit = G.newton_logistic(z, [G.LogitSpec(0, N2F, 1.0, ("is_test", "==", 0))])
-                acc = G.batch_accuracy(te, fit, {0: N2F})[0]
-                rows.append((s, fr, sc, "logistic", float(acc)))
-                z.unpersist()
+                parts.append(FE.apply_scaler(dirty, p, N2F).withColumn("cfg", F.lit(len(cfgs))))
+                cfgs.append((s, fr, sc))
+    z = _union(parts).select("cfg", "row_id", "target", "is_test", *N2F).cache()
+    nb = KN.knn_join(z.filter("is_test = 1"), z.filter("is_test = 0"), N2F, 5, group="cfg")
+    pr = KN.knn_classify(nb, [5], ["cfg"], ("uniform",)).join(
+        n2.select(F.col("row_id").alias("qid"), F.col("target").alias("y")), "qid")
+    knn_acc = {r["cfg"]: r["score"] for r in _acc_by(pr, ["cfg"]).collect()}
+    fits = G.newton_logistic(z, [G.LogitSpec(i, N2F, 1.0, [("cfg", "==", i), ("is_test", "==", 0)])
+                                 for i in range(len(cfgs))])
+    lacc = G.batch_accuracy(z, fits, {i: N2F for i in fits},
+                            subsets={i: [("cfg", "==", i), ("is_test", "==", 1)] for i in fits})
+    z.unpersist()
+    rows = []
+    for i, (s, fr, sc) in enumerate(cfgs):
+        rows.append((s, fr, sc, "knn", float(knn_acc[i])))
+        rows.append((s, fr, sc, "logistic", float(lacc[i])))
     return spark.createDataFrame(rows, "seed int, outlier_frac double, scaler string, algorithm string, test_acc double")
 
 
