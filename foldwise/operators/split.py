@@ -182,3 +182,31 @@ def permute_column(df: DataFrame, col: str, rep: int, seed: int, id_col: str = "
     dst = df.withColumn("_k", _key(seed, f"{salt}-{col}-{rep}-dst", id_col))
     r_dst = global_rank(dst, "_k", id_col, out="_r").drop("_k")
     return r_dst.join(r_src, "_r").withColumn(col, F.col("_v")).drop("_r", "_v")
+
+
+def permute_all(df: DataFrame, cols: list[str], reps: int, seed: int, id_col: str = "row_id",
+                salt: str = "perm", keep: list[str] | None = None) -> DataFrame:
+    """All (feature, repeat) permutations as one long frame.
+
+    Rows are replicated once per (feature, repeat) by a generator; two
+    ranks partitioned by (feature, repeat) pair position r of a source
+    hashed order with position r of a target order, and one equi-join on
+    (feature, rep, r) moves the values.  Output: the input columns (with
+    ``feature`` permuted) plus ``feature`` and ``rep`` — the same
+    permutation as :func:`permute_column` for each pair."""
+    keep = list(keep or [c for c in df.columns])
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(r).alias("rep")) for c in cols for r in range(reps)])
+    vals = F.create_map(*[x for c in cols for x in (F.lit(c), F.col(c).cast("double"))])
+    long = df.select(*keep, F.explode(pairs).alias("_p"), vals.alias("_vals")).select(
+        *keep, "_p.feature", "_p.rep", "_vals")
+    tag = F.concat_ws("-", F.lit(salt), F.col("feature"), F.col("rep").cast("string"))
+    src = long.withColumn("_k", F.md5(F.concat_ws("-", F.lit(str(seed)), tag, F.lit("src"), F.col(id_col).cast("string"))))
+    src = global_rank(src, "_k", id_col, by=["feature", "rep"], out="_r").select(
+        "feature", "rep", "_r", F.element_at("_vals", F.col("feature")).alias("_v"))
+    dst = long.withColumn("_k", F.md5(F.concat_ws("-", F.lit(str(seed)), tag, F.lit("dst"), F.col(id_col).cast("string"))))
+    dst = global_rank(dst, "_k", id_col, by=["feature", "rep"], out="_r").drop("_k", "_vals")
+    j = dst.join(src, ["feature", "rep", "_r"])
+    for c in cols:
+        if c in keep:
+            j = j.withColumn(c, F.when(F.col("feature") == c, F.col("_v")).otherwise(F.col(c)))
+    return j.drop("_r", "_v")

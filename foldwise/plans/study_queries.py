@@ -369,12 +369,9 @@ def j26_permutation_importance(spark, d, reps: int = 5):
     z = FE.apply_scaler(h, p, N2F).cache()
     coef, b0 = G.newton_logistic(z, [G.LogitSpec(0, N2F, 1.0, ("is_test", "==", 0))])[0]
     te = z.filter("is_test = 1").select("row_id", "target", *N2F)
-    parts = [te.select("row_id", "target", *N2F, F.lit("__base__").alias("feature"), F.lit(-1).alias("rep"))]
-    for c in N2F:
-        for r in range(reps):
-            parts.append(S.permute_column(te, c, r, SEED).select(
-                "row_id", "target", *N2F, F.lit(c).alias("feature"), F.lit(r).alias("rep")))
-    long = G.logit_score(_union(parts), N2F, coef, b0)
+    base_rows = te.select("row_id", "target", *N2F, F.lit("__base__").alias("feature"), F.lit(-1).alias("rep"))
+    perm = S.permute_all(te, N2F, reps, SEED).select("row_id", "target", *N2F, "feature", "rep")
+    long = G.logit_score(base_rows.unionByName(perm), N2F, coef, b0)
     acc = long.groupBy("feature", "rep").agg(
         F.avg(((F.col("score") >= 0.5).cast("int") == F.col("target")).cast("double")).alias("acc"))
     base = acc.filter("feature = '__base__'").select(F.col("acc").alias("base"))
@@ -396,11 +393,9 @@ def j27_importance_compare(spark, d):
     imp = spark.createDataFrame([(c, float(v)) for c, v in zip(fx.T_NUMERIC, m.featureImportances.toArray())],
                                 "feature string, tree_importance double")
     te = h.filter("is_test = 1").select("row_id", "target", *fx.T_NUMERIC)
-    parts = [te.withColumn("feature", F.lit("__base__")).withColumn("rep", F.lit(-1))]
-    for c in fx.T_NUMERIC:
-        for r in range(3):
-            parts.append(S.permute_column(te, c, r, SEED).withColumn("feature", F.lit(c)).withColumn("rep", F.lit(r)))
-    long = G.assemble(_union(parts), fx.T_NUMERIC)
+    base_rows = te.withColumn("feature", F.lit("__base__")).withColumn("rep", F.lit(-1))
+    perm = S.permute_all(te, fx.T_NUMERIC, 3, SEED).select("row_id", "target", *fx.T_NUMERIC, "feature", "rep")
+    long = G.assemble(base_rows.unionByName(perm), fx.T_NUMERIC)
     sc = m.transform(long).select("feature", "rep", F.col("target").alias("y"),
                                   vector_to_array("probability")[1].alias("score"))
     auc = M.roc_auc(sc, ["feature", "rep"])

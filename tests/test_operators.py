@@ -69,3 +69,11 @@ def test_bootstrap_draws_size(spark):
     n = n2.count()
     assert d.count() == 20 * n
     assert d.groupBy("b").count().agg(F.min("count"), F.max("count")).first() == (n, n)
+
+
+def test_permute_all_matches_permute_column(spark):
+    n2 = fx.n2(spark, SF_SMALL).select("row_id", "target", *fx.N2_FEATURES)
+    one = S.permute_column(n2, "c_acctbal", 1, 0).select("row_id", "c_acctbal")
+    allp = S.permute_all(n2, ["spend_high", "c_acctbal"], 2, 0).filter(
+        (F.col("feature") == "c_acctbal") & (F.col("rep") == 1)).select("row_id", "c_acctbal")
+    assert sorted(one.collect()) == sorted(allp.collect())
