@@ -236,8 +236,8 @@ scored as (select pred.*, h.target as y from pred join h on pred.qid = h.row_id)
 g as (select k, weights, metric, scaled, split, 1 - sum((y - pred) * (y - pred))
                / (sum(y * y) - count(*) * avg(y) * avg(y)) as r2, avg(abs(y - pred)) as mae
       from scored group by k, weights, metric, scaled, split)
-select a.k, a.weights, a.metric, a.scaled, round(a.r2, 6) as train_r2, round(b.r2, 6) as test_r2,
-       round(b.mae, 6) as test_mae
+select a.k, a.weights, a.metric, a.scaled, round(a.r2, 6) + 0.0 as train_r2, round(b.r2, 6) + 0.0 as test_r2,
+       round(b.mae, 6) + 0.0 as test_mae
 from g a join g b on a.k = b.k and a.weights = b.weights and a.metric = b.metric and a.scaled = b.scaled
 where a.split = 'train' and b.split = 'test'"""
 
@@ -247,8 +247,9 @@ def e4_knn_regression_grid(spark, d):
     """k x weights x metric x scaled regression grid: train/test R², test MAE."""
     g = KS.knn_regression_grid(fx.kr(spark, d), fx.KR_FEATURES, REG_K)
     return g.select(F.col("k").cast("int").alias("k"), "weights", "metric", "scaled",
-                    r6("train_r2").alias("train_r2"), r6("test_r2").alias("test_r2"),
-                    r6("test_mae").alias("test_mae"))
+                    # + 0.0 folds a rounded -0.0 (R² of exactly 0 when k covers the whole train set)
+                    (r6("train_r2") + 0.0).alias("train_r2"), (r6("test_r2") + 0.0).alias("test_r2"),
+                    (r6("test_mae") + 0.0).alias("test_mae"))
 
 
 # ------------------------------------------------------------------ E5

@@ -201,9 +201,9 @@ def b2_drop_incomplete_features(spark, d):
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count("target").alias("n_target"))
 
 
-@register("b3_binarise", fq.with_(n1=fq.N1, c1=fq.C1) + """select 'gt0' as rule, sum(case when sum_qty > 100 then 1 else 0 end) as n_pos from n1
-union all select 'eq2', sum(case when o_month = 2 then 1 else 0 end) from n1
-union all select 'eqp', sum(case when o_orderstatus = 'P' then 1 else 0 end) from c1""")
+@register("b3_binarise", fq.with_(n1=fq.N1, c1=fq.C1) + """select 'gt0' as rule, cast(sum(case when sum_qty > 100 then 1 else 0 end) as bigint) as n_pos from n1
+union all select 'eq2', cast(sum(case when o_month = 2 then 1 else 0 end) as bigint) from n1
+union all select 'eqp', cast(sum(case when o_orderstatus = 'P' then 1 else 0 end) as bigint) from c1""")
 def b3_binarise(spark, d):
     """Three predicate targets: a threshold, an equality on a number, on a string."""
     n1, c1 = fx.n1(spark, d), fx.c1(spark, d)
