@@ -17,7 +17,9 @@ import os
 SKIP = set()
 # many-fit searches: run with FOLDWISE_SLOW=1
 SLOW = {"k4_grid_search", "k5_k6_k7_k8_search_comparison", "k9_n_iter_sensitivity", "g13_ensemble_benchmark",
-        "h2_init_comparison", "f11_optimizer_comparison", "f6_degree_sweep"}
+        "h2_init_comparison", "f11_optimizer_comparison", "f6_degree_sweep", "f15_sgd_grid", "f18_epoch_curve",
+        "k11_splitter_variance", "k12_fold_count", "k14_k17_scaler_algo_matrix", "k15_outlier_ablation",
+        "h4_minibatch_vs_full", "h5_k_sweep", "j27_importance_compare"}
 
 
 def _norm(v):
