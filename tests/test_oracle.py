@@ -9,8 +9,8 @@ import __spark_entry__ as E
 
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+_E = E._load()
+QUERIES, ORACLE = dict(_E.QUERIES), dict(_E.ORACLE)
 import os
 
 # heavy or non-SQL entries are covered elsewhere
