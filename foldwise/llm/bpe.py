@@ -15,7 +15,7 @@ itself, without special tokens.
 Defined cases: a null text is an empty one and has no ids; repeated rows
 are encoded alike; every column of the input is kept; an empty table gives
 an empty table.  A row is never cut: memory per task is one Arrow batch
-plus a cache of at most ``_CACHE`` short strings.
+plus caches of a fixed number of short strings.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import ahocorasick
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import regex
@@ -32,13 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: white space as the pattern's ``\s`` reads it (the Unicode White_Space property)
-_WS = "\t-\r \x85\xa0  -     　"
-#: words with their leading blank, and white-space runs cut as the pattern cuts
-#: them: no match of the pattern crosses the border of two of these pieces
-_CHUNK = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
-#: entries of the per-process cache, and the longest string it keeps
-_CACHE, _CACHED_LEN = 500_000, 48
+#: the public pattern for Python's ``re``, right for texts without characters of ``_RARE``
+_FAST = re.compile("'s|'t|'re|'ve|'m|'ll|'d| ?[^\\W\\d_]+| ?\\d+| ?(?:[^\\w\\s]|_)+|\\s+(?!\\S)|\\s+")
+#: characters that ``re`` and the pattern's own syntax may class differently:
+#: separators below the blank, numbers that are no digits, all beyond Latin
+_RARE = re.compile("[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbe\u0250-\U0010ffff]")
+#: a blank before a word: a match of the public pattern always ends before it
+_BORDER = regex.compile(r" \S")
+#: pieces and pairs a worker remembers, and the longest piece it keeps
+_CACHE, _PAIRS, _CACHED_LEN = 250_000, 400_000, 48
 _NEVER = float("inf")
 
 
@@ -52,21 +55,27 @@ def default_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    out: dict[bytes, int] = {}
+    with open(path, "rb") as f:
+        for line in f:
+            if line.strip():
+                token, rank = line.split()
+                out[base64.b64decode(token)] = int(rank)
+    return out
+
+
 class Encoder:
     """Ranks and pattern of one tokenizer, with memo tables per process."""
 
     def __init__(self, path: str, pattern: str):
-        self.ranks: dict[bytes, int] = {}
-        with open(path, "rb") as f:
-            for line in f:
-                if line.strip():
-                    token, rank = line.split()
-                    self.ranks[base64.b64decode(token)] = int(rank)
+        self.ranks = read_ranks(path)
         self.bytes_of = {r: b for b, r in self.ranks.items()}
         self.longest = max(map(len, self.ranks))
         self.pattern = regex.compile(pattern)
         self._pairs: dict[int, bool] = {}
-        self._chunks: dict[str, tuple[int, ...]] = {}
+        self._pieces: dict[str, tuple[int, ...]] = {}
+        self._public = pattern == default_pattern()
         #: tokens that are the encoding of their own bytes, and how the last and
         #: the first part of those bytes grow while they are merged: (bytes, rank)
         self.usable: dict[bytes, int] = {}
@@ -81,6 +90,11 @@ class Encoder:
                     last.append((parts[-1], self.ranks[parts[-1]]))
             if len(parts) == 1:
                 self.usable[b], self._left[r], self._right[r] = r, first, last
+        # finds all tokens that end at each byte, the longest first
+        self._ends = ahocorasick.Automaton()
+        for b, r in self.usable.items():
+            self._ends.add_word(b.decode("latin-1"), (len(b), r))
+        self._ends.make_automaton()
 
     # ------------------------------------------------------------ definition
     def _merge(self, parts: list[bytes]) -> int | None:
@@ -128,27 +142,29 @@ class Encoder:
     def extend(self, data: bytes, last: list[int], stop=None) -> None:
         """Append to ``last`` the one token that ends the encoding of each longer
         prefix of ``data``, until ``stop`` (if given) says so."""
-        get, pairs, longest, add = self.usable.get, self._pairs, self.longest, last.append
-        for i in range(len(last), len(data) + 1):
-            for j in range(i - longest if i > longest else 0, i):
-                t = get(data[j:i])
-                if t is None:
-                    continue
-                if j:
-                    key = last[j] << 32 | t
-                    ok = pairs.get(key)
-                    if ok is None:
-                        if len(pairs) > 1_000_000:
-                            pairs.clear()
-                        ok = pairs[key] = self.pair(last[j], t)
-                    if not ok:
-                        continue
-                add(t)
+        pairs, size = self._pairs, len(last)
+        known = pairs.get
+        for end, (n, t) in self._ends.iter(data.decode("latin-1"), max(0, size - self.longest)):
+            if end + 1 < size:
+                continue
+            if end + 1 > size:
                 break
-            else:
-                raise ValueError("the vocabulary lacks a byte")
-            if stop is not None and stop(i):
+            j = size - n
+            if j:
+                key = last[j] << 32 | t
+                ok = known(key)
+                if ok is None:
+                    if len(pairs) >= _PAIRS:
+                        pairs.clear()
+                    ok = pairs[key] = self.pair(last[j], t)
+                if not ok:
+                    continue
+            last.append(t)
+            size += 1
+            if stop is not None and stop(size - 1):
                 return
+        if size <= len(data):
+            raise ValueError("the vocabulary lacks a byte")
 
     def piece(self, data: bytes) -> list[int]:
         """Encoding of one match of the pattern."""
@@ -157,23 +173,22 @@ class Encoder:
             return [whole]
         return PrefixState(self, data).tokens()
 
-    def chunk(self, s: str) -> tuple[int, ...]:
-        ids = self._chunks.get(s)
-        if ids is None:
-            ids = tuple(t for m in self.pattern.findall(s) for t in self.piece(m.encode()))
-            if len(s) <= _CACHED_LEN:
-                if len(self._chunks) >= _CACHE:
-                    self._chunks.clear()
-                self._chunks[s] = ids
+    def remember(self, s: str) -> tuple[int, ...]:
+        ids = tuple(self.piece(s.encode()))
+        if len(s) <= _CACHED_LEN:
+            if len(self._pieces) >= _CACHE:
+                self._pieces.clear()
+            self._pieces[s] = ids
         return ids
 
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
         out: list[int] = []
-        get, add = self._chunks.get, out.extend
-        for s in _CHUNK.findall(text):
-            add(get(s) or self.chunk(s))
+        get, add = self._pieces.get, out.extend
+        find = _FAST.findall if self._public and not _RARE.search(text) else self.pattern.findall
+        for s in find(text):
+            add(get(s) or self.remember(s))
         return out
 
     def decode(self, ids) -> bytes:
@@ -183,7 +198,7 @@ class Encoder:
         """Ids of ``text + added`` from those of ``text``: only the text from its
         last blank before a word on is encoded again (a match always ends there)."""
         text, added = text or "", added or ""
-        at = max((m.start() for m in re.finditer(f" [^{_WS}]", text)), default=0)
+        at = max((m.start() for m in _BORDER.finditer(text)), default=0) if self._public else 0
         tail = self.encode(text[at:])
         return list(ids[:len(ids) - len(tail)]) + self.encode(text[at:] + added)
 
@@ -236,6 +251,12 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
+@lru_cache(maxsize=4)
+def token_bytes(path: str) -> dict[int, bytes]:
+    """What decoding needs: the bytes of every token."""
+    return {r: b for b, r in read_ranks(path).items()}
+
+
 # ------------------------------------------------------------------ DataFrame
 def encode_documents(df: DataFrame, text: str = "text", out: str = "ids",
                      path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -257,18 +278,20 @@ def encode_documents(df: DataFrame, text: str = "text", out: str = "ids",
     return base.mapInArrow(run, schema)
 
 
-def decode_documents(df: DataFrame, ids: str = "ids", out: str = "decoded",
-                     path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """``df`` with the binary column ``out``: the bytes of the tokens in ``ids``."""
-    path, pattern = path or default_path(), pattern or default_pattern()
+def decode_documents(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str | None = None) -> DataFrame:
+    """``df`` with the binary column ``out``: the bytes of the tokens in ``ids``
+    (a null array: no bytes)."""
+    path = path or default_path()
     base = df.drop(out)
     schema = T.StructType(base.schema.fields + [T.StructField(out, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path, pattern)
+        get = token_bytes(path).__getitem__
         for b in batches:
-            data = pa.array([enc.decode(x or ()) for x in b.column(ids).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*b.columns, data], [*b.schema.names, out])
+            for at in range(0, b.num_rows, 1000):
+                part = b.slice(at, 1000)
+                data = pa.array([b"".join(map(get, x or ())) for x in part.column(ids).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, data], schema.names)
 
     return base.mapInArrow(run, schema)
 
