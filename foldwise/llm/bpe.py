@@ -22,10 +22,12 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import regex
@@ -41,7 +43,7 @@ _RARE = re.compile("[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbe\u0250-\U0010ffff]")
 #: a blank before a word: a match of the public pattern always ends before it
 _BORDER = regex.compile(r" \S")
 #: pieces and pairs a worker remembers, and the longest piece it keeps
-_CACHE, _PAIRS, _CACHED_LEN = 250_000, 400_000, 48
+_CACHE, _PAIRS, _CACHED_LEN = 300_000, 400_000, 48
 _NEVER = float("inf")
 
 
@@ -71,25 +73,16 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         self.ranks = read_ranks(path)
         self.bytes_of = {r: b for b, r in self.ranks.items()}
-        self.longest = max(map(len, self.ranks))
+        self._length = {r: len(b) for b, r in self.ranks.items()}
+        self.longest = max(self._length.values())
         self.pattern = regex.compile(pattern)
         self._pairs: dict[int, bool] = {}
         self._pieces: dict[str, tuple[int, ...]] = {}
+        self._old: dict[str, tuple[int, ...]] = {}
         self._public = pattern == default_pattern()
-        #: tokens that are the encoding of their own bytes, and how the last and
-        #: the first part of those bytes grow while they are merged: (bytes, rank)
-        self.usable: dict[bytes, int] = {}
-        self._right: dict[int, list[tuple[bytes, float]]] = {}
-        self._left: dict[int, list[tuple[bytes, float]]] = {}
-        for b, r in self.ranks.items():
-            first, last, parts = [(b[:1], -1)], [(b[-1:], -1)], [b[i:i + 1] for i in range(len(b))]
-            while (at := self._merge(parts)) is not None:
-                if at == 0:
-                    first.append((parts[0], self.ranks[parts[0]]))
-                if at == len(parts) - 1:
-                    last.append((parts[-1], self.ranks[parts[-1]]))
-            if len(parts) == 1:
-                self.usable[b], self._left[r], self._right[r] = r, first, last
+        #: tokens that are the encoding of their own bytes
+        self.usable = {b: r for b, r in self.ranks.items() if self.merged(b) == [r]}
+        self._border: dict[int, tuple[list, list]] = {}
         # finds all tokens that end at each byte, the longest first
         self._ends = ahocorasick.Automaton()
         for b, r in self.usable.items():
@@ -116,6 +109,21 @@ class Encoder:
             pass
         return [self.ranks[p] for p in parts]
 
+    def border(self, token: int) -> tuple[list, list]:
+        """How the first and the last part of the token's bytes grow while they
+        are merged: (bytes, rank of the merge)."""
+        got = self._border.get(token)
+        if got is None:
+            b = self.bytes_of[token]
+            first, last, parts = [(b[:1], -1)], [(b[-1:], -1)], [b[i:i + 1] for i in range(len(b))]
+            while (at := self._merge(parts)) is not None:
+                if at == 0:
+                    first.append((parts[0], self.ranks[parts[0]]))
+                if at == len(parts) - 1:
+                    last.append((parts[-1], self.ranks[parts[-1]]))
+            got = self._border[token] = first, last
+        return got
+
     def pair(self, left: int, right: int) -> bool:
         """Whether the two tokens stay as they are when put side by side.
 
@@ -123,7 +131,7 @@ class Encoder:
         border, by rank; they stay unless a merge across the border has its
         turn before one of them (of equal ranks the leftmost goes first).
         """
-        a, b, get = self._right[left], self._left[right], self.ranks.get
+        a, b, get = self.border(left)[1], self.border(right)[0], self.ranks.get
         i = j = 0
         while True:
             na = a[i + 1][1] if i + 1 < len(a) else _NEVER
@@ -142,24 +150,22 @@ class Encoder:
     def extend(self, data: bytes, last: list[int], stop=None) -> None:
         """Append to ``last`` the one token that ends the encoding of each longer
         prefix of ``data``, until ``stop`` (if given) says so."""
-        pairs, size = self._pairs, len(last)
-        known = pairs.get
+        pairs, size, add = self._pairs, len(last), last.append
         for end, (n, t) in self._ends.iter(data.decode("latin-1"), max(0, size - self.longest)):
-            if end + 1 < size:
+            if end < size - 1:
                 continue
-            if end + 1 > size:
+            if end >= size:
                 break
-            j = size - n
-            if j:
-                key = last[j] << 32 | t
-                ok = known(key)
+            if n != size:
+                left = last[size - n]
+                ok = pairs.get(left << 32 | t)
                 if ok is None:
                     if len(pairs) >= _PAIRS:
                         pairs.clear()
-                    ok = pairs[key] = self.pair(last[j], t)
+                    ok = pairs[left << 32 | t] = self.pair(left, t)
                 if not ok:
                     continue
-            last.append(t)
+            add(t)
             size += 1
             if stop is not None and stop(size - 1):
                 return
@@ -171,13 +177,30 @@ class Encoder:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        return PrefixState(self, data).tokens()
+        last = [-1]
+        self.extend(data, last)
+        return self.backwards(last, len(data))
+
+    def backwards(self, last: list[int], i: int) -> list[int]:
+        """The encoding of the prefix of ``i`` bytes from the table."""
+        out, length = [], self._length
+        while i:
+            t = last[i]
+            out.append(t)
+            i -= length[t]
+        out.reverse()
+        return out
 
     def remember(self, s: str) -> tuple[int, ...]:
-        ids = tuple(self.piece(s.encode()))
+        """Encoding of a piece that is not in the young cache.  When that is full
+        it becomes the old one, so what is seen again and again stays."""
+        ids = self._old.get(s)
+        if ids is None:
+            ids = tuple(self.piece(s.encode()))
         if len(s) <= _CACHED_LEN:
             if len(self._pieces) >= _CACHE:
-                self._pieces.clear()
+                self._old = self._pieces
+                self._pieces = {}
             self._pieces[s] = ids
         return ids
 
@@ -185,10 +208,10 @@ class Encoder:
         if not text:
             return []
         out: list[int] = []
-        get, add = self._pieces.get, out.extend
+        add = out.extend
         find = _FAST.findall if self._public and not _RARE.search(text) else self.pattern.findall
         for s in find(text):
-            add(get(s) or self.remember(s))
+            add(self._pieces.get(s) or self.remember(s))
         return out
 
     def decode(self, ids) -> bytes:
@@ -237,12 +260,7 @@ class PrefixState:
 
     def tokens(self, upto: int | None = None) -> list[int]:
         """Encoding of the prefix of ``upto`` bytes (all of them by default)."""
-        i, out = len(self.data) if upto is None else upto, []
-        while i:
-            t = self.last[i]
-            out.append(t)
-            i -= len(self.enc.bytes_of[t])
-        return out[::-1]
+        return self.enc.backwards(self.last, len(self.data) if upto is None else upto)
 
 
 @lru_cache(maxsize=4)
@@ -272,8 +290,12 @@ def encode_documents(df: DataFrame, text: str = "text", out: str = "ids",
         enc = encoder(path, pattern)
         for b in batches:
             for part in slices(b, text):
-                ids = pa.array([enc.encode(t) for t in part.column(text).to_pylist()], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, out])
+                flat, ends = array("i"), [0]
+                for t in part.column(text).to_pylist():
+                    flat.extend(enc.encode(t))
+                    ends.append(len(flat))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
+                yield pa.RecordBatch.from_arrays([*part.columns, lists], schema.names)
 
     return base.mapInArrow(run, schema)
 
@@ -290,7 +312,10 @@ def decode_documents(df: DataFrame, ids: str = "ids", out: str = "decoded", path
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
-                data = pa.array([b"".join(map(get, x or ())) for x in part.column(ids).to_pylist()], pa.binary())
+                col = part.column(ids)
+                flat, n = col.flatten().to_numpy().tolist(), pa.compute.list_value_length(col).to_pylist()
+                ends = np.cumsum([0, *(k or 0 for k in n)])
+                data = pa.array([b"".join(map(get, flat[i:j])) for i, j in zip(ends, ends[1:])], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns, data], schema.names)
 
     return base.mapInArrow(run, schema)
