@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import bpe, decontaminate, langid, licenses, lm, pii, quality
+from foldwise.llm import bpe, decontaminate, langid, licenses, lm, neardup, pii, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -39,6 +39,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.fit(docs)).select("doc_id", *pii.digests())
 
 
+@query("op4_minhash_neardup", neardup.ORACLE)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 @query("op5_lm_score")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
