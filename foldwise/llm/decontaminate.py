@@ -190,21 +190,16 @@ def _batches(batches, most: int = 16 << 20):
         yield from slices(b, "_text", most)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id",
-                  text: str = "text", item_id: str = "item_id", item_text: str = "text",
-                  block_bytes: int = 16 << 20) -> DataFrame:
-    """One row per document: the id, ``n_words``, ``n_hit`` (words inside any
-    occurrence of a window), ``items`` (sorted distinct ids of the items with
-    occurring windows), ``contaminated``."""
-    spark = docs.sparkSession
-    frame = with_key(docs, id_col, text).select("_id", "_text", F.lit(None).cast("binary").alias("_hits"),
-                                                F.lit(None).cast("array<string>").alias("_items"))
-    id_type = frame.schema["_id"].dataType.simpleString()
-    schema = f"_id {id_type}, _text string, _hits binary, _items array<string>"
+def _marked(frame: DataFrame, blocks_: list[Block]) -> DataFrame:
+    """``frame`` (with ``_text``) after a search for every block, one after the
+    other: ``_hits``, the bits of the hit words (null: none), ``_items``."""
+    spark = frame.sparkSession
+    frame = frame.withColumn("_hits", F.lit(None).cast("binary")).withColumn("_items", F.lit(None).cast("array<string>"))
 
     def mark(sent):
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block = sent.value
+            names = max(1, len(block.names))
             for b in _batches(parts):
                 shard = Shard(b.column("_text").to_pylist(), block)
                 place, size, item = shard.windows(block)
@@ -212,29 +207,32 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
                 np.add.at(cover, place, 1)
                 np.add.at(cover, place + size, -1)
                 hit = np.cumsum(cover) > 0
-                pairs = np.unique(shard.doc_of(place) * max(1, len(block.names)) + item)
+                pairs = np.unique(shard.doc_of(place) * names + item)
                 found: dict[int, set] = {}
-                for d, i in zip(pairs // max(1, len(block.names)), pairs % max(1, len(block.names))):
+                for d, i in zip(pairs // names, pairs % names):
                     found.setdefault(int(d), set()).add(block.names[i])
-                before, hits, items = b.column("_hits").to_pylist(), [], []
-                old = b.column("_items").to_pylist()
-                for d, (s, n) in enumerate(zip(shard.starts, shard.words)):
-                    if d in found:
-                        bits = np.packbits(hit[s:s + n])
-                        if before[d] is not None:
-                            bits |= np.frombuffer(before[d], np.uint8)
-                        hits.append(bits.tobytes())
-                        items.append(sorted(found[d] | set(old[d] or ())))
-                    else:
-                        hits.append(before[d])
-                        items.append(old[d])
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string()))],
-                    ["_id", "_text", "_hits", "_items"])
+                hits, items = b.column("_hits").to_pylist(), b.column("_items").to_pylist()
+                for d, got in found.items():
+                    s = shard.starts[d]
+                    bits = np.packbits(hit[s:s + shard.words[d]])
+                    if hits[d] is not None:
+                        bits |= np.frombuffer(hits[d], np.uint8)
+                    hits[d], items[d] = bits.tobytes(), sorted(got | set(items[d] or ()))
+                yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string()))], b.schema.names)
         return run
 
-    for block in blocks(benchmark, window, item_id, item_text, block_bytes):
-        frame = frame.mapInArrow(mark(spark.sparkContext.broadcast(block)), schema)
+    for block in blocks_:
+        frame = frame.mapInArrow(mark(spark.sparkContext.broadcast(block)), frame.schema)
+    return frame
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id",
+                  text: str = "text", item_id: str = "item_id", item_text: str = "text",
+                  block_bytes: int = 16 << 20) -> DataFrame:
+    """One row per document: the id, ``n_words``, ``n_hit`` (words inside any
+    occurrence of a window), ``items`` (sorted distinct ids of the items with
+    occurring windows), ``contaminated``."""
+    frame = _marked(with_key(docs, id_col, text), blocks(benchmark, window, item_id, item_text, block_bytes))
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _batches(parts):
@@ -246,6 +244,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
                 [b.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string()))],
                 ["_id", "n_words", "n_hit", "items"])
 
+    id_type = frame.schema["_id"].dataType.simpleString()
     out = frame.mapInArrow(count, f"_id {id_type}, n_words bigint, n_hit bigint, items array<string>")
     return out.select(F.col("_id").alias(id_col), "n_words", "n_hit", "items", (F.col("n_hit") > 0).alias("contaminated"))
 
@@ -288,11 +287,13 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_
             .select("item_id", "item_word", "length", F.col("b._id").alias(id_col), F.col("b.doc_word").alias("doc_word")))
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """The documents without any hit, all their columns.  Ids are compared null
-    safely; documents that share an id go if any of them is contaminated."""
-    bad = contamination(docs, benchmark, id_col=id_col, **kw).where("contaminated").select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad"]), "left_anti")
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text", item_id: str = "item_id",
+                        item_text: str = "text", block_bytes: int = 16 << 20) -> DataFrame:
+    """The documents without any hit, all their columns; each row by itself, in
+    the same pass, so there is no join."""
+    frame = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"))
+    marked = _marked(frame, blocks(benchmark, window, item_id, item_text, block_bytes))
+    return marked.where("_hits is null").select("_row.*")
 
 
 def digests() -> list:

@@ -63,24 +63,27 @@ class Words(dict):
 
     def __init__(self):
         super().__init__()
-        self.hash: list[int] = []
+        self.hash, self.new = np.zeros(0, np.uint64), []
 
     def __missing__(self, word: bytes) -> int:
         self[word] = k = len(self)
-        self.hash.append(xxhash.xxh64_intdigest(word))
+        self.new.append(xxhash.xxh64_intdigest(word))
         return k
 
     def read(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all words in a row, and the number of words of each text."""
         if len(self) > _CACHE:
             self.clear()
-            self.hash = []
+            self.hash = self.hash[:0]
         ids, size = [], []
         for t in texts:
             w = t.encode().translate(_LOWER).split() if t else []
             ids.extend(map(self.__getitem__, w))
             size.append(len(w))
-        return np.array(self.hash, np.uint64)[np.array(ids, np.int64)], np.array(size, np.int64)
+        if self.new:
+            self.hash = np.concatenate([self.hash, np.array(self.new, np.uint64)])
+            self.new = []
+        return self.hash[np.fromiter(ids, np.int64, len(ids))], np.array(size, np.int64)
 
 
 def bags(words: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -219,9 +222,11 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
 
 
 def similar(texts: list, words: Words | None = None) -> np.ndarray:
-    """Matrix of the exact weighted Jaccard similarities of all pairs of texts."""
+    """Matrix of the exact weighted Jaccard similarities of all pairs of texts
+    (0 on the diagonal)."""
     sets = expanded(*(words if words is not None else Words()).read(texts))
-    both, n = overlaps(sets), np.array([len(s) for s in sets], np.float32)
+    both, n = overlaps(sets).astype(np.float64), np.array([len(s) for s in sets], np.float64)
+    np.fill_diagonal(both, 0)
     union = n[:, None] + n[None, :] - both
     return both / np.maximum(union, 1)
 
@@ -235,8 +240,7 @@ def _links(tiles: DataFrame) -> DataFrame:
         def solve():
             tile = np.array([r[0] for r in rows])
             sim = similar([r[2] for r in rows], seen)
-            linked = sim >= np.float32(SIMILAR) - 1e-6
-            np.fill_diagonal(linked, False)
+            linked = sim >= SIMILAR - 1e-12
             if key[1] != key[2]:  # within a tile another task has them
                 linked &= tile[:, None] != tile[None, :]
             return [(rows[i][1], rows[j][1]) for i, j in forest(linked)]
@@ -294,7 +298,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     with the smallest id stays (of rows that share id and text, one)."""
     rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "neardup-rows")
     keep = classes(rows.select("_row", F.col(f"`{text}`").alias("_t"), F.col(f"`{id_col}`").alias("_i")).select(
-        F.struct("_i", "_row").alias("_i"), "_t"), "_i", "_t").where("representative").select(F.col("_i._row").alias("_row"))
+        F.struct(F.col("_i").isNull().alias("no"), "_i", "_row").alias("_i"), "_t"), "_i", "_t").where("representative").select(F.col("_i._row").alias("_row"))
     return rows.join(keep, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

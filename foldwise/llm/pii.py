@@ -172,7 +172,7 @@ def estimate(cells: list[tuple[tuple[int, ...], str, float]], rounds: int = 50)
             for j, x in enumerate(v):
                 z += math.log((like[j, x, 1] + 0.5) / (total[1] + 1.5)) - math.log((like[j, x, 0] + 0.5) / (total[0] + 1.5))
             new[v, k] = 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
-        if max(abs(new[x] - post[x]) for x in new) < 1e-6:
+        if max((abs(new[x] - post[x]) for x in new), default=0) < 1e-6:
             post = new
             break
         post = new

@@ -134,26 +134,26 @@ def _counts(rows: list[dict]) -> tuple[int, int]:
     return bad, len(rows) - bad
 
 
-def _grow(rows: list[dict], cuts: dict[str, list[float]], longest: int) -> list[Test]:
+def _grow(rows: list[dict], features: list[str], longest: int) -> list[Test]:
     """Add the test with the largest information gain until only bad rows are
-    covered, no test gains, or the rule is long enough."""
+    covered, no test gains, or the rule is long enough.  Thresholds lie midway
+    between neighbouring values."""
     tests: list[Test] = []
     while len(tests) < longest:
         bad, good = _counts(rows)
         if not bad or not good:
             break
         before, best, pick = math.log2(bad / (bad + good)), 1e-9, None
-        for f, values in cuts.items():
+        for f in features:
+            b = g = 0
             ordered = sorted((r[f], r["bad"]) for r in rows)
-            k = b = g = 0
-            for at in values:
-                while k < len(ordered) and ordered[k][0] <= at:
-                    b, g, k = b + ordered[k][1], g + 1 - ordered[k][1], k + 1
-                for above, p, n in ((False, b, g), (True, bad - b, good - g)):
-                    if p:
-                        gain = p * (math.log2(p / (p + n)) - before)
+            for (v, y), (v2, _) in zip(ordered, ordered[1:]):
+                b, g = b + y, g + 1 - y
+                if v2 > v:
+                    for above, p, n in ((False, b, g), (True, bad - b, good - g)):
+                        gain = p * (math.log2(p / (p + n)) - before) if p else 0.0
                         if gain > best:
-                            best, pick = gain, Test(f, above, at)
+                            best, pick = gain, Test(f, above, (v + v2) / 2)
         if pick is None:
             break
         tests.append(pick)
@@ -167,23 +167,15 @@ def _worth(tests: list[Test], rows: list[dict]) -> float:
     return (bad - good) / (bad + good) if bad + good else -1.0
 
 
-def learn(rows: list[dict], features: list[str], cuts_per_feature: int = 32, longest: int = 3, most_rules: int = 12,
-          precision: float = 0.98, least: int = 5) -> list[Rule]:
+def learn(rows: list[dict], features: list[str], longest: int = 3, most_rules: int = 12, precision: float = 0.98, least: int = 5) -> list[Rule]:
     """Sequential covering over rows of features, ``bad`` (0/1) and ``fold``
     (0, 1: grow, 2: prune).  A rule stays if at least ``least`` rows that are
     still uncovered fall under it and ``precision`` of all rows it covers
     are bad."""
-    cuts = {}
-    for f in features:
-        v = sorted({r[f] for r in rows})
-        picks = sorted({v[(len(v) - 1) * k // cuts_per_feature] for k in range(cuts_per_feature)})
-        at = {x: i for i, x in enumerate(v)}
-        # between neighbours, so that rows equal to a cut are not on its edge
-        cuts[f] = [(x + v[min(at[x] + 1, len(v) - 1)]) / 2 for x in picks]
     rules: list[Rule] = []
     left = rows
     while len(rules) < most_rules:
-        tests = _grow([r for r in left if r["fold"] < 2], cuts, longest)
+        tests = _grow([r for r in left if r["fold"] < 2], features, longest)
         if not tests:
             break
         held = [r for r in left if r["fold"] == 2]

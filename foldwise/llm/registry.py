@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import bpe, decontaminate, langid, licenses, lm, neardup, pii, quality
+from foldwise.llm import bpe, chat, decontaminate, langid, licenses, lm, neardup, pii, quality, shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,6 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query("op1_chat_windows")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.with_control(table(spark, sf_dir, "conversations"))
+    return chat.read_back(chat.windows(turns)).select(*chat.columns())
+
+
 @query("op2_language_id")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -66,6 +72,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, rules).select("doc_id", *quality.BASE, "base_failed", "kept")
 
 
+@query("op8_training_order")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.report(spark, shards.materialise(table(spark, sf_dir, "documents")))
+
+
 @query("op9_decontamination", decontaminate.ORACLE)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
