@@ -23,21 +23,21 @@ def hkey_sql(seed, salt: str, id_expr: str) -> str:
 
 
 def hindex(key: Column) -> Column:
-    """32-bit non-negative integer from the first 8 hex digits of an md5 key."""
-    return F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint")
+    """60-bit non-negative integer from the first 15 hex digits of an md5 key."""
+    return F.conv(F.substring(key, 1, 15), 16, 10).cast("bigint")
 
 
 def hindex_sql(key_expr: str) -> str:
-    return f"cast(('0x' || substr({key_expr}, 1, 8)) as bigint)"
+    return f"cast(('0x' || substr({key_expr}, 1, 15)) as bigint)"
 
 
 def huniform(key: Column) -> Column:
     """Uniform double in [0, 1) from an md5 key."""
-    return hindex(key) / F.lit(4294967296.0)
+    return hindex(key) / F.lit(float(1 << 60))
 
 
 def huniform_sql(key_expr: str) -> str:
-    return f"({hindex_sql(key_expr)} / 4294967296.0)"
+    return f"({hindex_sql(key_expr)} / 1152921504606846976.0)"
 
 
 # Number of hex digits of the md5 key used to cut the global order into
@@ -67,8 +67,3 @@ def global_rank(df: DataFrame, key: str, tie: str, by: list[str] | None = None,
               .withColumn(out, (F.col("_off") + F.row_number().over(w_in)).cast("bigint"))
               .drop("_bin", "_off"))
     return ranked
-
-
-def group_sizes(df: DataFrame, by: list[str], out: str = "n") -> DataFrame:
-    """Row count per group (small; one row per group)."""
-    return df.groupBy(*by).agg(F.count(F.lit(1)).cast("bigint").alias(out))

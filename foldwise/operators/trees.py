@@ -17,11 +17,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.session import checkpoint_dir
+from foldwise.session import run_dir
 
 
 def node_table(model, spark) -> pd.DataFrame:
-    path = f"{checkpoint_dir(spark).rstrip('/')}/foldwise-models/tree-{id(model)}-{int(time.time() * 1e6)}"
+    path = run_dir(spark, "foldwise-models/tree")
     model.write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data").select(
         "id", "prediction", "impurity", "impurityStats", "rawCount", "leftChild", "rightChild",

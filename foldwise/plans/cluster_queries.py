@@ -56,17 +56,17 @@ def h6_inertia(spark, d):
     return j.agg(r6(F.sum(d2)).alias("inertia"))
 
 
-@register("h7_silhouette", fq.with_(l1=fq.L1) + f""", pr as (
-  select a.row_id, a.label_a as own, b.label_a as other, sqrt({_d2_sql('a', 'b', L1F)}) as dist
-  from l1 a join l1 b on a.row_id <> b.row_id),
-per as (select row_id, own, other, avg(dist) as md from pr group by row_id, own, other),
-sz as (select label_a, count(*) as n from l1 group by label_a),
-ab as (select p.row_id, max(case when p.other = p.own then p.md end) as a,
-              min(case when p.other <> p.own then p.md end) as b, max(sz.n) as n_own
-       from per p join sz on p.own = sz.label_a group by p.row_id)
-select round(avg(case when n_own > 1 then (b - a) / greatest(a, b) else 0 end), 6) as silhouette from ab""")
+_L1V = " + ".join(f"var_pop({c})" for c in L1F)
+
+
+@register("h7_silhouette", L1_SQL + f""", va as (select label_a, {_L1V} as v from l1 group by label_a),
+md as (select l1.row_id, l1.label_a as own, cen.label_a as other, cen.n, {_d2_sql('l1', 'cen', L1F)} + va.v as d
+       from l1, cen join va on va.label_a = cen.label_a),
+ab as (select row_id, max(case when own = other then n end) as n, max(case when own = other and n > 1 then d * n / (n - 1) end) as a,
+              min(case when own <> other then d end) as b from md group by row_id)
+select round(avg(case when n > 1 and b is not null and greatest(a, b) > 0 then (b - a) / greatest(a, b) else 0 end), 6) as silhouette from ab""")
 def h7_silhouette(spark, d):
-    """Exact euclidean silhouette of the segment labelling."""
+    """Silhouette (squared euclidean) of the segment labelling."""
     s = CL.silhouette(fx.l1(spark, d), L1F, "label_a")
     return s.select(r6("silhouette").alias("silhouette"))
 

@@ -248,7 +248,7 @@ def j24_score_list(spark, d):
 @register("j17_bootstrap_ci", Y1L_SQL + f""", t as (select * from yl where model = 'm1'),
 o as (select row_id, y, pred, row_number() over (order by {key_sql(0, 'ord')}, row_id) as ord from t),
 n as (select count(*) as n from t),
-slots as (select b, cast(('0x' || substr(md5(concat_ws('-', '0', 'boot', cast(b as varchar), cast(o.ord as varchar))), 1, 8)) as bigint) % n.n + 1 as pick
+slots as (select b, cast(('0x' || substr(md5(concat_ws('-', '0', 'boot', cast(b as varchar), cast(o.ord as varchar))), 1, 15)) as bigint) % n.n + 1 as pick
           from o, n, (select unnest(range(1, 201)) as b) bb),
 acc as (select b, avg(cast(o.y = o.pred as double)) as a from slots join o on slots.pick = o.ord group by b)
 select round((select avg(cast(y = pred as double)) from t), 6) as test_acc, round(avg(a), 6) as boot_mean,

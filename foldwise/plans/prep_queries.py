@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -14,7 +13,7 @@ from foldwise.operators import features as FE
 from foldwise.operators import split as S
 from foldwise.plans.catalog import key_sql, r6, register
 from foldwise.plans.knn_queries import holdout_sql, std_params_sql
-from foldwise.session import checkpoint_dir
+from foldwise.session import run_dir
 from foldwise.sources import fixtures as fx
 from foldwise.sources import fixtures_sql as fq
 from foldwise.sources import tables as TB
@@ -23,8 +22,7 @@ NULL_EVERY = 50   # about 2% of cells are replaced by the missing-value token
 
 
 def _text_dir(spark, d: str, name: str) -> str:
-    tag = hashlib.md5(d.encode()).hexdigest()[:10]
-    return f"{checkpoint_dir(spark).rstrip('/')}/foldwise-text/{name}-{tag}"
+    return run_dir(spark, f"foldwise-text/{name}")
 
 
 def _spoil(df, cols: list[str], token: str = "?"):
@@ -236,7 +234,7 @@ def b5_b6_drop_and_cast(spark, d):
 @register("b7_coerce_number", """select row_id, try_cast(trim(q) as double) as l_quantity from (
   select l_orderkey * 10 + l_linenumber as row_id,
          case when cast(('0x' || substr(md5(concat_ws('-', '0', 'blank', cast(l_orderkey as varchar),
-              cast(l_linenumber as varchar))), 1, 8)) as bigint) % 50 = 0 then ' '
+              cast(l_linenumber as varchar))), 1, 15)) as bigint) % 50 = 0 then ' '
               else ' ' || cast(cast(l_quantity as bigint) as varchar) || ' ' end as q from lineitem) x""")
 def b7_coerce_number(spark, d):
     """Padded number text with blanks in ~2% of rows -> double / null."""

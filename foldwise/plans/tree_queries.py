@@ -15,7 +15,7 @@ from foldwise.operators import glm as G
 from foldwise.operators import metrics as M
 from foldwise.operators import split as S
 from foldwise.plans.catalog import r6, register
-from foldwise.session import checkpoint_dir
+from foldwise.session import run_dir
 from foldwise.sources import fixtures as fx
 from foldwise.sources import fixtures_sql as fq
 
@@ -122,7 +122,7 @@ def g3_split_gains(spark, d):
 def _node_table(model, spark):
     """The fitted tree's node table (id, prediction, impurity, gain, children,
     split, counts) read back as a DataFrame from the saved model."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/foldwise-models/tree-{id(model)}-{int(time.time() * 1e6)}"
+    path = run_dir(spark, "foldwise-models/tree")
     model.write().overwrite().save(path)
     return spark.read.parquet(f"{path}/data")
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +26,9 @@ _DEFAULTS = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "foldwise") -> SparkSession:
     """Return the active session, or build a local one for tests/bench."""
@@ -48,20 +53,38 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (spark.checkpoint.dir).
 
-    Only when it is unset (local tests) a scratch folder is created and
-    registered, so later ``DataFrame.checkpoint()`` calls work.
+    Only a local session without one (tests) gets a scratch folder; on a
+    cluster a folder that not all executors see would lose rows, so an
+    unset one is an error there.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="foldwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def run_dir(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one; what an earlier run wrote stays."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors (once per session), so functions that
+    run in Python workers find it there without an installation."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local[") or sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="foldwise-zip-"), "foldwise.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for top, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    f = os.path.join(top, n)
+                    z.write(f, os.path.join("foldwise", os.path.relpath(f, root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)

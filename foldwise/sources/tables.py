@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foldwise.session import ship_package
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table; Catalyst prunes columns and pushes filters into the scan."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
