@@ -34,12 +34,6 @@ def logistic(train: DataFrame, cols: list[str], C: float = 1.0, label: str = "ta
     return lr.fit(assemble(train, cols))
 
 
-def prob1(model, df: DataFrame, cols: list[str], out: str = "score") -> DataFrame:
-    """Probability of class 1 as a double column."""
-    t = model.transform(assemble(df, cols))
-    return t.withColumn(out, vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability")
-
-
 def glm_irls(train: DataFrame, cols: list[str], label: str = "target", reg: float = 0.0, max_iter: int = 50):
     """IRLS logistic (GeneralizedLinearRegression, binomial/logit)."""
     g = GeneralizedLinearRegression(family="binomial", link="logit", featuresCol="features", labelCol=label,
@@ -47,14 +41,6 @@ def glm_irls(train: DataFrame, cols: list[str], label: str = "target", reg: floa
     return g.fit(assemble(train, cols))
 
 
-def linear_svm(train: DataFrame, cols: list[str], C: float = 1.0, label: str = "target", n: float | None = None):
-    """Hinge-loss linear SVM (unpenalised intercept), regParam = 1/(C n)."""
-    if n is None:
-        n = train.count()
-    return LinearSVC(featuresCol="features", labelCol=label, regParam=1.0 / (C * n), maxIter=200).fit(
-        assemble(train, cols))
-
-
 def one_vs_rest(train: DataFrame, cols: list[str], C: float = 1.0, label: str = "target"):
     n = train.count()
     base = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (C * n),
@@ -93,15 +79,39 @@ class LogitSpec:
     (intercept free) over the rows where ``subset`` holds.
 
     subset: (column, op, value) with op in {"==", "!="}, or None for all rows.
+    scale: per-feature factors whose squares weigh the penalty.  With the
+    standard deviations of the feature columns over the model's own rows
+    the fit equals one on features standardised on those rows only (the
+    shift goes into the free intercept), so folds share one design.
     """
 
     def __init__(self, key, features: list[str], C: float = 1.0, subset=None, weight: str | None = None,
-                 loss: str = "log", penalize_intercept: bool = False):
+                 loss: str = "log", penalize_intercept: bool = False, scale=None):
         self.key, self.features, self.C, self.subset, self.weight = key, list(features), float(C), subset, weight
         self.loss, self.penalize_intercept = loss, penalize_intercept
-
-
-def newton_logistic(df: DataFrame, specs: list[LogitSpec], label: str = "target", max_iter: int = 30,
+        self.scale = np.ones(len(self.features)) if scale is None else np.asarray(scale, dtype=float)
+
+
+def subset_scales(df: DataFrame, features: list[str], scaled: list[str], subsets: dict) -> dict:
+    """Per key the population standard deviations of ``features`` over the rows of
+    its subset (1 for constant columns and for those not in ``scaled``), all
+    from one aggregation."""
+    aggs, names = [], []
+    for i, (k, sub) in enumerate(subsets.items()):
+        cond = F.lit(True)
+        for col, op, val in _conds(sub):
+            cond = cond & ((F.col(col) == val) if op == "==" else (F.col(col) != val))
+        for c in scaled:
+            aggs.append(F.stddev_pop(F.when(cond, F.col(c))).alias(f"s{i}_{c}"))
+            names.append((k, c, f"s{i}_{c}"))
+    row = df.agg(*aggs).first()
+    out = {k: {} for k in subsets}
+    for k, c, n in names:
+        out[k][c] = row[n] or 1.0
+    return {k: np.array([v.get(c, 1.0) for c in features]) for k, v in out.items()}
+
+
+def newton_logistic(df: DataFrame, specs: list[LogitSpec], label: str = "target", max_iter: int = 100,
                     tol: float = 1e-7) -> dict:
     """Fit many L2 logistic models with one data pass per Newton iteration.
 
@@ -109,7 +119,8 @@ def newton_logistic(df: DataFrame, specs: list[LogitSpec], label: str = "target"
     Hessian of its own rows and features (NumPy on Arrow batches) and
     emits one serialized partial per model; partials are summed with
     treeReduce and the driver takes the Newton step (p+1 sized systems).
-    The result is the exact optimum of the penalised likelihood.
+    The result is the optimum of the penalised likelihood to ``tol``; a model
+    that has not converged after ``max_iter`` passes is an error.
     Returns {key: (coef array, intercept)}."""
     import pandas as pd
 
@@ -149,7 +160,7 @@ def newton_logistic(df: DataFrame, specs: list[LogitSpec], label: str = "target"
                         act = (viol > 0) * sw * 2
                         H = (X * act[:, None]).T @ X
                     else:
-                        p = 1.0 / (1.0 + np.exp(-z))
+                        p = 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
                         g = X.T @ ((p - y) * sw)
                         H = (X * (p * (1 - p) * sw)[:, None]).T @ X
                     a = acc.setdefault(k, [0, 0])
@@ -178,9 +189,8 @@ def newton_logistic(df: DataFrame, specs: list[LogitSpec], label: str = "target"
         for k in list(active):
             g, H = tot[str(k)]
             C = by_key[k].C
-            reg = np.eye(len(g))
-            if not by_key[k].penalize_intercept:
-                reg[0, 0] = 0.0                   # free intercept
+            # a free intercept has no penalty
+            reg = np.diag(np.concatenate([[1.0 if by_key[k].penalize_intercept else 0.0], by_key[k].scale ** 2]))
             grad = C * g + reg @ beta[k]
             hess = C * H + reg
             step = np.linalg.solve(hess, grad)
@@ -191,6 +201,8 @@ def newton_logistic(df: DataFrame, specs: list[LogitSpec], label: str = "target"
             if np.max(np.abs(step)) < tol * max(1.0, np.max(np.abs(beta[k]))):
                 active.discard(k)
     base.unpersist()
+    if active:
+        raise ValueError(f"no convergence after {max_iter} passes: {sorted(map(str, active))}")
     return {k: (b[1:], b[0]) for k, b in beta.items()}
 
 

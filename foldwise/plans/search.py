@@ -111,8 +111,6 @@ def halving_search(df: DataFrame, features: list[str], candidates: list[dict], f
         rungs.append((r, n_r, len(alive)))
         keep = max(1, math.ceil(len(alive) / factor))
         alive = sorted(alive, key=lambda i: (-scores[i], i))[:keep]
-        if len(alive) == 1 and r < n_rungs - 1:
-            continue
     b = alive[0]
     return b, scores[b], rungs
 

@@ -21,7 +21,7 @@ from foldwise.sources import fixtures_sql as fq
 
 SEED = 0
 CRITERIA = ("gini", "entropy")
-DEPTHS = (2, 4, 6, 8, 10, 30)        # 30 is Spark's maximum, standing for "unlimited"
+DEPTHS = (2, 4, 6, 8, 12, 30)        # 30 is Spark's maximum, standing for "unlimited"
 LEAVES = (1, 5, 20)
 
 
