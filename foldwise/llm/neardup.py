@@ -267,7 +267,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
     """One row per document: its id, ``class_id``, and ``representative``: true for
     one document of each class (the smallest id; of rows that share it one)."""
     signed = _signed(docs, id_col, text)
-    copies = written(signed.where("_key is not null").groupBy("_key").agg(F.min("_rid").alias("node"), F.min("_id").alias("least")), "neardup-copies")
+    # of exact copies the row with the smallest id stands for all, of equal ids the first row
+    first = F.struct(F.col("_id").isNull().alias("no"), F.col("_id").alias("id"), F.col("_rid").alias("node"))
+    copies = written(signed.where("_key is not null").groupBy("_key").agg(F.min(first).alias("f"))
+                     .select("_key", F.col("f.node").alias("node"), F.col("f.id").alias("least")), "neardup-copies")
     reps = signed.select(F.col("_rid").alias("node"), "_bands").join(copies.select("node"), "node")
     members = written(reps, "neardup-reps").select("node", F.explode("_bands").alias("band"))
     shared = members.groupBy("band").agg(F.min("node").alias("p"), F.max("node").alias("q")).where("p <> q").select("band", "p")
@@ -284,13 +287,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
     root = components(links, "neardup-class")
     least = copies.join(root, "node", "left").select("_key", "node", "least", F.coalesce("root", "node").alias("root"))
     head = least.groupBy("root").agg(F.min("least").alias("class_id"), F.min_by("node", F.struct(F.col("least").isNull(), "least", "node")).alias("first"))
-    label = least.join(head, "root").select("_key", "class_id", (F.col("first") == F.col("node")).alias("_first"), F.col("node").alias("_node"))
+    label = least.join(head, "root").select("_key", "class_id", F.when(F.col("first") == F.col("node"), F.col("node")).alias("_first"))
     out = signed.select("_id", "_key", "_rid").join(label, "_key", "left")
-    # of exact copies the smallest id stands for them; of equal ids the first row
-    stand = signed.where("_key is not null").groupBy("_key").agg(F.min_by("_rid", F.struct(F.col("_id").isNull(), "_id", "_rid")).alias("_stand"))
-    out = out.join(stand, "_key", "left")
     return out.select(F.col("_id").alias(id_col), F.when(F.col("_key").isNull(), F.col("_id")).otherwise(F.col("class_id")).alias("class_id"),
-                      (F.col("_key").isNull() | (F.col("_first") & (F.col("_rid") == F.col("_stand")))).alias("representative"))
+                      (F.col("_key").isNull() | (F.coalesce(F.col("_first"), F.lit(-1)) == F.col("_rid"))).alias("representative"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
