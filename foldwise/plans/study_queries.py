@@ -17,7 +17,8 @@ from foldwise.operators import metrics as M
 from foldwise.operators import split as S
 from foldwise.plans import knn_study as KS
 from foldwise.plans import search as SR
-from foldwise.plans.catalog import register
+from foldwise.plans import study_sql as SQL
+from foldwise.plans.catalog import r6, register
 from foldwise.plans.tree_queries import t2_numeric
 from foldwise.sources import fixtures as fx
 
@@ -37,16 +38,27 @@ def _knn_fold_metrics(df, feats, k=5, weights="uniform", metric="euclidean", see
         F.avg((F.col("y") == F.col("pred")).cast("double")).alias("accuracy"), *M.prf_exprs("y", "pred"))
 
 
-@register("k1_cv_score")
+@register("k1_cv_score", SQL.K1)
 def k1_cv_score(spark, d):
     """Stratified 5-fold CV accuracy of kNN (k = 5, uniform, euclidean, fold-wise scaling) per fold."""
-    return _knn_fold_metrics(fx.n2(spark, d), N2F).select("fold", "accuracy")
+    return _knn_fold_metrics(fx.n2(spark, d), N2F).select("fold", r6("accuracy").alias("accuracy"))
 
 
-@register("k2_cv_report")
+@register("k2_cv_report", SQL.K2)
 def k2_cv_report(spark, d):
-    """Multi-metric CV report (accuracy, precision, recall, F1) per fold from one scoring pass."""
-    return _knn_fold_metrics(fx.n2(spark, d), N2F).drop("seed")
+    """Multi-metric CV report (accuracy, precision, recall, F1) per fold, on the held-out
+    rows and on the train rows (``train_``), which find themselves among their neighbours."""
+    n2 = fx.n2(spark, d)
+    truth = n2.select(F.col("row_id").alias("qid"), F.col("target").alias("y"))
+    q, t = KS.cv_tables(n2, N2F, 5, SEED)
+    out = None
+    for prefix, side in (("", q), ("train_", t)):
+        pr = KN.knn_classify(KN.knn_join(side, t, N2F, 5, group="fold"), [5], ["fold"], ("uniform",)).join(truth, "qid")
+        m = pr.groupBy("fold").agg(F.avg((F.col("y") == F.col("pred")).cast("double")).alias(f"{prefix}accuracy"),
+                                   *M.prf_exprs("y", "pred", prefix=prefix))
+        m = m.select("fold", *[r6(c).alias(c) for c in m.columns[1:]])
+        out = m if out is None else out.join(m, "fold")
+    return out
 
 
 @register("k3_out_of_fold")
@@ -186,7 +198,7 @@ def _acc_by(p, by):
     return p.groupBy(*by).agg(F.avg((F.col("y") == F.col("pred")).cast("double")).alias("score"))
 
 
-@register("k11_splitter_variance")
+@register("k11_splitter_variance", SQL.k11())
 def k11_splitter_variance(spark, d, seeds=(0, 1, 2)):
     """Five splitters x seeds (hold-out, stratified hold-out, K-fold, stratified K-fold,
     repeated stratified K-fold 5x2): kNN (k = 5) score per fold, one row per fold."""
@@ -215,10 +227,10 @@ def k11_splitter_variance(spark, d, seeds=(0, 1, 2)):
             parts.append(_acc_by(pr, ["fold"]).select(F.lit("repeated_stratified_kfold").alias("splitter"),
                                                      F.lit(s).alias("seed"), (F.col("fold") + 5 * r).alias("fold"),
                                                      "score"))
-    return _union(parts)
+    return _union(parts).withColumn("score", r6("score"))
 
 
-@register("k12_fold_count")
+@register("k12_fold_count", SQL.k12())
 def k12_fold_count(spark, d, ks=(3, 5, 10, 20), seeds=(0, 1, 2)):
     """K in {3, 5, 10, 20} x seeds: mean / std per seed, raw fold scores, and the
     across-seed std with the mean within-CV std (two-level aggregation)."""
@@ -233,10 +245,11 @@ def k12_fold_count(spark, d, ks=(3, 5, 10, 20), seeds=(0, 1, 2)):
     out = per_seed.join(raw, ["k_folds", "seed"])
     two = per_seed.groupBy("k_folds").agg(F.stddev_pop("mean_score").alias("across_seed_std"),
                                           F.avg("std_score").alias("mean_within_cv_std"))
-    return out.join(two, "k_folds")
+    out = out.join(F.broadcast(two), "k_folds")
+    return out.select("k_folds", "seed", "raw_scores", *[r6(c).alias(c) for c in ("mean_score", "std_score", "across_seed_std", "mean_within_cv_std")])
 
 
-@register("k13_leakage")
+@register("k13_leakage", SQL.k13())
 def k13_leakage(spark, d, seeds=(0, 1, 2)):
     """Scaler fitted on all rows (leaky) vs on each train fold (clean): kNN CV accuracy
     per seed and the inflation."""
@@ -255,7 +268,8 @@ def k13_leakage(spark, d, seeds=(0, 1, 2)):
         lm = _acc_by(leaky, ["fold"]).agg(F.avg("score")).first()[0]
         cm = _acc_by(clean, ["fold"]).agg(F.avg("score")).first()[0]
         rows.append((s, float(lm), float(cm), float(lm - cm)))
-    return spark.createDataFrame(rows, "seed int, leaky_mean double, clean_mean double, inflation double")
+    out = spark.createDataFrame(rows, "seed int, leaky_mean double, clean_mean double, inflation double")
+    return out.select("seed", *[(r6(c) + 0.0).alias(c) for c in out.columns[1:]])
 
 
 def _scaled_fold_tables(n2, scaler, s):
@@ -336,16 +350,17 @@ def k15_outlier_ablation(spark, d, seeds=(0, 1), fracs=(0.0, 0.05, 0.1, 0.2), sc
     return spark.createDataFrame(rows, "seed int, outlier_frac double, scaler string, algorithm string, test_acc double")
 
 
-@register("k16_multi_seed")
+@register("k16_multi_seed", SQL.k16())
 def k16_multi_seed(spark, d, seeds=(0, 1, 2, 3, 4)):
     """One metric over seeds: kNN stratified-CV accuracy per seed, then mean, std and the raw list."""
     p = KS.knn_cv_predictions(fx.n2(spark, d), N2F, [5], list(seeds), ("euclidean",), ("uniform",))
     per = _acc_by(p, ["seed", "fold"]).groupBy("seed").agg(F.avg("score").alias("score"))
-    return per.agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"),
-                   F.array_sort(F.collect_list(F.struct("seed", "score"))).alias("raw"))
+    raw = F.array_sort(F.collect_list(F.struct("seed", "score")))
+    return per.agg(r6(F.avg("score")).alias("mean"), r6(F.stddev_pop("score")).alias("std"),
+                   F.array_join(F.transform(raw, lambda e: F.format_number(e["score"], 4)), ";").alias("raw"))
 
 
-@register("k18_evaluate")
+@register("k18_evaluate", SQL.K18)
 def k18_evaluate(spark, d):
     """Quick evaluation (seed 42): stratified 75/25 hold-out kNN (k = 5) headline metrics
     and confusion counts."""
@@ -354,11 +369,12 @@ def k18_evaluate(spark, d):
     nb = KN.knn_join(te, tr, N2F, 5)
     pr = KN.knn_classify(nb, [5], [], ("uniform",)).join(
         n2.select(F.col("row_id").alias("qid"), F.col("target").alias("y")), "qid")
-    return pr.agg(F.avg((F.col("y") == F.col("pred")).cast("double")).alias("accuracy"), *M.prf_exprs("y", "pred"),
+    out = pr.agg(F.avg((F.col("y") == F.col("pred")).cast("double")).alias("accuracy"), *M.prf_exprs("y", "pred"),
                   F.sum(((F.col("y") == 1) & (F.col("pred") == 1)).cast("int")).alias("tp"),
                   F.sum(((F.col("y") == 0) & (F.col("pred") == 1)).cast("int")).alias("fp"),
                   F.sum(((F.col("y") == 1) & (F.col("pred") == 0)).cast("int")).alias("fn"),
                   F.sum(((F.col("y") == 0) & (F.col("pred") == 0)).cast("int")).alias("tn"))
+    return out.select(*[r6(c).alias(c) for c in ("accuracy", "precision", "recall", "f1")], "tp", "fp", "fn", "tn")
 
 
 # ---------------------------------------------------------------- J26, J27
@@ -380,7 +396,7 @@ def j26_permutation_importance(spark, d, reps: int = 5):
         F.avg(((F.col("score") >= 0.5).cast("int") == F.col("target")).cast("double")).alias("acc"))
     base = acc.filter("feature = '__base__'").select(F.col("acc").alias("base"))
     drops = acc.filter("feature <> '__base__'").withColumn("_o", F.lit(1)).join(
-        base.withColumn("_o", F.lit(1)), "_o").withColumn("drop", F.col("base") - F.col("acc"))
+        F.broadcast(base.withColumn("_o", F.lit(1))), "_o").withColumn("drop", F.col("base") - F.col("acc"))
     out = drops.groupBy("feature").agg(F.avg("drop").alias("perm_mean"), F.stddev_pop("drop").alias("perm_std"))
     return out
 
@@ -398,7 +414,7 @@ def j27_importance_compare(spark, d):
                                 "feature string, tree_importance double")
     te = h.filter("is_test = 1").select("row_id", "target", *fx.T_NUMERIC)
     base_rows = te.withColumn("feature", F.lit("__base__")).withColumn("rep", F.lit(-1))
-    perm = S.permute_all(te, fx.T_NUMERIC, 3, SEED).select("row_id", "target", *fx.T_NUMERIC, "feature", "rep")
+    perm = S.permute_all(te, fx.T_NUMERIC, 5, SEED).select("row_id", "target", *fx.T_NUMERIC, "feature", "rep")
     long = G.assemble(base_rows.unionByName(perm), fx.T_NUMERIC)
     sc = m.transform(long).select("feature", "rep", F.col("target").alias("y"),
                                   vector_to_array("probability")[1].alias("score"))
@@ -412,7 +428,7 @@ def j27_importance_compare(spark, d):
 
 
 # ---------------------------------------------------------------- E6, E7
-@register("e6_flip_report")
+@register("e6_flip_report", SQL.e6())
 def e6_flip_report(spark, d):
     """Held-out rows whose kNN label under some scaler differs from the unscaled one:
     per-scaler labels, flag, first flipping row and per-scaler accuracy."""
@@ -429,12 +445,12 @@ def e6_flip_report(spark, d):
         flip = flip | (F.col(sc) != F.col("none"))
     wide = wide.withColumn("flipped", flip).join(n2.select(F.col("row_id").alias("qid"), F.col("target").alias("y")), "qid")
     first = wide.filter("flipped").agg(F.min("qid").alias("first_flip_row"))
-    accs = wide.agg(*[F.avg((F.col(sc) == F.col("y")).cast("double")).alias(f"acc_{sc}") for sc in FE.SCALERS])
+    accs = wide.agg(*[r6(F.avg((F.col(sc) == F.col("y")).cast("double"))).alias(f"acc_{sc}") for sc in FE.SCALERS])
     return (wide.filter("flipped").withColumn("_o", F.lit(1))
-            .join(first.withColumn("_o", F.lit(1)), "_o").join(accs.withColumn("_o", F.lit(1)), "_o").drop("_o"))
+            .join(F.broadcast(first.withColumn("_o", F.lit(1))), "_o").join(F.broadcast(accs.withColumn("_o", F.lit(1))), "_o").drop("_o"))
 
 
-@register("e7_extrapolation_probe")
+@register("e7_extrapolation_probe", SQL.e7())
 def e7_extrapolation_probe(spark, d, n_points: int = 400):
     """kNN (k = 5) and one-feature OLS fitted on (orders per customer -> spend) and
     scored on an x-grid running to twice the train range."""
@@ -442,8 +458,8 @@ def e7_extrapolation_probe(spark, d, n_points: int = 400):
     st = kr.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.regr_slope("y", "x").alias("slope"),
                 F.regr_intercept("y", "x").alias("icpt"))
     grid = st.select(F.explode(F.sequence(F.lit(0), F.lit(n_points - 1))).alias("gid"), "lo", "hi", "slope", "icpt")
-    grid = grid.withColumn("x", F.col("lo") + (2 * (F.col("hi") - F.col("lo"))) * F.col("gid") / (n_points - 1))
+    grid = grid.withColumn("x", F.col("lo") + (2 * (F.col("hi") - F.col("lo"))) * F.col("gid") / (n_points - 1)).repartition("gid")
     nb = KN.knn_join(grid, kr.withColumnRenamed("y", "target"), ["x"], 5, qid="gid")
     knn = KN.knn_regress(nb, [5], [], ("uniform",)).select(F.col("qid").alias("gid"), F.col("pred").alias("knn_pred"))
-    return grid.join(knn, "gid").select("gid", "x", (F.col("icpt") + F.col("slope") * F.col("x")).alias("ols_pred"),
-                                        "knn_pred", (F.col("x") > F.col("hi")).alias("beyond_train"))
+    return grid.join(knn, "gid").select("gid", r6("x").alias("x"), r6(F.col("icpt") + F.col("slope") * F.col("x")).alias("ols_pred"),
+                                        r6("knn_pred").alias("knn_pred"), (F.col("x") > F.col("hi")).alias("beyond_train"))
