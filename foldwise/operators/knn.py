@@ -279,10 +279,6 @@ def knn_join(query: DataFrame, train: DataFrame, features: list[str], k: int,
 
 
 # ------------------------------------------------------------------ E2, E3
-def _weight_cols(neigh: DataFrame, by: list[str]) -> DataFrame:
-    """Per (cell, query): flag whether any of the k neighbours is at distance 0."""
-    w = Window.partitionBy(*by)
-    return neigh.withColumn("_has0", F.max((F.col("dist") == 0).cast("int")).over(w))
 
 
 def expand_k(neigh: DataFrame, ks: list[int]) -> DataFrame:

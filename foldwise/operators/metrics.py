@@ -160,15 +160,6 @@ def r2(df: DataFrame, by: list[str], y: str = "y", p: str = "pred", out: str = "
     return g.select(*by, (1 - F.col("_sse") / sst).alias(out))
 
 
-def r2_exact(df: DataFrame, by: list[str], y: str = "y", p: str = "pred", out: str = "r2") -> DataFrame:
-    """R² with the mean subtracted first (two passes, no cancellation)."""
-    m = df.groupBy(*by).agg(F.avg(y).alias("_m"))
-    j = df.join(F.broadcast(m), on=by) if by else df.withColumn("_m", F.lit(None))
-    if not by:
-        j = df.withColumn("_m", df.agg(F.avg(y)).scalar())
-    return j.groupBy(*by).agg((1 - F.sum((_c(y) - _c(p)) ** 2) / F.sum((_c(y) - F.col("_m")) ** 2)).alias(out))
-
-
 def mae(df: DataFrame, by: list[str], y: str = "y", p: str = "pred", out: str = "mae") -> DataFrame:
     return df.groupBy(*by).agg(F.avg(F.abs(_c(y) - _c(p))).alias(out))
 

@@ -26,17 +26,6 @@ class PCAFit:
     def ratio(self) -> np.ndarray:
         return self.evals / self.evals.sum()
 
-    def component_exprs(self, k: int, whiten: bool = False) -> list[Column]:
-        out = []
-        for j in range(k):
-            e = F.lit(0.0)
-            for i, c in enumerate(self.cols):
-                e = e + ((F.col(c) - float(self.mean[i])) / float(self.scale[i])) * float(self.evecs[i, j])
-            if whiten:
-                e = e / float(np.sqrt(self.evals[j]))
-            out.append(e.alias(f"pc{j + 1}"))
-        return out
-
 
 def covariance(df: DataFrame, cols: list[str], group: str | None = None) -> dict:
     """{group: (n, mean, centred cross-product matrix)} from one Gram pass."""

@@ -17,9 +17,8 @@ import os
 SKIP = set()
 # many-fit searches: run with FOLDWISE_SLOW=1
 SLOW = {"k4_grid_search", "k5_k6_k7_k8_search_comparison", "k9_n_iter_sensitivity", "g13_ensemble_benchmark",
-        "h2_init_comparison", "f11_optimizer_comparison", "f6_degree_sweep", "f15_sgd_grid", "f18_epoch_curve",
-        "k11_splitter_variance", "k12_fold_count", "k14_k17_scaler_algo_matrix", "k15_outlier_ablation",
-        "h4_minibatch_vs_full", "h5_k_sweep", "j27_importance_compare"}
+        "h2_init_comparison", "f6_degree_sweep", "f7_condition_number", "f11_optimizer_comparison", "f15_sgd_grid", "f18_epoch_curve",
+        "k14_k17_scaler_algo_matrix", "k15_outlier_ablation", "h5_k_sweep", "j27_importance_compare"}
 
 
 def _norm(v):
@@ -51,7 +50,18 @@ def test_query_matches_oracle(spark, duck, name):
 def test_rows_only_query_runs(spark, name):
     if name in SLOW and not os.environ.get("FOLDWISE_SLOW"):
         pytest.skip("many-fit search; set FOLDWISE_SLOW=1")
-    assert QUERIES[name](spark, SF_SMALL).count() >= 0
+    df = QUERIES[name](spark, SF_SMALL)
+    rows = df.collect()
+    assert rows and len(set(df.columns)) == len(df.columns)
+    for c, kind in df.dtypes:
+        values = [r[c] for r in rows if r[c] is not None]
+        assert values, f"{c} is null throughout"
+        if kind == "double":
+            assert not any(math.isnan(v) for v in values), c
+            if c.endswith(("acc", "auc", "accuracy", "recall", "_score", "auc_mean", "acc_mean")):
+                assert all(0 <= v <= 1 for v in values), c
+            if c.endswith(("_std", "_s", "inertia")):
+                assert all(v >= 0 for v in values), c
 
 
 def test_entry(spark):
