@@ -1,41 +1,45 @@
 """Training-order materialisation of token ids in fixed-stride binary shards.
 
 Every document is encoded (byte-level BPE) and cut into sequences of
-``length`` ids.  Sequences are numbered by document id, then place, and a
-keyed Feistel permutation with cycle walking maps each number to its slot
-in the training order, a bijection on 0 .. n-1 that needs no sort and no
-table.  Rows are range-partitioned by slot and written as binary files of
-``per_shard`` slots; a slot is one fixed stride: its length as
+``length`` ids.  One pass encodes the texts and writes the ids with their
+place in the pass; the tasks' totals then number all sequences from 0 on.
+That numbering is on disk before it is used, so a retried task or a
+resumed run finds the same one.  A keyed Feistel permutation with cycle
+walking maps each number to its slot in the training order, a bijection
+on 0 .. n-1 that needs no sort and no table.  Rows go to partitions by
+ranges of slots, the only shuffle of the ids, and are written as binary
+files of ``per_shard`` slots; a slot is one fixed stride: its length as
 little-endian uint32, then ``length`` ids as little-endian uint16 (uint32
 for larger vocabularies), padded with ``pad``.  A reader finds slot s at
 byte ``(s mod per_shard) * stride`` of shard ``s div per_shard`` and can
 resume at any slot.
 
-Two passes encode the texts: one counts the sequences of each document,
-the next writes them, so tokens are shuffled by document once and by slot
-once and are never stored in between.  A shard is written under a name of
-its attempt and renamed when it is whole; a lost executor's shard is
-written again with the same bytes.  The manifest is written last.
+A shard is written under a name of its attempt and renamed when it is
+whole; a lost executor's shard is written again with the same bytes.  The
+manifest is written last.
 
-Defined cases: a null or empty text has no sequences; documents that share
-an id are numbered by the hash of their text, then one by one; null ids
-come first; with no sequence there are no shards, only the manifest.
+Defined cases: a null or empty text has no sequences; repeated rows, also
+of one id, have sequences of their own; an id may be null; with no
+sequence there are no shards, only the manifest.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foldwise.llm import bpe
-from foldwise.llm.common import scratch, with_key, written
+from foldwise.llm.common import scratch, sha256_hex, written
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -84,30 +88,55 @@ def _filesystem(path: str):
     return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
 
 
-def _numbered(docs: DataFrame, length: int, path: str, pattern: str) -> DataFrame:
-    """(_id, _hash, _copy, _first): number of a document's first sequence.  Counts
-    are summed in ranges of ids and then over the ranges."""
-    frame = with_key(docs, "_id", "_text")
-    id_type = frame.schema["_id"].dataType.simpleString()
+@lru_cache(maxsize=2)
+def _tokenizer(path: str, pattern: str):
+    """The public library's encoder, whose compiled merging suits plain encoding."""
+    import tiktoken
+    return tiktoken.Encoding("shards", pat_str=pattern, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = bpe.encoder(path, pattern)
+
+#: characters without a break from which the linear encoder is used
+_LONG = 5000
+
+
+def _ids(text: str | None, path: str, pattern: str) -> np.ndarray:
+    if not text:
+        return np.zeros(0, np.uint32)
+    if len(text) > _LONG and (max(map(len, text.split()), default=_LONG) >= _LONG or max(map(len, _GAP.findall(text)), default=0) >= _LONG):
+        return np.array(bpe.encoder(path, pattern).encode(text), np.uint32)
+    return _tokenizer(path, pattern).encode_to_numpy(text, disallowed_special=())
+
+
+_GAP = re.compile(r"\s{64,}")
+
+
+def _encoded(docs: DataFrame, length: int, kind: str, path: str, pattern: str) -> DataFrame:
+    """(_id, _part, _at, _n, _ids): ids of every document with a sequence, the task
+    that encoded it, and its first sequence within that task; written."""
+    id_type = docs.schema["_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part_id, at = TaskContext.get().partitionId(), 0
         for b in batches:
             for part in bpe.slices(b, "_text"):
-                n = [-(-len(enc.encode(t)) // length) for t in part.column("_text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_hash"), pa.array(n, pa.int64())], ["_id", "_hash", "_n"])
-
-    sized = (frame.withColumn("_hash", F.xxhash64("_text")).mapInArrow(count, f"_id {id_type}, _hash bigint, _n bigint")
-             .groupBy("_id", "_hash").agg(F.max("_n").alias("_n"), F.count(F.lit(1)).alias("_rows")).where("_n > 0"))
-    rows = written(sized.repartitionByRange(F.col("_id").asc_nulls_first(), "_hash").sortWithinPartitions(F.col("_id").asc_nulls_first(), "_hash")
-                   .withColumn("_part", F.spark_partition_id()).withColumn("_pos", F.monotonically_increasing_id()), "order-counts")
-    total = F.sum(F.col("_n") * F.col("_rows"))
+                ids = [_ids(t, path, pattern) for t in part.column("_text").to_pylist()]
+                n = np.array([-(-len(x) // length) for x in ids], np.int64)
+                first = at + np.cumsum(n) - n
+                at += int(n.sum())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("_id"), pa.array(np.full(len(n), part_id, np.int64)), pa.array(first), pa.array(n),
+                     pa.array([x.astype(kind).tobytes() for x in ids], pa.binary())], ["_id", "_part", "_at", "_n", "_ids"])
+
+    return written(docs.mapInArrow(run, f"_id {id_type}, _part bigint, _at bigint, _n bigint, _ids binary").where("_n > 0"), "order-ids")
+
+
+def _numbered(encoded: DataFrame) -> DataFrame:
+    """``encoded`` with ``_first``, the number of a document's first sequence.  One
+    row per task that encoded is broadcast."""
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per range partition
-    offset = rows.groupBy("_part").agg(total.alias("s")).select("_part", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
-    return (rows.withColumn("_in", F.coalesce(F.sum(F.col("_n") * F.col("_rows")).over(inside), F.lit(0))).join(F.broadcast(offset), "_part")
-            .select("_id", "_hash", "_n", "_rows", (F.col("_in") + F.col("_off")).alias("_first")))
+    offset = (encoded.groupBy("_part").agg(F.sum("_n").alias("s"))
+              .select("_part", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("_off")))
+    return encoded.join(F.broadcast(offset), "_part").withColumn("_first", F.col("_off") + F.col("_at"))
 
 
 def materialise(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text: str = "text", length: int = 512,
@@ -117,13 +146,12 @@ def materialise(docs: DataFrame, path: str | None = None, id_col: str = "doc_id"
     spark = docs.sparkSession
     path, vocab, pattern = path or scratch(spark, "shards"), vocab or bpe.default_path(), pattern or bpe.default_pattern()
     wide = 2 if max(pad, *bpe.token_bytes(vocab)) < 1 << 16 else 4
-    base = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
-    firsts = written(_numbered(base, length, vocab, pattern), "order-first")
-    n = firsts.agg(F.sum(F.col("_n") * F.col("_rows"))).first()[0] or 0
+    encoded = _encoded(docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")), length, "<u2" if wide == 2 else "<u4", vocab, pattern)
+    n = encoded.agg(F.sum("_n")).first()[0] or 0
     manifest = {"path": path, "n_sequences": n, "length": length, "stride": 4 + wide * length, "id_bytes": wide, "per_shard": per_shard,
-                "shards": -(-n // per_shard), "key": key, "pad": pad}
+                "shards": -(-n // per_shard), "key": key, "pad": pad, "ids": encoded.inputFiles()[0].rsplit("/", 1)[0] if n else None}
     if n:
-        _write(base, firsts, manifest, vocab, pattern)
+        _write(_numbered(encoded).select("_first", "_n", "_ids"), manifest)
     fs, root = _filesystem(path)
     fs.create_dir(root, recursive=True)
     with fs.open_output_stream(f"{root}/manifest.json") as f:
@@ -131,25 +159,22 @@ def materialise(docs: DataFrame, path: str | None = None, id_col: str = "doc_id"
     return manifest
 
 
-def _write(base: DataFrame, firsts: DataFrame, manifest: dict, vocab: str, pattern: str) -> None:
+def documents_of(spark: SparkSession, manifest: dict, id_col: str = "doc_id") -> DataFrame:
+    """(id, first_sequence, n_sequences) of every document that has any."""
+    return _numbered(spark.read.parquet(manifest["ids"])).select(F.col("_id").alias(id_col), F.col("_first").alias("first_sequence"), F.col("_n").alias("n_sequences"))
+
+
+def _write(rows: DataFrame, manifest: dict) -> None:
     length, per_shard, stride, wide, pad, path = (manifest[k] for k in ("length", "per_shard", "stride", "id_bytes", "pad", "path"))
     order = Order(manifest["n_sequences"], manifest["key"])
     kind = "<u2" if wide == 2 else "<u4"
-    id_type = base.schema["_id"].dataType.simpleString()
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = bpe.encoder(vocab, pattern)
-        for b in batches:
-            for part in bpe.slices(b, "_text"):
-                ids = [np.array(enc.encode(t), kind).tobytes() for t in part.column("_text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_hash"), pa.array(ids, pa.binary())], ["_id", "_hash", "_ids"])
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             index, data = [], []
-            for first, n, copy, ids in zip(*(b.column(c).to_pylist() for c in ("_first", "_n", "_copy", "_ids"))):
+            for first, n, ids in zip(*(b.column(c).to_pylist() for c in ("_first", "_n", "_ids"))):
                 for k in range(n):
-                    index.append(first + copy * n + k)
+                    index.append(first + k)
                     data.append(ids[k * length * wide:(k + 1) * length * wide])
             yield pa.RecordBatch.from_arrays([pa.array(order.slot(index), pa.int64()), pa.array(data, pa.binary())], ["slot", "ids"])
 
@@ -181,50 +206,44 @@ def _write(base: DataFrame, firsts: DataFrame, manifest: dict, vocab: str, patte
             close()
             yield pa.RecordBatch.from_arrays([pa.array(done, pa.int64())], ["shard"])
 
-    hashed = base.withColumn("_hash", F.xxhash64("_text")).mapInArrow(encode, f"_id {id_type}, _hash bigint, _ids binary").where("length(_ids) > 0")
-    # copies of one (id, text) follow each other
-    once = hashed.join(firsts.where("_rows = 1").withColumn("_copy", F.lit(0)), (hashed["_id"].eqNullSafe(firsts["_id"])) & (hashed["_hash"] == firsts["_hash"]))
-    again = (hashed.groupBy("_id", "_hash").agg(F.first("_ids").alias("_ids"))
-             .join(firsts.where("_rows > 1").withColumnRenamed("_id", "_i").withColumnRenamed("_hash", "_h"), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")))
-             .withColumn("_copy", F.explode(F.expr("sequence(0, int(_rows - 1))"))))
-    cols = ["_first", "_n", "_copy", "_ids"]
-    rows = once.select(*cols)
-    if not firsts.where("_rows > 1").isEmpty():
-        rows = rows.unionByName(again.select(*cols))
-    dealt = rows.mapInArrow(spread, "slot bigint, ids binary").withColumn("shard", F.floor(F.col("slot") / per_shard))
     shards = manifest["shards"]
-    written_ = (dealt.repartitionByRange(min(shards, max(1, int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")))), "shard")
-                .sortWithinPartitions("slot").select("slot", "ids").mapInArrow(write, "shard bigint"))
+    parts = min(shards, max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    dealt = rows.mapInArrow(spread, "slot bigint, ids binary")
+    written_ = (dealt.repartitionById(parts, F.floor(F.floor(F.col("slot") / per_shard) * parts / shards).cast("int"))
+                .sortWithinPartitions("slot").mapInArrow(write, "shard bigint"))
     n = written_.agg(F.countDistinct("shard")).first()[0]
     if n != shards:
         raise ValueError(f"{n} of {shards} shards were written")
 
 
+def _records(manifest: dict, shard: int, lo: int, hi: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first slot, lengths, padded ids) of the slots lo .. hi-1 of a shard, some at a time."""
+    per_shard, stride, kind = manifest["per_shard"], manifest["stride"], "<u2" if manifest["id_bytes"] == 2 else "<u4"
+    fs, root = _filesystem(manifest["path"])
+    with fs.open_input_file(f"{root}/shard-{shard:08d}.bin") as f:
+        f.seek((lo - shard * per_shard) * stride)
+        for at in range(lo, hi, 512):
+            raw = np.frombuffer(f.read(min(512, hi - at) * stride), np.uint8).reshape(-1, stride)
+            yield at, raw[:, :4].copy().view("<u4")[:, 0].astype(np.int64), raw[:, 4:].copy().view(kind)
+
+
 def read_sequences(spark: SparkSession, manifest: dict, start: int = 0, stop: int | None = None) -> DataFrame:
     """(slot, ids) of the slots from ``start`` up to ``stop``, as a reader that
     resumes at ``start`` gets them; only the shards that hold them are read."""
-    length, per_shard, stride, wide, n, path = (manifest[k] for k in ("length", "per_shard", "stride", "id_bytes", "n_sequences", "path"))
+    length, per_shard, n = (manifest[k] for k in ("length", "per_shard", "n_sequences"))
     stop = n if stop is None else min(stop, n)
     schema = "slot bigint, ids array<int>"
     if start >= stop:
         return spark.createDataFrame([], schema)
-    kind = "<u2" if wide == 2 else "<u4"
     first, last = start // per_shard, (stop - 1) // per_shard
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = _filesystem(path)
         for b in batches:
             for shard in b.column("id").to_pylist():
-                lo, hi = max(start, shard * per_shard), min(stop, (shard + 1) * per_shard)
-                with fs.open_input_file(f"{root}/shard-{shard:08d}.bin") as f:
-                    f.seek((lo - shard * per_shard) * stride)
-                    for at in range(lo, hi, 512):
-                        raw = np.frombuffer(f.read(min(512, hi - at) * stride), np.uint8).reshape(-1, stride)
-                        size = raw[:, :4].copy().view("<u4")[:, 0].astype(np.int64)
-                        ids = raw[:, 4:].copy().view(kind)
-                        flat = ids[np.arange(length)[None, :] < size[:, None]].astype(np.int32)
-                        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(flat))
-                        yield pa.RecordBatch.from_arrays([pa.array(np.arange(at, at + len(size))), lists], ["slot", "ids"])
+                for at, size, ids in _records(manifest, shard, max(start, shard * per_shard), min(stop, (shard + 1) * per_shard)):
+                    flat = ids[np.arange(length)[None, :] < size[:, None]].astype(np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(flat))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(at, at + len(size))), lists], ["slot", "ids"])
 
     parts = min(last - first + 1, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     return spark.range(first, last + 1, 1, parts).mapInArrow(run, schema)
@@ -233,14 +252,22 @@ def read_sequences(spark: SparkSession, manifest: dict, start: int = 0, stop: in
 def report(spark: SparkSession, manifest: dict) -> DataFrame:
     """One row per slot, read back from the shards: ``slot``, ``sequence`` (its
     number before the permutation), ``shard``, ``offset`` (in bytes),
-    ``n_tokens``, ``ids_sha256`` (of the decimal ids, comma-joined)."""
-    order, per_shard, stride = Order(max(1, manifest["n_sequences"]), manifest["key"]), manifest["per_shard"], manifest["stride"]
+    ``n_tokens``, ``sha256`` (of the ids as they lie in the shard)."""
+    per_shard, stride, n = (manifest[k] for k in ("per_shard", "stride", "n_sequences"))
+    schema = "slot bigint, sequence bigint, shard bigint, offset bigint, n_tokens bigint, sha256 string"
+    if not n:
+        return spark.createDataFrame([], schema)
+    order = Order(n, manifest["key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            slots = b.column("slot").to_numpy()
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(order.index(slots), pa.int64())], ["slot", "ids", "sequence"])
-
-    out = read_sequences(spark, manifest).mapInArrow(run, "slot bigint, ids array<int>, sequence bigint")
-    return out.select("slot", "sequence", F.floor(F.col("slot") / per_shard).alias("shard"), (F.col("slot") % per_shard * stride).alias("offset"),
-                      F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"))
+            for shard in b.column("id").to_pylist():
+                for at, size, ids in _records(manifest, shard, shard * per_shard, min(n, (shard + 1) * per_shard)):
+                    slots = at + np.arange(len(size))
+                    sha = [sha256_hex(x[:k].tobytes()) for x, k in zip(ids, size)]
+                    yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(order.index(slots)), pa.array(np.full(len(size), shard)),
+                                                      pa.array((slots - shard * per_shard) * stride), pa.array(size), pa.array(sha)],
+                                                     ["slot", "sequence", "shard", "offset", "n_tokens", "sha256"])
+
+    parts = min(manifest["shards"], max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return spark.range(0, manifest["shards"], 1, parts).mapInArrow(run, schema)

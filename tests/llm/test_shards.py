@@ -1,6 +1,7 @@
 import hashlib
 import json
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -16,51 +17,59 @@ def test_order_is_a_keyed_permutation():
     assert (a != b).mean() > 0.9 and abs(np.corrcoef(a, np.arange(1000))[0, 1]) < 0.2
 
 
-def sequences(rows, length):
-    enc, out = bpe.encoder(bpe.default_path(), bpe.default_pattern()), []
-    for _, t in rows:
+def check(spark, manifest, rows, id_col="doc_id"):
+    """Every document's sequences are where its numbers and the permutation put them."""
+    enc, size = bpe.encoder(bpe.default_path(), bpe.default_pattern()), manifest["length"]
+    out = {r.sequence: r for r in shards.report(spark, manifest).collect()}
+    n = manifest["n_sequences"]
+    assert sorted(out) == sorted(r.slot for r in out.values()) == list(range(n))
+    at = {}
+    for r in shards.documents_of(spark, manifest).collect() if n else []:
+        at.setdefault(r.doc_id, []).append((r.first_sequence, r.n_sequences))
+    seen, have, want = 0, Counter(), Counter()
+    for i, t in rows:
         ids = enc.encode(t)
-        out += [ids[i:i + length] for i in range(0, len(ids), length)]
-    return out
+        want.update((i, tuple(ids[k:k + size]), k) for k in range(0, len(ids), size))
+    whole = {r.slot: tuple(r.ids) for r in shards.read_sequences(spark, manifest).collect()}
+    for i, places in at.items():
+        for first, k in places:
+            have.update((i, whole[out[first + j].slot], j * size) for j in range(k))
+            seen += k
+    assert seen == n and have == want
+    for r in out.values():
+        ids = np.array(whole[r.slot], "<u2")
+        assert r.sha256 == hashlib.sha256(ids.tobytes()).hexdigest() and r.n_tokens == len(ids)
+        assert (r.shard, r.offset) == (r.slot // manifest["per_shard"], r.slot % manifest["per_shard"] * manifest["stride"])
+    return whole
 
 
 def test_shards_round_trip_and_resume(spark, tmp_path):
     rnd = random.Random(3)
     rows = [(i, " ".join(rnd.choice(["the", "of", "tion", "é", "xyz"]) for _ in range(rnd.randint(0, 60)))) for i in range(150)]
-    extra = [(5000, None), (5001, ""), (5002, "very long " * 9000), (5003, "same row twice and again"), (5003, "same row twice and again")]
-    df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows + extra], "doc_id long, text string, slot int, ids string").repartition(4)
+    rows += [(5000, None), (5001, ""), (5002, "very long " * 9000), (5003, "same row twice and again"), (5003, "same row twice and again"),
+             (5004, "abc" * 4000), (5005, "a" + " " * 9000 + "b"), (None, "no id"), (None, "nor here")]
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, slot int, ids string").repartition(4)
     got = shards.materialise(df, path=str(tmp_path / "a"), length=16, per_shard=37, key=9)
-    want = sequences(rows + extra, 16)
-    assert got["n_sequences"] == len(want) and json.load(open(tmp_path / "a/manifest.json")) == got
-    out = shards.report(spark, got).collect()
-    assert sorted(r.slot for r in out) == sorted(r.sequence for r in out) == list(range(len(want)))
-    for r in out:
-        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, want[r.sequence])).encode()).hexdigest()
-        assert r.shard == r.slot // 37 and r.offset == r.slot % 37 * got["stride"] and r.n_tokens == len(want[r.sequence])
-    size = {p.name: p.stat().st_size for p in (tmp_path / "a").glob("*.bin")}
-    assert len(size) == got["shards"] and set(list(size.values())[:0]) == set() and sum(size.values()) == len(want) * got["stride"]
+    assert json.load(open(tmp_path / "a/manifest.json")) == got
+    whole = check(spark, got, rows)
+    size = [p.stat().st_size for p in sorted((tmp_path / "a").glob("*.bin"))]
+    assert size[:-1] == [37 * got["stride"]] * (got["shards"] - 1) and sum(size) == got["n_sequences"] * got["stride"]
     assert not list((tmp_path / "a").glob(".shard*"))
-    whole = {r.slot: list(r.ids) for r in shards.read_sequences(spark, got).collect()}
-    part = {r.slot: list(r.ids) for r in shards.read_sequences(spark, got, 50, 200).collect()}
-    assert part == {s: whole[s] for s in range(50, min(200, len(want)))}
-    # the same bytes from another layout
-    again = shards.materialise(df.repartition(7), path=str(tmp_path / "b"), length=16, per_shard=37, key=9)
-    for k in range(got["shards"]):
-        assert (tmp_path / f"a/shard-{k:08d}.bin").read_bytes() == (tmp_path / f"b/shard-{k:08d}.bin").read_bytes()
-    assert again["n_sequences"] == got["n_sequences"]
+    part = {r.slot: tuple(r.ids) for r in shards.read_sequences(spark, got, 50, 200).collect()}
+    assert part == {s: whole[s] for s in range(50, 200)}
 
 
-def test_null_ids_and_no_sequences(spark, tmp_path):
-    df = spark.createDataFrame([(None, "a b"), (1, "c"), (None, "d")], "doc_id long, text string")
-    got = shards.materialise(df, path=str(tmp_path / "n"), length=4, per_shard=2)
-    assert got["n_sequences"] == 3 and shards.read_sequences(spark, got).count() == 3
-    none = shards.materialise(df.limit(0), path=str(tmp_path / "e"))
-    assert none["n_sequences"] == none["shards"] == 0 and shards.report(spark, none).count() == 0
+def test_no_sequences(spark, tmp_path):
+    df = spark.createDataFrame([(None, ""), (1, None)], "doc_id long, text string")
+    for d in (df, df.limit(0)):
+        none = shards.materialise(d, path=str(tmp_path / "e"))
+        assert none["n_sequences"] == none["shards"] == 0 and shards.report(spark, none).count() == shards.read_sequences(spark, none).count() == 0
 
 
-def test_op8_query(spark, sf):
-    rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
-    want = sequences(rows, 512)
-    out = registry.QUERIES["op8_training_order"](spark, sf).collect()
-    assert sorted(r.slot for r in out) == list(range(len(want)))
-    assert all(r.ids_sha256 == hashlib.sha256(",".join(map(str, want[r.sequence])).encode()).hexdigest() for r in out)
+def test_op8_query(spark, sf, monkeypatch):
+    made = []
+    write = shards.materialise
+    monkeypatch.setattr(shards, "materialise", lambda *a, **k: made.append(write(*a, **k)) or made[0])
+    out = registry.QUERIES["op8_training_order"](spark, sf)
+    assert out.count() == made[0]["n_sequences"]
+    check(spark, made[0], [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()])
