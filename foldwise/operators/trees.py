@@ -10,7 +10,6 @@ every alpha predicts with the first pruned ancestor on the path.
 
 from __future__ import annotations
 
-import time
 
 import numpy as np
 import pandas as pd

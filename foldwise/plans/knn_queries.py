@@ -119,8 +119,8 @@ def _e1(spark, d, strategy):
 
 @register("e1_knn_join", _e1_sql())
 def e1_knn_join(spark, d):
-    """Exact 5-NN of every customer among all customers (broadcast strategy)."""
-    return _e1(spark, d, "broadcast")
+    """Exact 5-NN of every customer among all customers (train side broadcast if small, else banded)."""
+    return _e1(spark, d, "auto")
 
 
 @register("e1_knn_join_band", _e1_sql())

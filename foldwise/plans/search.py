@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.classification import RandomForestClassifier

@@ -7,7 +7,6 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from foldwise.operators import features as FE
