@@ -1,25 +1,26 @@
 """Training-order materialisation of token ids in fixed-stride binary shards.
 
-Every document is encoded (byte-level BPE) and cut into sequences of
-``length`` ids.  One pass encodes the texts and writes the ids with their
-place in the pass; the tasks' totals then number all sequences from 0 on.
-That numbering is on disk before it is used, so a retried task or a
-resumed run finds the same one.  A keyed Feistel permutation with cycle
-walking maps each number to its slot in the training order, a bijection
-on 0 .. n-1 that needs no sort and no table.  Rows go to partitions by
+Every document is encoded (byte-level BPE), an end id follows it, and the
+stream of each encoding task is cut into sequences of ``length`` ids; only
+a task's last one is padded.  That pass writes the sequences with their
+place in it, and the tasks' totals then number them from 0 on.  The
+numbering is on disk before it is used, so a retried task or a resumed
+run finds the same one.  A keyed Feistel permutation with cycle walking
+maps each number to its slot in the training order, a bijection on
+0 .. n-1 that needs no sort and no table.  Rows go to partitions by
 ranges of slots, the only shuffle of the ids, and are written as binary
 files of ``per_shard`` slots; a slot is one fixed stride: its length as
 little-endian uint32, then ``length`` ids as little-endian uint16 (uint32
-for larger vocabularies), padded with ``pad``.  A reader finds slot s at
-byte ``(s mod per_shard) * stride`` of shard ``s div per_shard`` and can
-resume at any slot.
+for larger vocabularies), padded with the end id.  A reader finds slot s
+at byte ``(s mod per_shard) * stride`` of shard ``s div per_shard`` and
+can resume at any slot.
 
 A shard is written under a name of its attempt and renamed when it is
 whole; a lost executor's shard is written again with the same bytes.  The
 manifest is written last.
 
-Defined cases: a null or empty text has no sequences; repeated rows, also
-of one id, have sequences of their own; an id may be null; with no
+Defined cases: a null or empty text has no ids and no end id; repeated
+rows, also of one id, are encoded one by one; an id may be null; with no
 sequence there are no shards, only the manifest.
 """
 
@@ -110,48 +111,71 @@ def _ids(text: str | None, path: str, pattern: str) -> np.ndarray:
 _GAP = re.compile(r"\s{64,}")
 
 
-def _encoded(docs: DataFrame, length: int, kind: str, path: str, pattern: str) -> DataFrame:
-    """(_id, _part, _at, _n, _ids): ids of every document with a sequence, the task
-    that encoded it, and its first sequence within that task; written."""
+def _encoded(docs: DataFrame, length: int, kind: str, end: int, path: str, pattern: str) -> DataFrame:
+    """(_part, _at, _ids, _docs): the sequences of every encoding task in order, each
+    with the documents that start in it (id, place); written."""
     id_type = docs.schema["_id"].dataType.simpleString()
+    shape = f"_part bigint, _at bigint, _ids binary, _docs array<struct<id:{id_type},place:int>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part_id, at = TaskContext.get().partitionId(), 0
+        part_id, at, rest, waiting, id_kind = TaskContext.get().partitionId(), 0, np.zeros(0, kind), [], None
+
+        def rows(stream: np.ndarray, starts: list) -> pa.RecordBatch:
+            """Sequences of the stream; ``starts`` has (id, offset) in order."""
+            nonlocal at
+            n = -(-len(stream) // length)
+            ids = [stream[k * length:(k + 1) * length].tobytes() for k in range(n)]
+            inside = [[] for _ in range(n)]
+            for i, o in starts:
+                inside[o // length].append({"id": i, "place": o % length})
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, part_id, np.int64)), pa.array(np.arange(at, at + n)), pa.array(ids, pa.binary()),
+                 pa.array(inside, pa.list_(pa.struct([("id", id_kind), ("place", pa.int32())])))], ["_part", "_at", "_ids", "_docs"])
+            at += n
+            return out
+
         for b in batches:
+            id_kind = b.schema.field("_id").type
             for part in bpe.slices(b, "_text"):
-                ids = [_ids(t, path, pattern) for t in part.column("_text").to_pylist()]
-                n = np.array([-(-len(x) // length) for x in ids], np.int64)
-                first = at + np.cumsum(n) - n
-                at += int(n.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("_id"), pa.array(np.full(len(n), part_id, np.int64)), pa.array(first), pa.array(n),
-                     pa.array([x.astype(kind).tobytes() for x in ids], pa.binary())], ["_id", "_part", "_at", "_n", "_ids"])
-
-    return written(docs.mapInArrow(run, f"_id {id_type}, _part bigint, _at bigint, _n bigint, _ids binary").where("_n > 0"), "order-ids")
+                pieces, size = [rest], len(rest)
+                for i, t in zip(part.column("_id").to_pylist(), part.column("_text").to_pylist()):
+                    ids = _ids(t, path, pattern)
+                    if len(ids):
+                        waiting.append((i, size))
+                        pieces += [ids.astype(kind), np.array([end], kind)]
+                        size += len(ids) + 1
+                stream = np.concatenate(pieces)
+                whole = size // length * length
+                yield rows(stream[:whole], [x for x in waiting if x[1] < whole])
+                rest, waiting = stream[whole:], [(i, o - whole) for i, o in waiting if o >= whole]
+        if len(rest):
+            yield rows(rest, waiting)
+
+    return written(docs.mapInArrow(run, shape), "order-ids", compression="zstd")
 
 
 def _numbered(encoded: DataFrame) -> DataFrame:
-    """``encoded`` with ``_first``, the number of a document's first sequence.  One
-    row per task that encoded is broadcast."""
+    """``encoded`` with ``_number``, the sequence's number.  One row per task that
+    encoded is broadcast."""
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offset = (encoded.groupBy("_part").agg(F.sum("_n").alias("s"))
+    offset = (encoded.groupBy("_part").agg(F.count(F.lit(1)).alias("s"))
               .select("_part", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("_off")))
-    return encoded.join(F.broadcast(offset), "_part").withColumn("_first", F.col("_off") + F.col("_at"))
+    return encoded.join(F.broadcast(offset), "_part").withColumn("_number", F.col("_off") + F.col("_at"))
 
 
 def materialise(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text: str = "text", length: int = 512,
-                per_shard: int = 2048, key: int = 20240229, pad: int = 50256, vocab: str | None = None, pattern: str | None = None) -> dict:
+                per_shard: int = 2048, key: int = 20240229, end: int = 50256, vocab: str | None = None, pattern: str | None = None) -> dict:
     """Write the shards below ``path`` (a new shared folder by default) and return
     the manifest, which is also written there as ``manifest.json``."""
     spark = docs.sparkSession
     path, vocab, pattern = path or scratch(spark, "shards"), vocab or bpe.default_path(), pattern or bpe.default_pattern()
-    wide = 2 if max(pad, *bpe.token_bytes(vocab)) < 1 << 16 else 4
-    encoded = _encoded(docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")), length, "<u2" if wide == 2 else "<u4", vocab, pattern)
-    n = encoded.agg(F.sum("_n")).first()[0] or 0
+    wide = 2 if max(end, *bpe.token_bytes(vocab)) < 1 << 16 else 4
+    encoded = _encoded(docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")), length, "<u2" if wide == 2 else "<u4", end, vocab, pattern)
+    n = encoded.count()
     manifest = {"path": path, "n_sequences": n, "length": length, "stride": 4 + wide * length, "id_bytes": wide, "per_shard": per_shard,
-                "shards": -(-n // per_shard), "key": key, "pad": pad, "ids": encoded.inputFiles()[0].rsplit("/", 1)[0] if n else None}
+                "shards": -(-n // per_shard), "key": key, "end": end, "ids": encoded.inputFiles()[0].rsplit("/", 1)[0] if n else None}
     if n:
-        _write(_numbered(encoded).select("_first", "_n", "_ids"), manifest)
+        _write(_numbered(encoded).select("_number", "_ids"), manifest)
     fs, root = _filesystem(path)
     fs.create_dir(root, recursive=True)
     with fs.open_output_stream(f"{root}/manifest.json") as f:
@@ -160,23 +184,20 @@ def materialise(docs: DataFrame, path: str | None = None, id_col: str = "doc_id"
 
 
 def documents_of(spark: SparkSession, manifest: dict, id_col: str = "doc_id") -> DataFrame:
-    """(id, first_sequence, n_sequences) of every document that has any."""
-    return _numbered(spark.read.parquet(manifest["ids"])).select(F.col("_id").alias(id_col), F.col("_first").alias("first_sequence"), F.col("_n").alias("n_sequences"))
+    """(id, sequence, place) where every document with ids starts; its ids go on
+    to the end id, over the sequences that follow by number."""
+    rows = _numbered(spark.read.parquet(manifest["ids"])).select("_number", F.explode("_docs").alias("d"))
+    return rows.select(F.col("d.id").alias(id_col), F.col("_number").alias("sequence"), F.col("d.place").alias("place"))
 
 
 def _write(rows: DataFrame, manifest: dict) -> None:
-    length, per_shard, stride, wide, pad, path = (manifest[k] for k in ("length", "per_shard", "stride", "id_bytes", "pad", "path"))
+    length, per_shard, stride, wide, pad, path = (manifest[k] for k in ("length", "per_shard", "stride", "id_bytes", "end", "path"))
     order = Order(manifest["n_sequences"], manifest["key"])
     kind = "<u2" if wide == 2 else "<u4"
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            index, data = [], []
-            for first, n, ids in zip(*(b.column(c).to_pylist() for c in ("_first", "_n", "_ids"))):
-                for k in range(n):
-                    index.append(first + k)
-                    data.append(ids[k * length * wide:(k + 1) * length * wide])
-            yield pa.RecordBatch.from_arrays([pa.array(order.slot(index), pa.int64()), pa.array(data, pa.binary())], ["slot", "ids"])
+            yield pa.RecordBatch.from_arrays([pa.array(order.slot(b.column("_number").to_numpy())), b.column("_ids")], ["slot", "ids"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _filesystem(path)

@@ -23,19 +23,16 @@ def check(spark, manifest, rows, id_col="doc_id"):
     out = {r.sequence: r for r in shards.report(spark, manifest).collect()}
     n = manifest["n_sequences"]
     assert sorted(out) == sorted(r.slot for r in out.values()) == list(range(n))
-    at = {}
-    for r in shards.documents_of(spark, manifest).collect() if n else []:
-        at.setdefault(r.doc_id, []).append((r.first_sequence, r.n_sequences))
-    seen, have, want = 0, Counter(), Counter()
-    for i, t in rows:
-        ids = enc.encode(t)
-        want.update((i, tuple(ids[k:k + size]), k) for k in range(0, len(ids), size))
     whole = {r.slot: tuple(r.ids) for r in shards.read_sequences(spark, manifest).collect()}
-    for i, places in at.items():
-        for first, k in places:
-            have.update((i, whole[out[first + j].slot], j * size) for j in range(k))
-            seen += k
-    assert seen == n and have == want
+    stream = {k: whole[out[k].slot] for k in out}
+    have, want = Counter(), Counter((i, tuple(enc.encode(t))) for i, t in rows if t)
+    for r in shards.documents_of(spark, manifest).collect():
+        ids, k = list(stream[r.sequence][r.place:]), r.sequence
+        while manifest["end"] not in ids:
+            k += 1
+            ids += stream[k]
+        have[(r.doc_id, tuple(ids[:ids.index(manifest["end"])]))] += 1
+    assert have == want and sum(map(len, stream.values())) == sum((len(ids) + 1) * c for (_, ids), c in want.items())
     for r in out.values():
         ids = np.array(whole[r.slot], "<u2")
         assert r.sha256 == hashlib.sha256(ids.tobytes()).hexdigest() and r.n_tokens == len(ids)
