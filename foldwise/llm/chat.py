@@ -118,7 +118,9 @@ def windows(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
                 n = [len(enc.encode(format_turn(r, x)[0])) for r, x in zip(part.column("_role").to_pylist(), part.column("_text").to_pylist())]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n, pa.int64())], [*part.schema.names, "_n"])
 
-    sized = t.mapInArrow(count, f"_id {id_type}, _c string, _turn {t.schema['_turn'].dataType.simpleString()}, _role string, _text string, _n bigint")
+    # written, as cutting the ranges reads it once more
+    sized = written(t.mapInArrow(count, f"_id {id_type}, _c string, _turn {t.schema['_turn'].dataType.simpleString()}, _role string, _text string, _n bigint"),
+                    "chat-sized")
     order = ["_c", F.col("_turn").asc_nulls_first(), "_role", "_text"]
     rows = written(sized.repartitionByRange("_c", "_turn").sortWithinPartitions(*order)
                    .withColumn("_part", F.spark_partition_id()).withColumn("_pos", F.monotonically_increasing_id()), "chat-turns")
