@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foldwise.operators import cluster as CL
+from foldwise.operators import extra_trees as ET
 from foldwise.operators import glm as G
 from foldwise.operators import linear as L
 from foldwise.operators import sgd as SGD
@@ -94,3 +95,20 @@ def test_shared_folder_is_required_off_local(spark):
 
     with pytest.raises(ValueError):
         checkpoint_dir(Off)
+
+
+def test_extra_trees_learn_and_ignore_layout(spark):
+    rng = np.random.default_rng(6)
+    X = rng.normal(size=(600, 4))
+    y = ((X[:, 0] > 0) ^ (X[:, 1] > 0)).astype(int)
+    cols = ["a", "b", "c", "d"]
+    df = spark.createDataFrame([(i, int(y[i]), *map(float, X[i])) for i in range(600)], "row_id long, target int, a double, b double, c double, d double")
+    one = ET.fit(df.where("row_id < 400"), cols, n_trees=20, max_depth=8)
+    two = ET.fit(df.where("row_id < 400").repartition(5), cols, n_trees=20, max_depth=8)
+    assert (one.feature == two.feature).all() and np.allclose(one.threshold, two.threshold)
+    got = {r.row_id: r.score for r in ET.score(df, one, cols, ["row_id"]).collect()}
+    assert np.mean([(got[i] > 0.5) == y[i] for i in range(400, 600)]) > 0.85
+    # leaves hold their rows' share of positives
+    leaf = one.leaves(X[:400], 0)
+    for n in np.unique(leaf):
+        assert np.isclose(one.value[n], y[:400][leaf == n].mean())
