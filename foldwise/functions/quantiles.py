@@ -38,7 +38,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     # ordered value bins from approximate cut points (array of N_BINS-1 per group)
     cuts = vc.groupBy(*g).agg(F.percentile_approx(
         "value", [i / N_BINS for i in range(1, N_BINS)], 10 * N_BINS).alias("_cuts"))
-    vb = vc.join(F.broadcast(cuts), on=g) if not by else vc.join(cuts, on=g)
+    # one row per group and column; groups are folds or models, so few
+    vb = vc.join(F.broadcast(cuts), on=g)
     vb = vb.withColumn("_bin", F.size(F.filter("_cuts", lambda c: c < F.col("value")))).drop("_cuts")
     bins = vb.groupBy(*g, "_bin").agg(F.sum("_c").alias("_bc"))
     wo = Window.partitionBy(*g).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)

@@ -94,10 +94,13 @@ def roc_auc(df: DataFrame, by: list[str], y: str = "y", s: str = "score", out: s
 def _desc_cum(df: DataFrame, by: list[str], y: str, s: str) -> DataFrame:
     """Per distinct threshold (descending): tp / fp at score >= threshold, totals."""
     sc = running_before(score_counts(df, by, y, s), by, "score", ["pos", "neg"], desc=True)
-    w = Window.partitionBy(*by)
-    return (sc.withColumn("tp", F.col("pos_before") + F.col("pos"))
-            .withColumn("fp", F.col("neg_before") + F.col("neg"))
-            .withColumn("P", F.sum("pos").over(w)).withColumn("N", F.sum("neg").over(w)))
+    # one row of totals per model, attached by broadcast
+    keys = by or ["_one"]
+    sc = sc if by else sc.withColumn("_one", F.lit(1))
+    total = sc.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    out = (sc.withColumn("tp", F.col("pos_before") + F.col("pos")).withColumn("fp", F.col("neg_before") + F.col("neg"))
+           .join(F.broadcast(total), keys))
+    return out if by else out.drop("_one")
 
 
 def roc_curve(df: DataFrame, by: list[str], y: str = "y", s: str = "score") -> DataFrame:
@@ -252,9 +255,10 @@ def best_row(df: DataFrame, metric: str, by: list[str] | None = None, tie: list[
     """First best row per group: max (or min) metric, ties to the smallest tie key."""
     by = list(by or [])
     tie = list(tie or [])
-    order = [F.col(metric).desc() if maximize else F.col(metric).asc()] + [F.col(t).asc() for t in tie]
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    key = F.struct(F.col(metric).isNull(), (-F.col(metric) if maximize else F.col(metric)), *[F.col(t) for t in tie])
+    # combined in the tasks first: no group is ever together in one task
+    best = df.groupBy(*by).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), key).alias("_best"))
+    return best.where("_best is not null").select("_best.*")
 
 
 def top_n(df: DataFrame, metric: str, n: int, tie: list[str], maximize: bool = True) -> DataFrame:
