@@ -191,47 +191,66 @@ def documents_of(spark: SparkSession, manifest: dict, id_col: str = "doc_id") ->
 
 
 def _write(rows: DataFrame, manifest: dict) -> None:
-    length, per_shard, stride, wide, pad, path = (manifest[k] for k in ("length", "per_shard", "stride", "id_bytes", "end", "path"))
+    length, per_shard, stride, wide, end, path = (manifest[k] for k in ("length", "per_shard", "stride", "id_bytes", "end", "path"))
     order = Order(manifest["n_sequences"], manifest["key"])
     kind = "<u2" if wide == 2 else "<u4"
 
+    def count(shard: int) -> int:
+        return min(per_shard, manifest["n_sequences"] - shard * per_shard)
+
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Records as they will lie in the shards, those of a batch that go to one
+        shard together and compressed."""
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(order.slot(b.column("_number").to_numpy())), b.column("_ids")], ["slot", "ids"])
+            slot, ids = order.slot(b.column("_number").to_numpy()), b.column("_ids").to_pylist()
+            record = np.full((len(ids), 2 + length), end, kind) if wide == 2 else np.full((len(ids), 1 + length), end, kind)
+            head = record.shape[1] - length
+            size = np.array([len(x) // wide for x in ids], "<u4")
+            record[:, :head] = size[:, None].view(kind).reshape(len(ids), head)
+            for k in np.flatnonzero(size == length):
+                record[k, head:] = np.frombuffer(ids[k], kind)
+            for k in np.flatnonzero(size < length):
+                record[k, head:head + size[k]] = np.frombuffer(ids[k], kind)
+            shard = slot // per_shard
+            by = np.argsort(shard, kind="stable")
+            groups = np.split(by, np.flatnonzero(np.diff(shard[by])) + 1) if len(by) else []
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(shard[g[0]]) for g in groups], pa.int64()), pa.array([slot[g].tobytes() for g in groups], pa.binary()),
+                 pa.array([pa.compress(record[g].tobytes(), codec="zstd", asbytes=True) for g in groups], pa.binary())], ["shard", "slots", "records"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _filesystem(path)
         fs.create_dir(root, recursive=True)
-        shard, out, name, done, expected = None, None, None, [], 0
+        shard, buffer, done = None, None, []
 
         def close():
-            out.close()
+            if (buffer[:, :4].copy().view("<u4") == 0).any():
+                raise ValueError(f"shard {shard} lacks a slot")
+            name = f"{root}/.shard-{shard:08d}-{uuid.uuid4().hex}"
+            with fs.open_output_stream(name) as f:
+                f.write(buffer.tobytes())
             fs.move(name, f"{root}/shard-{shard:08d}.bin")
             done.append(shard)
 
         for b in batches:
-            for slot, ids in zip(b.column("slot").to_pylist(), b.column("ids").to_pylist()):
-                if slot // per_shard != shard:
-                    if out:
+            for k, slots, data in zip(*(b.column(c).to_pylist() for c in ("shard", "slots", "records"))):
+                if k != shard:
+                    if shard is not None:
                         close()
-                    shard = slot // per_shard
-                    name = f"{root}/.shard-{shard:08d}-{uuid.uuid4().hex}"
-                    out, expected = fs.open_output_stream(name), shard * per_shard
-                if slot != expected:
-                    raise ValueError(f"slot {expected} is missing before {slot}")
-                expected += 1
-                out.write(np.uint32(len(ids) // wide).tobytes() + ids + np.full(length - len(ids) // wide, pad, kind).tobytes())
+                    shard, buffer = k, np.zeros((count(k), stride), np.uint8)
+                at = np.frombuffer(slots, np.int64) - k * per_shard
+                buffer[at] = np.frombuffer(pa.decompress(data, len(at) * stride, codec="zstd", asbytes=True), np.uint8).reshape(-1, stride)
             yield pa.RecordBatch.from_arrays([pa.array(done, pa.int64())], ["shard"])
             done.clear()
-        if out:
+        if shard is not None:
             close()
             yield pa.RecordBatch.from_arrays([pa.array(done, pa.int64())], ["shard"])
 
     shards = manifest["shards"]
     parts = min(shards, max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    dealt = rows.mapInArrow(spread, "slot bigint, ids binary")
-    written_ = (dealt.repartitionById(parts, F.floor(F.floor(F.col("slot") / per_shard) * parts / shards).cast("int"))
-                .sortWithinPartitions("slot").mapInArrow(write, "shard bigint"))
+    dealt = rows.mapInArrow(spread, "shard bigint, slots binary, records binary")
+    written_ = (dealt.repartitionById(parts, F.floor(F.col("shard") * parts / shards).cast("int"))
+                .sortWithinPartitions("shard").mapInArrow(write, "shard bigint"))
     n = written_.agg(F.countDistinct("shard")).first()[0]
     if n != shards:
         raise ValueError(f"{n} of {shards} shards were written")
