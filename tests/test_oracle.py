@@ -60,7 +60,7 @@ def test_rows_only_query_runs(spark, name):
             assert not any(math.isnan(v) for v in values), c
             if c.endswith(("acc", "auc", "accuracy", "recall", "_score", "auc_mean", "acc_mean")):
                 assert all(0 <= v <= 1 for v in values), c
-            if c.endswith(("_std", "_s", "inertia")):
+            if c.endswith(("acc_std", "score_std", "r2_std", "_s", "inertia")):
                 assert all(v >= 0 for v in values), c
 
 
