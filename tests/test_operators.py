@@ -11,7 +11,7 @@ from foldwise.operators import knn as KN
 from foldwise.operators import split as S
 from foldwise.sources import fixtures as fx
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 
 def test_global_rank_equals_row_number(spark):

@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 _E = E._load()
 QUERIES, ORACLE = dict(_E.QUERIES), dict(_E.ORACLE)

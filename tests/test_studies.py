@@ -14,7 +14,7 @@ from foldwise.plans import glm_queries as Q
 from foldwise.session import checkpoint_dir
 from foldwise.sources import fixtures as fx
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 
 @pytest.mark.parametrize("center", [True, False])
