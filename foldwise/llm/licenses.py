@@ -5,7 +5,8 @@ into windows of words; a window's one- and two-word n-grams are hashed to
 sparse features, and a multinomial logistic regression gives the licence
 family or ``unknown``.  The probability a family needs is calibrated on
 held-back unknown windows.  A prediction stands only if the window holds
-enough of the word triples of one of that family's templates.
+enough of the word triples of one of that family's templates; a template of
+two words is held as that pair.
 
 Training labels come from the templates: windows that hold a template are
 of its family, windows that hold almost none of any are unknown.  At most
@@ -50,8 +51,32 @@ TEMPLATES = [
     ("ISC", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     ("Unlicense", "this is free and unencumbered software released into the public domain"),
     ("All-rights-reserved", "all rights reserved no part of this publication may be reproduced"),
+    # short public forms
+    ("MIT", "mit license"),
+    ("Apache-2.0", "apache license version 2.0"),
+    ("Apache-2.0", "apache license 2.0"),
+    ("Apache-2.0", "apache 2.0 license"),
+    ("GPL", "gnu general public license"),
+    ("GPL", "gnu gpl"),
+    ("LGPL", "gnu lesser general public license"),
+    ("LGPL", "gnu lgpl"),
+    ("AGPL", "gnu affero general public license"),
+    ("AGPL", "gnu agpl"),
+    ("BSD", "bsd license"),
+    ("MPL-2.0", "mozilla public license version 2.0"),
+    ("MPL-2.0", "mozilla public license 2.0"),
+    ("CC-BY-NC", "cc by nc 4.0"),
+    ("CC-BY-NC", "creative commons attribution noncommercial 4.0"),
+    ("CC-BY-SA", "cc by sa 4.0"),
+    ("CC-BY-SA", "creative commons attribution sharealike 4.0"),
+    ("CC-BY", "cc by 4.0"),
+    ("CC-BY", "creative commons attribution 4.0"),
+    ("CC0", "cc0 1.0"),
+    ("ISC", "isc license"),
+    ("Unlicense", "the unlicense"),
+    ("All-rights-reserved", "all rights reserved"),
 ]
-CUES = "licen[cs]e|copyright|permission|redistribut|public domain|creative commons|free software|all rights|warrant"
+CUES = "licen[cs]e|copyright|permission|redistribut|public domain|creative commons|free software|all rights|warrant|gnu|cc0|cc[^a-z0-9]+by"
 FAMILIES = list(dict.fromkeys(f for f, _ in TEMPLATES))
 UNKNOWN = "unknown"
 #: words of a window and between two starts; features; shares of a template's
@@ -71,6 +96,12 @@ def _grams(words: str) -> str:
             f"(a, b) -> concat(a, ' ', b)), slice({words}, 3, {n}), (a, b) -> concat(a, ' ', b))))")
 
 
+def _held_grams(words: str) -> str:
+    """What a window holds: its distinct word triples and pairs."""
+    n = f"greatest(size({words}) - 1, 0)"
+    return f"array_union({_grams(words)}, zip_with(slice({words}, 1, {n}), slice({words}, 2, {n}), (a, b) -> concat(a, ' ', b)))"
+
+
 def _features(words: str) -> str:
     n = f"greatest(size({words}) - 1, 0)"
     return (f"array_distinct(concat(transform({words}, a -> {_bucket('a')}), "
@@ -152,7 +183,7 @@ def fit(docs: DataFrame, text: str = "text", max_rows: int = 3000, false_rate: f
     t = docs.select(F.col(text).alias("_text"))
     tpl = F.expr(_templates())
     marked = (_windows(t, "_text").withColumn("_tpl", tpl).select("_tpl", F.inline("_win"))
-              .withColumn("_g", F.expr(_grams("w")))
+              .withColumn("_g", F.expr(_held_grams("w")))
               .withColumn("y", F.expr("array_max(transform(_tpl, t -> struct(size(array_intersect(t.g, _g)) / size(t.g) as s, -t.f as f)))"))
               .select("w", F.col("y.s").alias("s"), (-F.col("y.f")).alias("f")))
     words = F.xxhash64(F.array_join("w", " "))
@@ -184,7 +215,7 @@ def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     the sorted distinct families."""
     k = len(FAMILIES) + 1
     d = _windows(docs, text)
-    d = d.withColumn("_f", F.expr(f"transform(_win, x -> struct(x.p as p, {_features('x.w')} as f, {_grams('x.w')} as g))"))
+    d = d.withColumn("_f", F.expr(f"transform(_win, x -> struct(x.p as p, {_features('x.w')} as f, {_held_grams('x.w')} as g))"))
     z = ", ".join(f"aggregate(x.f, 0D, (s, b) -> s + element_at({_literal(model.weights[:-1, c])}, b + 1)) / sqrt(size(x.f)) + {model.weights[-1, c]:.6g}D" for c in range(k))
     d = d.withColumn("_z", F.expr(f"transform(_f, x -> struct(x.p as p, x.g as g, array({z}) as z))"))
     d = d.withColumn("_b", F.expr("transform(_z, x -> struct(x.p as p, x.g as g, int(array_position(x.z, array_max(x.z))) as k, 1 / aggregate(x.z, 0D, (s, y) -> s + exp(y - array_max(x.z))) as prob))"))

@@ -167,3 +167,20 @@ def test_native_plans_have_no_python(spark, sf):
     for name in ("op3_pii", "op7_quality_rules", "op10_license_scan"):
         plan = registry.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_short_licence_forms(spark):
+    lines = {"All rights reserved.": "All-rights-reserved", "Licensed under the GNU General Public License v2.0": "GPL", "GNU LGPL 2.1": "LGPL", "MIT License": "MIT",
+             "see the GNU Affero General Public License": "AGPL", "a BSD license applies": "BSD", "Apache License, Version 2.0": "Apache-2.0",
+             "Mozilla Public License Version 2.0": "MPL-2.0", "CC BY-SA 4.0": "CC-BY-SA", "Apache License, Version 1.1": None, "no rights, no license": None}
+    df = spark.createDataFrame([(i, f"one two three\n{x}\nfour five six") for i, x in enumerate(lines)], "doc_id long, text string")
+    out = {r.doc_id: list(r.families) for r in licenses.scan(df, licenses.fit(df)).collect()}
+    assert [out[i] for i in range(len(lines))] == [[k] if k else [] for k in lines.values()]
+
+
+def test_op10_query_every_licence_line(spark, sf):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    named = {"MIT": r"mit\W+license", "Apache-2.0": r"apache\W+license", "GPL": r"gnu\W+general", "CC-BY-NC": r"cc\W+by-nc", "All-rights-reserved": r"all\W+rights\W+reserved"}
+    out = {r.doc_id: sorted(filter(None, r.families.split(","))) for r in registry.QUERIES["op10_license_scan"](spark, sf).collect()}
+    assert out == {d: sorted(k for k, p in named.items() if re.search(p, t.lower())) for d, t in docs.items()}
+    assert any("All-rights-reserved" in f for f in out.values())
