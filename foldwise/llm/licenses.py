@@ -1,17 +1,20 @@
 """Licence scans with a trained paragraph classifier, in Spark expressions only.
 
-Paragraphs are the lines of a text.  Those with a licence cue word are cut
-into windows of words; a window's one- and two-word n-grams are hashed to
-sparse features, and a multinomial logistic regression gives the licence
+Paragraphs are runs of lines that hold a letter or digit, so a bare comment
+sign ends one like a blank line.  Those with a licence cue word are cut into
+windows of words over their line breaks, and once more line by line, so that
+a notice on a line of its own is seen without its neighbours.  A window's
+one- and two-word n-grams are hashed to sparse features, and a multinomial logistic regression gives the licence
 family or ``unknown``.  The probability a family needs is calibrated on
 held-back unknown windows.  A prediction stands only if the window holds
 enough of the word triples of one of that family's templates; a template of
 two words is held as that pair.
 
 Training labels come from the templates: windows that hold a template are
-of its family, windows that hold almost none of any are unknown.  At most
-``max_rows`` labelled windows of each of the two sorts are used (chosen by
-hash, a documented bound for the classifier); every whole text is scanned.
+of its family, windows that hold almost none of any are unknown, as are
+those of paragraphs without a cue word.  At most ``max_rows`` labelled windows
+of each of the three sorts are used (chosen by hash, a documented bound for
+the classifier); every whole text is scanned.
 
 Defined cases: a null text has no paragraphs; a paragraph without a cue
 word is unknown; repeated rows are scanned alike; without any labelled
@@ -76,7 +79,9 @@ TEMPLATES = [
     ("Unlicense", "the unlicense"),
     ("All-rights-reserved", "all rights reserved"),
 ]
-CUES = "licen[cs]e|copyright|permission|redistribut|public domain|creative commons|free software|all rights|warrant|gnu|cc0|cc[^a-z0-9]+by"
+_GAP = "[^a-z0-9]+"
+CUES = (f"licen[cs]e|copyright|permission|redistribut|public{_GAP}domain|creative{_GAP}commons|free{_GAP}software|all{_GAP}rights|warrant|"
+        f"gnu|cc0|cc{_GAP}by")
 FAMILIES = list(dict.fromkeys(f for f, _ in TEMPLATES))
 UNKNOWN = "unknown"
 #: words of a window and between two starts; features; shares of a template's
@@ -112,14 +117,24 @@ _CUT = rf"transform(sequence(0, int(greatest(0, ceil((size(ws) - {WINDOW}) / {ST
 _WORD_SPLIT = r"regexp_extract_all(lower(x), '[a-z0-9]+(?:[.][0-9]+)*', 0)"
 
 
+#: paragraphs of the lines ``_lines``: each line behind a mark and its number, a
+#: line without letters and digits as the other mark, which ends a paragraph
+_PARAGRAPHS = r"""filter(split(concat('\n', array_join(transform(_lines, (x, i) -> if(x rlike '[\\p{L}\\p{N}]',
+    concat(i, char(2), translate(x, concat(char(1), char(2)), '  ')), char(1))), '\n')), char(1)), x -> instr(x, char(2)) > 0)"""
+
+
 def _windows(df: DataFrame, text: str, cue: bool = True) -> DataFrame:
-    """``df`` with ``_win``: (paragraph number, words) windows of the lines with a
-    cue word (``cue=False``: without one)."""
+    """``df`` with ``_win``: (number of the paragraph's first line, words) windows of
+    the paragraphs with a cue word (``cue=False``: without one)."""
     body = F.coalesce(F.col(text), F.lit(""))
-    has = f"lower(x) rlike '{CUES}'"
+    has = f"lower(x.t) rlike '{CUES}'"
     d = df.withColumn("_lines", F.when(F.lower(body).rlike(CUES) if cue else F.lit(True), F.split(body, "\n")).otherwise(F.array().cast("array<string>")))
-    return d.withColumn("_win", F.expr(f"""flatten(transform(_lines, (x, p) -> if({has if cue else f'not ({has})'},
-        flatten(transform(array({_WORD_SPLIT}), ws -> if(size(ws) = 0, array(), transform({_CUT}, w -> struct(p as p, w as w))))), array())))"""))
+    d = d.withColumn("_para", F.expr(rf"""transform({_PARAGRAPHS}, x -> struct(int(regexp_extract(x, '\n([0-9]+)\\x02', 1)) as p,
+        regexp_replace(x, '\n[0-9]+\\x02', '\n') as t))"""))
+    # line breaks end no window of the whole paragraph; those of a line by itself count with the paragraph
+    return d.withColumn("_win", F.expr(f"""array_distinct(flatten(transform(filter(_para, x -> {has if cue else f'not ({has})'}), y ->
+        flatten(transform(concat(array(y.t), split(y.t, '\n')), x -> flatten(transform(array({_WORD_SPLIT}),
+            ws -> if(size(ws) = 0, array(), transform({_CUT}, w -> struct(y.p as p, w as w)))))))))) """))
 
 
 def _literal(values: np.ndarray) -> str:
@@ -132,6 +147,11 @@ def _templates() -> str:
     return f"array({', '.join(rows)})"
 
 
+def _every_gram() -> str:
+    """The grams of all templates; a window without any of them is unknown."""
+    return f"array_distinct(flatten(transform({_templates()}, t -> t.g)))"
+
+
 def _held(family: str, grams: str) -> str:
     """Largest share of the triples of one of the family's templates in ``grams``."""
     return (f"coalesce(array_max(transform(filter(_tpl, t -> {family}), t -> size(array_intersect(t.g, {grams})) / size(t.g))), 0D)")
@@ -181,18 +201,18 @@ def fit(docs: DataFrame, text: str = "text", max_rows: int = 3000, false_rate: f
     threshold leaves ``false_rate`` of held-back unknown windows above it."""
     spark = docs.sparkSession
     t = docs.select(F.col(text).alias("_text"))
-    tpl = F.expr(_templates())
-    marked = (_windows(t, "_text").withColumn("_tpl", tpl).select("_tpl", F.inline("_win"))
+    marked = (_windows(t, "_text").withColumn("_tpl", F.expr(_templates())).withColumn("_any", F.expr(_every_gram())).select("_tpl", "_any", F.inline("_win"))
               .withColumn("_g", F.expr(_held_grams("w")))
-              .withColumn("y", F.expr("array_max(transform(_tpl, t -> struct(size(array_intersect(t.g, _g)) / size(t.g) as s, -t.f as f)))"))
+              .withColumn("y", F.expr("if(arrays_overlap(_any, _g), array_max(transform(_tpl, t -> struct(size(array_intersect(t.g, _g)) / size(t.g) as s, -t.f as f))), "
+                                      "struct(0D as s, 0 as f))"))
               .select("w", F.col("y.s").alias("s"), (-F.col("y.f")).alias("f")))
     words = F.xxhash64(F.array_join("w", " "))
-    near = (marked.where((F.col("s") >= LABEL) | (F.col("s") <= NONE)).select("w", F.when(F.col("s") >= LABEL, F.col("f")).otherwise(0).alias("f"))
-            .dropDuplicates(["w"]).orderBy(words, "w").limit(max_rows))
+    near, far = (marked.where(cond).select("w", f.alias("f")).dropDuplicates(["w"]).orderBy(words, "w").limit(max_rows)
+                 for cond, f in ((F.col("s") >= LABEL, F.col("f")), (F.col("s") <= NONE, F.lit(0))))
     plain = (_windows(t.where(F.pmod(F.xxhash64("_text"), F.lit(16)) == 0), "_text", cue=False).select(F.inline("_win")).select("w", F.lit(0).alias("f"))
              .orderBy(words, "w").limit(max_rows))
     own = spark.createDataFrame([(x.split(), FAMILIES.index(f) + 1) for f, x in TEMPLATES], "w array<string>, f int")
-    rows = near.unionByName(plain).unionByName(own).select(F.expr(_features("w")).alias("x"), "f", F.pmod(words, F.lit(5)).alias("h")).collect()
+    rows = near.unionByName(far).unionByName(plain).unionByName(own).select(F.expr(_features("w")).alias("x"), "f", F.pmod(words, F.lit(5)).alias("h")).collect()
     k = len(FAMILIES) + 1
     rows.sort(key=lambda r: (r.f, r.x))
     feats = [np.array(r.x, np.int64) for r in rows]
@@ -215,7 +235,10 @@ def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     the sorted distinct families."""
     k = len(FAMILIES) + 1
     d = _windows(docs, text)
-    d = d.withColumn("_f", F.expr(f"transform(_win, x -> struct(x.p as p, {_features('x.w')} as f, {_held_grams('x.w')} as g))"))
+    # a prediction stands on a template's grams, so windows without any need no classifier
+    d = d.withColumn("_any", F.expr(_every_gram()))
+    d = d.withColumn("_g", F.expr(f"filter(transform(_win, x -> struct(x.p as p, x.w as w, {_held_grams('x.w')} as g)), x -> arrays_overlap(_any, x.g))"))
+    d = d.withColumn("_f", F.expr(f"transform(_g, x -> struct(x.p as p, {_features('x.w')} as f, x.g as g))"))
     z = ", ".join(f"aggregate(x.f, 0D, (s, b) -> s + element_at({_literal(model.weights[:-1, c])}, b + 1)) / sqrt(size(x.f)) + {model.weights[-1, c]:.6g}D" for c in range(k))
     d = d.withColumn("_z", F.expr(f"transform(_f, x -> struct(x.p as p, x.g as g, array({z}) as z))"))
     d = d.withColumn("_b", F.expr("transform(_z, x -> struct(x.p as p, x.g as g, int(array_position(x.z, array_max(x.z))) as k, 1 / aggregate(x.z, 0D, (s, y) -> s + exp(y - array_max(x.z))) as prob))"))

@@ -184,3 +184,24 @@ def test_op10_query_every_licence_line(spark, sf):
     out = {r.doc_id: sorted(filter(None, r.families.split(","))) for r in registry.QUERIES["op10_license_scan"](spark, sf).collect()}
     assert out == {d: sorted(k for k, p in named.items() if re.search(p, t.lower())) for d, t in docs.items()}
     assert any("All-rights-reserved" in f for f in out.values())
+
+
+def test_wrapped_licence_notices(spark):
+    notices = {
+        "BSD": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:",
+        "GPL": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License.",
+        "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that it stays.",
+        "Apache-2.0": "you may not use this file except in compliance with the\nLicense. You may obtain a copy of the License at",
+        "Unlicense": "This is free and unencumbered software released into the public\ndomain.",
+        "CC-BY": "Licensed under a Creative\nCommons Attribution 4.0 International License",
+        None: "The licence of this park was renewed by the town in the spring\nof that year and the gate was painted green.",
+    }
+    rows, at = [], {}
+    for kind, t in notices.items():
+        for mark in ("", "# ", " * ", "// "):
+            body = "\n".join(mark + x for x in ("first words of a file", "", *t.split("\n"), "", "other words at its end"))
+            at[len(rows)] = kind
+            rows.append((len(rows), body))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: [(x.paragraph, x.family) for x in r.licenses] for r in licenses.scan(df, licenses.fit(df)).collect()}
+    assert out == {i: [(2, k)] if k else [] for i, k in at.items()}
