@@ -14,8 +14,9 @@ All text work is regular expressions and array functions inside the row
 of votes, kind and shape (a bounded number), never a text.
 
 Defined cases: a null text is empty; offsets are code points, the end
-exclusive; a failing base match is dropped and not tried again; further
-spans that touch a base span are not added; repeated rows are judged
+exclusive; a failing base match is dropped and not tried again; a further
+span that a base span covers whole is not added, one that reaches beyond it
+stands beside it; repeated rows are judged
 alike; without any candidate the classifier adds nothing.
 """
 
@@ -233,7 +234,7 @@ def find(docs: DataFrame, model: Model, text: str = "text", out: str = "spans")
     """``docs`` with ``base`` and ``out``: arrays of (start, end, kind); ``out`` has
     the base spans and the candidates the classifier accepts."""
     d = _candidates(base_spans(docs, text, "base"), text)
-    keep = f"filter(_c, x -> {_decision(model)} and not exists(base, b -> b.start < x.end and x.start < b.end))" if model.weights else "slice(_c, 1, 0)"
+    keep = f"filter(_c, x -> {_decision(model)} and not exists(base, b -> b.start <= x.start and x.end <= b.end))" if model.weights else "slice(_c, 1, 0)"
     order = "case x.kind " + " ".join(f"when '{k}' then {i}" for i, k in enumerate([*BASE, *FURTHER])) + " end"
     every = F.expr(f"""transform(array_sort(transform(concat(base, transform({keep}, x -> named_struct('start', x.start, 'end', x.end, 'kind', x.kind))),
         x -> named_struct('start', x.start, 'rank', {order}, 'end', x.end, 'kind', x.kind))),

@@ -205,3 +205,17 @@ def test_wrapped_licence_notices(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     out = {r.doc_id: [(x.paragraph, x.family) for x in r.licenses] for r in licenses.scan(df, licenses.fit(df)).collect()}
     assert out == {i: [(2, k)] if k else [] for i, k in at.items()}
+
+
+def test_secret_around_a_card_number_is_found_and_redacted(spark):
+    token = "ffc3105535f423f352535e4ac53b5fefe0761234"
+    inside = "ffcab4111111111111111e4ac53b5fefe0761234"
+    rows = [(i, f'word token = "{token}" here') for i in range(40)] + [(100, f'word token = "{inside}" here'), (101, "card 4111111111111111 here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = pii.fit(df)
+    out = {r.doc_id: r for r in pii.find(df, model).collect()}
+    assert [tuple(x) for x in out[100].base] == [(19, 35, "card")]
+    assert [tuple(x) for x in out[100].spans] == [(14, 54, "secret"), (19, 35, "card")]
+    assert [tuple(x) for x in out[101].spans] == [(5, 21, "card")]
+    clean = {r.doc_id: r.text for r in pii.redact(df, model).collect()}
+    assert clean[100] == 'word token = "<secret>" here' and clean[101] == "card <card> here"
