@@ -12,7 +12,9 @@ verbatim match in the shard, with document and word offset.
 No shuffle: documents stay where they are read.  The benchmark is taken in
 blocks of at most ``block_bytes`` of text, each broadcast by itself, and
 the documents pass through one search after the other; each adds to the
-marks of the one before it, so a benchmark of any size fits.
+marks of the one before it.  A block grows with its words, not with the
+square of an item; all blocks pass through the driver, which bounds the
+benchmark.
 
 Defined cases: a null or word-less text has no words and is clean; a null
 or word-less item has no windows; a null item id counts as the empty
@@ -56,15 +58,22 @@ class Block:
                 self.names.append(name)
         self.depth = max(map(len, seqs), default=0)
         self.least = min([window, *map(len, seqs)])
-        # one row per suffix that begins a window: its words (0 after its end),
-        # the window's length, the item, the word offset in the item
-        rows = [(s, i, o) for s, i in zip(seqs, owner) for o in range(max(1, len(s) - window + 1))]
-        self.query = np.zeros((len(rows), self.depth), np.int32)
-        for k, (s, _, o) in enumerate(rows):
-            self.query[k, :len(s) - o] = s[o:]
-        self.size = np.array([min(window, len(s)) for s, _, _ in rows], np.int64)
-        self.item = np.array([i for _, i, _ in rows], np.int64)
-        self.offset = np.array([o for _, _, o in rows], np.int64)
+        # the words of all items once, and per suffix that begins a window: where it
+        # begins there, its words, the window's length, the item, the word offset in it
+        length = np.array([len(s) for s in seqs], np.int64)
+        self.ids = np.fromiter((i for s in seqs for i in s), np.int32, int(length.sum()))
+        n = np.maximum(1, length - window + 1)
+        of = np.repeat(np.arange(len(seqs)), n)
+        self.offset = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        self.begin = (np.cumsum(length) - length)[of] + self.offset
+        self.full = length[of] - self.offset
+        self.size = np.minimum(window, length)[of]
+        self.item = np.array(owner, np.int64)[of]
+
+    @property
+    def query(self) -> Iterator[np.ndarray]:
+        """The words of every suffix."""
+        return (self.ids[b:b + f] for b, f in zip(self.begin, self.full))
 
 
 def suffix_array(a: np.ndarray, depth: int) -> np.ndarray:
@@ -88,31 +97,31 @@ def suffix_array(a: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
-def _compare(a: np.ndarray, at: np.ndarray, query: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sign of (``a`` from ``at`` on) - ``query`` over ``size`` entries each, and
-    the number of leading entries that agree."""
+def _compare(a: np.ndarray, at: np.ndarray, ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sign of (``a`` from ``at`` on) - (``ids`` from ``begin`` on) over ``size``
+    entries each, and the number of leading entries that agree."""
     sign, same = np.zeros(len(at), np.int8), np.zeros(len(at), np.int64)
     live = np.arange(len(at))
-    for d in range(query.shape[1]):
+    for d in range(int(size.max(initial=0))):
         live = live[size[live] > d]
         if not len(live):
             break
         pos = at[live] + d
         have = np.where(pos < len(a), a[np.minimum(pos, len(a) - 1)], 0)
-        want = query[live, d]
+        want = ids[begin[live] + d]
         sign[live] = np.sign(have - want)
         live = live[have == want]
         same[live] += 1
     return sign, same
 
 
-def search(a: np.ndarray, order: np.ndarray, query: np.ndarray, size: np.ndarray, upper: bool) -> np.ndarray:
+def search(a: np.ndarray, order: np.ndarray, ids: np.ndarray, begin: np.ndarray, size: np.ndarray, upper: bool) -> np.ndarray:
     """First place in ``order`` whose suffix is not below (``upper``: is above)
     the first ``size`` words of each query."""
-    lo, hi = np.zeros(len(query), np.int64), np.full(len(query), len(order), np.int64)
+    lo, hi = np.zeros(len(begin), np.int64), np.full(len(begin), len(order), np.int64)
     while len(open_ := np.flatnonzero(lo < hi)):
         mid = (lo[open_] + hi[open_]) // 2
-        sign, _ = _compare(a, order[mid], query[open_], size[open_])
+        sign, _ = _compare(a, order[mid], ids, begin[open_], size[open_])
         below = sign <= 0 if upper else sign < 0
         lo[open_[below]] = mid[below] + 1
         hi[open_[~below]] = mid[~below]
@@ -149,8 +158,8 @@ class Shard:
 
     def windows(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place, length, item) of every occurrence of every window."""
-        lo = search(self.a, self.order, block.query, block.size, False)
-        hi = search(self.a, self.order, block.query, block.size, True)
+        lo = search(self.a, self.order, block.ids, block.begin, block.size, False)
+        hi = search(self.a, self.order, block.ids, block.begin, block.size, True)
         n = hi - lo
         q = np.repeat(np.arange(len(n)), n)
         at = np.arange(int(n.sum())) + np.repeat(lo - (np.cumsum(n) - n), n)
@@ -158,20 +167,20 @@ class Shard:
 
     def longest(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """(length, place) of the longest verbatim match of every query suffix."""
-        full = (block.query != 0).sum(axis=1)
-        at = search(self.a, self.order, block.query, full, False)
+        full = block.full
+        at = search(self.a, self.order, block.ids, block.begin, full, False)
         best, place = np.zeros(len(full), np.int64), np.zeros(len(full), np.int64)
         for step in (0, -1):
             k = np.flatnonzero((at + step >= 0) & (at + step < len(self.order)))
             pos = self.order[at[k] + step]
-            _, same = _compare(self.a, pos, block.query[k], full[k])
+            _, same = _compare(self.a, pos, block.ids, block.begin[k], full[k])
             more = same > best[k]
             best[k[more]], place[k[more]] = same[more], self.place[pos[more]]
         return best, place
 
 
 def blocks(benchmark: DataFrame, window: int, item_id: str, text: str, block_bytes: int) -> list[Block]:
-    """The benchmark as search blocks; one block's text is in the driver at a time."""
+    """The benchmark as search blocks, all of them in the driver."""
     rows = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.col(text).alias("t"))
     out, part, size = [], [], 0
     for r in rows.orderBy("i", "t").toLocalIterator():

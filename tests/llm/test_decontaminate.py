@@ -88,3 +88,11 @@ def test_query_matches_sql(spark, duck, sf):
     cols = [c[0] for c in res.description]
     assert sorted(cols) == sorted(df.columns)
     assert sorted(tuple(r) for r in df.select(cols).collect()) == sorted(res.fetchall())
+
+
+def test_block_grows_with_the_words_of_an_item():
+    words = [f"w{i}" for i in range(20_000)]
+    block = D.Block([("x", " ".join(words))], 10)
+    assert sum(v.nbytes for v in vars(block).values() if isinstance(v, np.ndarray)) < 100 * len(words)
+    place, size, item = D.Shard([" ".join(["no", *words[500:530], "no"])], block).windows(block)
+    assert sorted(place) == list(range(1, 22)) and set(size) == {10} and set(item) == {0}
