@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foldwise.llm import bpe, chat, decontaminate, langid, licenses, lm, neardup, pii, quality, shards
+from foldwise.llm import align, bpe, chat, decontaminate, fingerprint, langid, licenses, lm, neardup, pii, quality, repair, shards
 from foldwise.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.scan(docs, licenses.fit(docs)).select("doc_id", *licenses.columns())
+
+
+@query("op11_merkle_fingerprint")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.against_next(table(spark, sf_dir, "documents"))
+
+
+@query("op12_conversation_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.summary(table(spark, sf_dir, "documents")).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
