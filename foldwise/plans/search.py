@@ -1,26 +1,18 @@
-"""Hyper-parameter search over tree ensembles.
+"""Hyper-parameter search over random forests.
 
-Candidates are rows of a small table (hashed draws for random search);
-each (candidate, fold) evaluation is an independent distributed fit
-submitted from a thread pool, so Spark runs several fits at once.
-Successive halving keeps the best third per rung (ties to the lower
-candidate id) and grows the stratified subsample by the factor.
+Candidates are rows of a small table (hashed draws for random search); all of
+a search's candidates and folds are grown together by
+:mod:`foldwise.operators.forest`.  Successive halving keeps the best third
+per rung (ties to the lower candidate id); its rungs are growing stratified
+prefixes of one binned sample.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from foldwise.operators import glm as G
-from foldwise.operators import metrics as M
-from foldwise.operators import split as S
+from foldwise.operators import forest as FO
 
 GRID = {"n_estimators": [100, 200, 300], "max_depth": [None, 10, 20], "min_samples_leaf": [1, 4, 16],
         "max_features": ["sqrt", 0.5]}
@@ -54,64 +46,34 @@ def random_candidates(n: int, seed: int, dist=DIST) -> list[dict]:
     return out
 
 
-def _rf(c: dict, seed: int) -> RandomForestClassifier:
-    mf = c["max_features"]
-    return RandomForestClassifier(featuresCol="features", labelCol="target", numTrees=int(c["n_estimators"]),
-                                  maxDepth=30 if c["max_depth"] is None else int(c["max_depth"]),
-                                  minInstancesPerNode=int(c["min_samples_leaf"]),
-                                  featureSubsetStrategy=str(mf) if isinstance(mf, str) else f"{float(mf):.6f}",
-                                  seed=seed, maxBins=64)
-
-
-def cv_evaluate(df: DataFrame, features: list[str], candidates: list[dict], k: int = 3, seed: int = 0,
-                parallelism: int = 8) -> dict:
-    """Mean CV ROC AUC per candidate index (stratified folds, scored per fold)."""
-    f = G.assemble(S.kfold(df, k, seed, by="target"), features).select("row_id", "target", "fold", "features").cache()
-    f.count()
-    jobs = [(i, fo) for i in range(len(candidates)) for fo in range(k)]
-
-    def run(job):
-        i, fo = job
-        m = _rf(candidates[i], seed).fit(f.filter(F.col("fold") != fo))
-        pr = m.transform(f.filter(F.col("fold") == fo)).select(F.col("target").alias("y"),
-                                                                 vector_to_array("probability")[1].alias("score"))
-        return i, M.roc_auc(pr, []).first()[0]
-
-    with ThreadPoolExecutor(parallelism) as ex:
-        res = list(ex.map(run, jobs))
-    f.unpersist()
-    scores: dict = {}
-    for i, s in res:
-        scores.setdefault(i, []).append(s)
-    return {i: sum(v) / len(v) for i, v in scores.items()}
+def cv_evaluate(spark, sample: FO.Sample, candidates: list[dict], k: int = 3, seed: int = 0) -> dict[int, float]:
+    """Mean cross-validated AUC per candidate index."""
+    return {i: sum(v) / len(v) for i, v in enumerate(FO.evaluate(spark, sample, candidates, k, seed))}
 
 
 def best_of(scores: dict) -> int:
     return max(sorted(scores), key=lambda i: scores[i])
 
 
-def halving_search(df: DataFrame, features: list[str], candidates: list[dict], factor: int = 3,
-                   min_rows: int | None = None, k: int = 3, seed: int = 0, parallelism: int = 8):
-    """Successive halving: rung r evaluates survivors on a stratified subsample of
-    n_r rows (n_r = min_rows * factor^r, the last rung capped at all rows) and
-    keeps the best ceil(m / factor).  Returns (best index, best score, rung table)."""
-    n_total = df.count()
-    n_rungs = 1 + int(math.floor(math.log(len(candidates), factor))) if len(candidates) > 1 else 1
+def rung_sizes(n_total: int, n_candidates: int, factor: int = 3, min_rows: int | None = None, k: int = 3) -> list[int]:
+    """Rows of every rung: from ``min_rows`` (by default as many as let the last rung
+    use all rows) times ``factor`` a rung."""
+    n_rungs = 1 + int(math.floor(math.log(n_candidates, factor) + 1e-9)) if n_candidates > 1 else 1
     if min_rows is None:
-        min_rows = max(2 * k * 2, n_total // (factor ** (n_rungs - 1)))
-    alive = list(range(len(candidates)))
-    rungs = []
-    scores: dict = {}
-    for r in range(n_rungs):
-        n_r = min(n_total, min_rows * factor ** r)
-        sub = S.subsample(df, n_r, seed + r, by="target")
-        sc = cv_evaluate(sub, features, [candidates[i] for i in alive], k, seed, parallelism)
+        min_rows = max(2 * k * 2, n_total // factor ** (n_rungs - 1))
+    return [min(n_total, min_rows * factor ** r) for r in range(n_rungs)]
+
+
+def halving_search(spark, sample: FO.Sample, candidates: list[dict], factor: int = 3, min_rows: int | None = None, k: int = 3, seed: int = 0):
+    """Successive halving: rung r scores the survivors on the first n_r rows and
+    keeps the best ceil(m / factor).  Returns (best index, best score, rung table)."""
+    alive, rungs, scores = list(range(len(candidates))), [], {}
+    for r, n_r in enumerate(rung_sizes(len(sample.y), len(candidates), factor, min_rows, k)):
+        sc = cv_evaluate(spark, sample.first(n_r), [candidates[i] for i in alive], k, seed)
         scores = {alive[j]: s for j, s in sc.items()}
         rungs.append((r, n_r, len(alive)))
-        keep = max(1, math.ceil(len(alive) / factor))
-        alive = sorted(alive, key=lambda i: (-scores[i], i))[:keep]
-    b = alive[0]
-    return b, scores[b], rungs
+        alive = sorted(alive, key=lambda i: (-scores[i], i))[:max(1, math.ceil(len(alive) / factor))]
+    return alive[0], scores[alive[0]], rungs
 
 
 def params_text(c: dict) -> str:

@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from foldwise.operators import features as FE
+from foldwise.operators import forest as FO
 from foldwise.operators import glm as G
 from foldwise.operators import knn as KN
 from foldwise.operators import metrics as M
@@ -85,9 +86,13 @@ def k3_out_of_fold(spark, d):
                        F.lit(aucs.get("knn")).alias("oof_auc_knn"), F.lit(aucs.get("logistic")).alias("oof_auc_logistic"))
 
 
-# ---------------------------------------------------------------- K4 - K9 (tree search on a 15k stratified subsample)
-def _search_data(spark, d, n=15000):
-    return S.subsample(t2_numeric(spark, d), n, SEED, by="target").cache()
+# ---------------------------------------------------------------- K4 - K9 (forest search on a stratified subsample)
+#: rows that a search fits on, as in the study it stands for
+SEARCH_ROWS = 15_000
+
+
+def _search_data(spark, d, rows: int = SEARCH_ROWS):
+    return FO.draw(t2_numeric(spark, d), fx.T_NUMERIC, rows, SEED)
 
 
 @register("k4_grid_search")
@@ -96,7 +101,7 @@ def k4_grid_search(spark, d):
     data = _search_data(spark, d)
     cands = SR.grid_candidates()
     t0 = time.time()
-    sc = SR.cv_evaluate(data, fx.T_NUMERIC, cands, 3, SEED)
+    sc = SR.cv_evaluate(spark, data, cands, 3, SEED)
     secs = time.time() - t0
     rows = [(i, SR.params_text(cands[i]), float(sc[i])) for i in sorted(sc)]
     b = SR.best_of(sc)
@@ -106,25 +111,25 @@ def k4_grid_search(spark, d):
 
 def _compare(spark, d):
     data = _search_data(spark, d)
+    g, rc40 = SR.grid_candidates(), SR.random_candidates(40, SEED)
+
+    def exhaustive(cands):
+        sc = SR.cv_evaluate(spark, data, cands, 3, SEED)
+        b = SR.best_of(sc)
+        return cands[b], sc[b]
+
+    def halving(cands, min_rows):
+        b, score, _ = SR.halving_search(spark, data, cands, 3, min_rows, 3, SEED)
+        return cands[b], score
+
+    # the random arm of halving starts at the smallest sample: 2 rows x 3 folds x 2 classes
+    arms = [("GridSearch", lambda: exhaustive(g)), ("RandomSearch", lambda: exhaustive(rc40[:20])),
+            ("HalvingGridSearch", lambda: halving(g, None)), ("HalvingRandomSearch", lambda: halving(rc40, 12))]
     out = []
-    t0 = time.time()
-    g = SR.grid_candidates()
-    sc = SR.cv_evaluate(data, fx.T_NUMERIC, g, 3, SEED)
-    b = SR.best_of(sc)
-    out.append(("GridSearch", sc[b], time.time() - t0, SR.params_text(g[b])))
-    t0 = time.time()
-    rc = SR.random_candidates(20, SEED)
-    sc = SR.cv_evaluate(data, fx.T_NUMERIC, rc, 3, SEED)
-    b = SR.best_of(sc)
-    out.append(("RandomSearch", sc[b], time.time() - t0, SR.params_text(rc[b])))
-    t0 = time.time()
-    b, s, _ = SR.halving_search(data, fx.T_NUMERIC, g, 3, None, 3, SEED)
-    out.append(("HalvingGridSearch", s, time.time() - t0, SR.params_text(g[b])))
-    t0 = time.time()
-    rc40 = SR.random_candidates(40, SEED)
-    # the random arm starts at the smallest sample: 2 rows x 3 folds x 2 classes
-    b, s, _ = SR.halving_search(data, fx.T_NUMERIC, rc40, 3, 12, 3, SEED)
-    out.append(("HalvingRandomSearch", s, time.time() - t0, SR.params_text(rc40[b])))
+    for name, run in arms:
+        t0 = time.time()
+        best, score = run()
+        out.append((name, score, time.time() - t0, SR.params_text(best)))
     return out
 
 
@@ -148,7 +153,7 @@ def k9_n_iter_sensitivity(spark, d, ns=(10, 50, 200)):
     rows, sc, t0 = [], {}, time.time()
     for n in sorted(ns):   # the clock is read after each prefix
         done = len(sc)
-        new = SR.cv_evaluate(data, fx.T_NUMERIC, cands[done:n], 3, SEED)
+        new = SR.cv_evaluate(spark, data, cands[done:n], 3, SEED)
         sc |= {done + i: v for i, v in new.items()}
         b = SR.best_of(sc)
         rows.append((n, float(sc[b]), time.time() - t0, SR.params_text(cands[b])))

@@ -1,21 +1,25 @@
-"""Queries for trees and ensembles."""
+"""Queries for trees and ensembles."""
 
 from __future__ import annotations
 
 import time
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
+from functools import partial
 
 from pyspark.errors import PySparkException
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from foldwise.operators import boosting as BO
 from foldwise.operators import extra_trees as ET
 from foldwise.operators import features as FE
 from foldwise.operators import glm as G
 from foldwise.operators import metrics as M
 from foldwise.operators import split as S
-from foldwise.plans.catalog import r6, register
+from foldwise.plans import boost_sql as BSQL
+from foldwise.plans.catalog import r6, register, sql_round
 from foldwise.session import run_dir
 from foldwise.sources import fixtures as fx
 from foldwise.sources import fixtures_sql as fq
@@ -180,7 +184,9 @@ ENSEMBLES = {
 }
 
 
-MODELS = (*ENSEMBLES, "extra_trees")
+BOOSTERS = {"histogram_boosting": BO.HISTOGRAM, "second_order_level": BO.LEVEL, "second_order_leaf": BO.LEAF}
+
+MODELS = (*ENSEMBLES, "extra_trees", *BOOSTERS)
 
 
 def _evaluate(h, name: str, s: int):
@@ -192,6 +198,11 @@ def _evaluate(h, name: str, s: int):
         secs = time.time() - t0
         pr = ET.score(h.filter("is_test = 1"), forest, fx.T_NUMERIC, ["target"]).select(
             F.col("target").alias("y"), (F.col("score") > 0.5).cast("int").alias("pred"), "score")
+    elif name in BOOSTERS:
+        boosted = BO.fit(h.filter("is_test = 0"), fx.T_NUMERIC, BOOSTERS[name], seed=s)
+        secs = time.time() - t0
+        pr = BO.score(h.filter("is_test = 1"), boosted, ["target"]).select(
+            F.col("target").alias("y"), (F.col("score") > 0.5).cast("int").alias("pred"), "score")
     else:
         m = ENSEMBLES[name](s).fit(h.filter("is_test = 0"))
         secs = time.time() - t0
@@ -208,7 +219,7 @@ _ROW = "model string, seed int, roc_auc double, f1 double, accuracy double, fit_
 
 
 def _split(spark, d, s):
-    return G.assemble(S.holdout(t2_numeric(spark, d), 0.2, s, by="target"), fx.T_NUMERIC).select("target", "is_test", "features", *fx.T_NUMERIC).cache()
+    return G.assemble(S.holdout(t2_numeric(spark, d), 0.2, s, by="target"), fx.T_NUMERIC).select("row_id", "target", "is_test", "features", *fx.T_NUMERIC).cache()
 
 
 def _one_model(spark, d, name, s=SEED):
@@ -236,6 +247,41 @@ def g7_gradient_boosting(spark, d):
     return _one_model(spark, d, "gradient_boosting")
 
 
+@register("g8_histogram_boosting")
+def g8_histogram_boosting(spark, d):
+    """Histogram boosting (up to 300 best-first trees of 31 leaves, a tenth of the
+    train rows kept for early stopping) on a stratified 80/20 hold-out."""
+    return _one_model(spark, d, "histogram_boosting")
+
+
+@register("g9_second_order_level")
+def g9_second_order_level(spark, d):
+    """Second-order boosting level by level (300 trees of depth 6, lambda 1) on a stratified 80/20 hold-out."""
+    return _one_model(spark, d, "second_order_level")
+
+
+@register("g10_second_order_leaf")
+def g10_second_order_leaf(spark, d):
+    """Second-order boosting best-first (300 trees of 31 leaves) on a stratified 80/20 hold-out."""
+    return _one_model(spark, d, "second_order_leaf")
+
+
+#: the first rounds, small enough to be unrolled in SQL
+FIRST_ROUNDS = {"g8_first_rounds": replace(BO.HISTOGRAM, rounds=2, max_leaves=3), "g9_first_rounds": replace(BO.LEVEL, rounds=2, max_depth=2),
+                "g10_first_rounds": replace(BO.LEAF, rounds=2, max_leaves=3)}
+
+
+def _first_rounds(spark, d, name):
+    """Every node of the first two trees on all rows: split, gain, rows, leaf value."""
+    model = BO.fit(t2_numeric(spark, d), fx.T_NUMERIC, FIRST_ROUNDS[name], seed=SEED)
+    out = spark.createDataFrame(BO.nodes(model), "round int, depth int, path string, feature string, threshold double, gain double, rows long, value double")
+    return out.select("round", "depth", "path", "feature", r6("threshold").alias("threshold"), sql_round("gain", 4).alias("gain"), "rows", r6("value").alias("value"))
+
+
+for _name, _p in FIRST_ROUNDS.items():
+    register(_name, BSQL.first_rounds(_p, SEED))(partial(_first_rounds, name=_name))
+
+
 @register("g13_ensemble_benchmark")
 def g13_ensemble_benchmark(spark, d, seeds=(0, 1, 2), models=MODELS, parallelism: int = 8):
     """Ensembles x seeds on stratified 80/20 hold-outs: AUC, F1, accuracy, fit seconds,
