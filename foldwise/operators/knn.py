@@ -1,24 +1,22 @@
 """Neighbour joins: exact k-nearest train rows per query row.
 
-Two exact strategies, chosen by a size check on the train side:
-
-* ``broadcast`` — the train matrix (rows x features, checked against
-  ``MAX_BROADCAST_CELLS``) is shipped once to every executor; query
-  partitions compute distances in NumPy blocks inside ``mapInPandas`` and
-  emit only their k nearest rows.  No pair is materialised in Spark.
-* ``band`` — for train sides above the bound.  Rows are cut into ordered
-  buckets on one axis (approximate quantile cuts, a small array).  Pass 1
-  joins each query with the train rows of its own and the two adjacent
-  buckets (equi-join on bucket) and takes the k best: their k-th distance
-  R is an upper bound on the true one.  Every coordinate difference is at
-  most the L_p distance, so all true neighbours lie within
-  ``|x_axis - q_axis| <= R``; queries whose band [q-R, q+R] stays inside
-  the covered buckets are exact, the rest are re-joined against exactly
-  the buckets their band touches and re-ranked.
-
-Ties are broken by train id in both strategies, so results are a pure
-function of the data.  Distances are accumulated feature by feature in
-column order (the same order the SQL oracle uses).
+One plan at every size; no row of either side reaches the driver.
+
+* Equal train vectors beyond the k smallest ids can be nobody's neighbour
+  (ties go by id) and are dropped while they are grouped.
+* Up to three axes are cut by quantiles (a few hundred cuts at most, as cells
+  multiply), so a cell holds about ``cell_rows`` train rows.  A cell with more
+  rows than a tile, on either side, is cut into tiles; a task meets one tile
+  of queries with one of train rows, in NumPy blocks, and keeps k rows a query.
+* Pass 1 looks in a query's own cell; its k-th distance bounds the true one.
+  A query that finds fewer than k rows there looks in boxes of cells that
+  double their reach.  Every coordinate difference is at most the distance, so
+  pass 2 looks in just the other cells that the bound reaches, keeps only rows
+  within the bound, and merges both.
+
+Ties are broken by train id, so results are a pure function of the data.
+Distances are accumulated feature by feature in column order (the same
+order the SQL oracle uses).
 """
 
 from __future__ import annotations
@@ -29,9 +27,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_BROADCAST_CELLS = 20_000_000   # ~160 MB of float64 on every executor
-BAND_BUCKET_ROWS = 2048            # target train rows per band bucket
-_BLOCK_ELEMS = 4_000_000           # distance-matrix block size inside a task
+from foldwise.session import run_dir
+
+CELL_ROWS = 4096            # train rows aimed at per cell
+TILE_ROWS = 4096            # rows of either side that a task meets at once
+MAX_AXES = 3
+_BLOCK_ELEMS = 4_000_000    # distance-matrix block size inside a task
 
 METRICS = {"euclidean": 2.0, "manhattan": 1.0, "minkowski_p3": 3.0}
 
@@ -59,24 +60,8 @@ def _np_root(s: np.ndarray, p: float) -> np.ndarray:
     return np.cbrt(s) if p == 3.0 else s ** (1.0 / p)
 
 
-def dist_expr(q: list[Column], t: list[Column], p: float) -> tuple[Column, Column]:
-    """(pre-root sum, distance) as Spark expressions (band strategy)."""
-    acc = None
-    for a, b in zip(q, t):
-        d = F.abs(a - b)
-        term = d if p == 1.0 else (d * d if p == 2.0 else (d * d * d if p == 3.0 else F.pow(d, p)))
-        acc = term if acc is None else acc + term
-    if p == 1.0:
-        root = acc
-    elif p == 2.0:
-        root = F.sqrt(acc)
-    else:
-        root = F.cbrt(acc) if p == 3.0 else F.pow(acc, 1.0 / p)
-    return acc, root
-
-
 def dist_sql(q: list[str], t: list[str], p: float) -> tuple[str, str]:
-    """DuckDB twin of :func:`dist_expr`."""
+    """(pre-root sum, distance) in SQL."""
     terms = []
     for a, b in zip(q, t):
         d = f"abs({a} - {b})"
@@ -108,7 +93,7 @@ def _topk_rows(S: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.take_along_axis(cols, order, axis=1), np.take_along_axis(vals, order, axis=1)
 
 
-# ------------------------------------------------------------------ strategies
+# ------------------------------------------------------------------ the join
 def _out_schema(group: list[str], gtypes, qid_type, tid_type, label_type) -> T.StructType:
     fields = [T.StructField(g, t) for g, t in zip(group, gtypes)]
     fields += [T.StructField("metric", T.StringType()),
@@ -118,164 +103,152 @@ def _out_schema(group: list[str], gtypes, qid_type, tid_type, label_type) -> T.S
     return T.StructType(fields)
 
 
-def _collect_bounded(train: DataFrame, cols: list[str], max_rows: int) -> pd.DataFrame | None:
-    """Train side as pandas if it has at most ``max_rows`` rows, else None.
-
-    One job: ``limit(max_rows + 1)`` stops reading once the bound is
-    exceeded, so an oversized side is never pulled whole to the driver.
-    """
-    pdf = train.select(*cols).limit(max_rows + 1).toPandas()
-    return None if len(pdf) > max_rows else pdf
-
-
-def _broadcast_knn(query: DataFrame, pdf: pd.DataFrame, features: list[str], k: int,
-                   metrics: list[tuple[str, float]], group: list[str], qid: str, tid: str, label: str,
-                   schema: T.StructType) -> DataFrame:
-    spark = query.sparkSession
-    pdf = pdf.sort_values(group + [tid], kind="stable")
-    packed = {}
-    if group:
-        for key, sub in pdf.groupby(group, sort=False):
-            key = key if isinstance(key, tuple) else (key,)
-            packed[tuple(x.item() if hasattr(x, "item") else x for x in key)] = (
-                sub[tid].to_numpy(), sub[label].to_numpy(), sub[features].to_numpy(dtype=np.float64))
-    else:
-        packed[()] = (pdf[tid].to_numpy(), pdf[label].to_numpy(), pdf[features].to_numpy(dtype=np.float64))
-    bc = spark.sparkContext.broadcast(packed)
-
-    def run(batches):
-        tables = bc.value
-        for b in batches:
-            parts = b.groupby(group, sort=False) if group else [((), b)]
-            for key, sub in parts:
-                key = key if isinstance(key, tuple) else (key,)
-                key = tuple(x.item() if hasattr(x, "item") else x for x in key)
-                if key not in tables:
-                    continue
-                tids, labs, Tm = tables[key]
-                Q = sub[features].to_numpy(dtype=np.float64)
-                qids = sub[qid].to_numpy()
-                step = max(1, _BLOCK_ELEMS // max(1, Tm.shape[0]))
-                for s in range(0, len(Q), step):
-                    for mname, p in metrics:
-                        S = _np_dist(Q[s:s + step], Tm, p)
-                        idx, vals = _topk_rows(S, k)
-                        m, kk = idx.shape
-                        out = {g: np.repeat(np.array([v]), m * kk) for g, v in zip(group, key)}
-                        out["metric"] = np.repeat(np.array([mname], dtype=object), m * kk)
-                        out["qid"] = np.repeat(qids[s:s + step], kk)
-                        out["rank"] = np.tile(np.arange(1, kk + 1, dtype=np.int32), m)
-                        out["tid"] = tids[idx.ravel()]
-                        out["dist_s"] = vals.ravel()
-                        out["dist"] = _np_root(vals.ravel(), p)
-                        out["label"] = labs[idx.ravel()]
-                        yield pd.DataFrame(out)
-
-    return query.select(*group, qid, *features).mapInPandas(run, schema)
-
-
-def _band_knn(query: DataFrame, train: DataFrame, features: list[str], k: int, p: float,
-              group: list[str], qid: str, tid: str, label: str,
-              bucket_rows: int = BAND_BUCKET_ROWS) -> DataFrame:
-    axis = features[0]
-    g = list(group)
-    tr = train.select(*g, F.col(tid).alias("tid"), F.col(label).alias("label"),
-                      *[F.col(c).alias(f"t_{c}") for c in features])
-    qu = query.select(*g, F.col(qid).alias("qid"), *[F.col(c).alias(f"q_{c}") for c in features])
-    n_train = train.count()
-    n_groups = max(1, train.select(*g).distinct().count()) if g else 1
-    nb = max(1, int(np.ceil(n_train / n_groups / bucket_rows)))
-    probs = [i / nb for i in range(1, nb)]
-    grouped = tr.groupBy(*g) if g else tr.groupBy()
-    cuts = grouped.agg((F.percentile_approx(f"t_{axis}", probs, max(10000, 10 * nb)) if probs
-                        else F.array().cast("array<double>")).alias("_cuts"))
-    cuts = cuts.withColumn("_cuts", F.array_sort(F.array_distinct("_cuts")))
-
-    def bucket_of(x: Column) -> Column:
-        return F.size(F.filter("_cuts", lambda c: c < x))
-
-    def cut_at(i: Column, default: float) -> Column:
-        return F.when((i >= 0) & (i < F.size("_cuts")), F.element_at("_cuts", i + 1)).otherwise(F.lit(default))
-
-    if not g:  # one-row cut table: attach by a constant key rather than a cross product
-        tr_b = tr.withColumn("_one", F.lit(1)).join(F.broadcast(cuts.withColumn("_one", F.lit(1))), "_one")
-        qu_b = qu.withColumn("_one", F.lit(1)).join(F.broadcast(cuts.withColumn("_one", F.lit(1))), "_one")
-        g_join = ["_one"]
-    else:
-        tr_b = tr.join(F.broadcast(cuts), on=g)
-        qu_b = qu.join(F.broadcast(cuts), on=g)
-        g_join = g
-    tr_b = tr_b.withColumn("bucket", bucket_of(F.col(f"t_{axis}"))).drop("_cuts")
-    qa = F.col(f"q_{axis}")
-    qu_b = qu_b.withColumn("_b", bucket_of(qa))
-    qu_b = (qu_b.withColumn("_cov_lo", cut_at(F.col("_b") - 2, float("-inf")))
-            .withColumn("_cov_hi", cut_at(F.col("_b") + 1, float("inf")))
-            .withColumn("_nb", F.size("_cuts") + 1))
-
-    qcols = [F.col(f"q_{c}") for c in features]
-    tcols = [F.col(f"t_{c}") for c in features]
-    s_expr, d_expr = dist_expr(qcols, tcols, p)
-    wq = Window.partitionBy(*g_join, "qid").orderBy("dist_s", "tid")
-
-    def rank_join(qx: DataFrame, extra_filter: Column | None = None) -> DataFrame:
-        j = qx.join(tr_b, on=[*g_join, "bucket"])
-        if extra_filter is not None:
-            j = j.filter(extra_filter)
-        j = j.withColumn("dist_s", s_expr).withColumn("dist", d_expr)
-        return j.withColumn("rank", F.row_number().over(wq)).filter(F.col("rank") <= k)
-
-    # pass 1: own bucket and both neighbours
-    q1 = qu_b.withColumn("bucket", F.explode(F.sequence(F.col("_b") - 1, F.col("_b") + 1)))
-    r1 = rank_join(q1)
-    stat = r1.groupBy(*g_join, "qid").agg(F.count(F.lit(1)).alias("_cnt"), F.max("dist").alias("_R"))
-    qs = qu_b.join(stat, on=[*g_join, "qid"], how="left")
-    ok = ((F.col("_cnt") == k) & (qa - F.col("_R") > F.col("_cov_lo")) & (qa + F.col("_R") <= F.col("_cov_hi")))
-    # a group with fewer than k train rows is complete after pass 1 only if
-    # pass 1 already saw the whole group (all buckets covered)
-    whole = (F.col("_b") - 1 <= 0) & (F.col("_b") + 1 >= F.col("_nb") - 1)
-    done = qs.filter(ok | whole).select(*g_join, "qid")
-    todo = qs.filter(~(ok | whole))
-    # pass 2: every bucket the band [q - R, q + R] touches (all buckets if R unknown)
-    lo_b = F.when(F.col("_cnt") == k, bucket_of(qa - F.col("_R"))).otherwise(F.lit(0))
-    hi_b = F.when(F.col("_cnt") == k, bucket_of(qa + F.col("_R"))).otherwise(F.col("_nb") - 1)
-    q2 = (todo.withColumn("bucket", F.explode(F.sequence(lo_b, hi_b)))
-          .drop("_cnt", "_R"))
-    band = F.when(F.col("_Rb").isNull(), F.lit(True)).otherwise(F.abs(F.col(f"t_{axis}") - qa) <= F.col("_Rb"))
-    q2 = q2.join(stat.select(*g_join, "qid", F.when(F.col("_cnt") == k, F.col("_R")).alias("_Rb")),
-                 on=[*g_join, "qid"], how="left")
-    r2 = rank_join(q2, band)
-    r1_done = r1.join(done, on=[*g_join, "qid"], how="left_semi")
-    out = r1_done.unionByName(r2.select(*r1_done.columns))
-    return out.select(*g, F.col("qid").alias("qid"), F.col("rank").cast("int"), "tid", "dist_s", "dist", "label")
+class _Grid:
+    """Quantile cuts on a few axes; a cell is one number."""
+
+    def __init__(self, train: DataFrame, xs: list[str], rows: int, cell_rows: int):
+        """``rows``: train rows of the largest group."""
+        axes = min(MAX_AXES, len(xs)) if rows > cell_rows else 0
+        per = int(np.ceil((rows / cell_rows) ** (1 / axes))) if axes else 1
+        probs = [i / per for i in range(1, per)]
+        cuts = train.agg(*[F.percentile_approx(c, probs, max(10_000, 20 * per)).alias(c) for c in xs]).first() if axes else {}
+        # the axes that cut best: a column of few values has few different cuts
+        found = sorted(((c, sorted(set(cuts[c] or []))) for c in xs), key=lambda t: -len(t[1]))[:axes] if axes else []
+        self.axes = [(c, F.array(*[F.lit(float(v)) for v in v]).cast("array<double>"), len(v) + 1) for c, v in found if v]
+        self.reach = max((n for _, _, n in self.axes), default=1)
+
+    def place(self, cuts: Column, x: Column) -> Column:
+        return F.size(F.filter(cuts, lambda c: c < x))
+
+    def number(self, places: list[Column]) -> Column:
+        cell = F.lit(0).cast("long")
+        for (_, _, n), b in zip(self.axes, places):
+            cell = cell * n + b
+        return cell
+
+    def own(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("_cell", self.number([self.place(cuts, F.col(c)) for c, cuts, _ in self.axes]))
+
+    def box(self, df: DataFrame, low, high, skip: Column | None) -> DataFrame:
+        """A row per cell between ``low`` and ``high`` (functions of an axis) but ``skip``."""
+        names = []
+        for a, (c, cuts, n) in enumerate(self.axes):
+            lo, hi = F.greatest(low(c, cuts), F.lit(0)), F.least(high(c, cuts), F.lit(n - 1))
+            df = df.withColumn(f"_b{a}", F.explode(F.sequence(lo, hi)))
+            names.append(f"_b{a}")
+        df = df.withColumn("_to", self.number([F.col(b) for b in names])).drop(*names)
+        if skip is not None:
+            df = df.where(F.col("_to") != skip)
+        return df.withColumn("_cell", F.col("_to")).drop("_to")
+
+
+def _tiles(query: DataFrame, train: DataFrame, keys: list[str], xs: list[str], k: int, metrics: list[tuple[str, float]],
+           schema: T.StructType, tile_rows: int) -> DataFrame:
+    """The k best train rows of every (query, train tile) in equal cells, only those
+    within the query's bound (``_s<metric>``) where it has one."""
+    cell = [*keys, "_cell"]
+    sizes = (train.groupBy(*cell).agg(F.count(F.lit(1)).alias("_nt")).join(query.groupBy(*cell).agg(F.count(F.lit(1)).alias("_nq")), cell)
+             .select(*cell, F.ceil(F.col("_nt") / tile_rows).alias("_tt"), F.ceil(F.col("_nq") / tile_rows).alias("_qq")))
+    spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    t = train.join(sizes, cell).withColumn("_ti", F.pmod(F.xxhash64("tid"), F.col("_tt"))).withColumn("_qi", spread("_qq"))
+    q = query.join(sizes, cell).withColumn("_qi", F.pmod(F.xxhash64("qid"), F.col("_qq"))).withColumn("_ti", spread("_tt"))
+    bounds = [c for c in query.columns if c.startswith("_s")]
+    m = len(keys)
+
+    # metrics travel as their place in the list
+    coded = T.StructType([T.StructField("metric", T.IntegerType()) if f.name == "metric" else f for f in schema.fields])
+
+    def meet(key, qdf, tdf):
+        if not len(qdf) or not len(tdf):
+            return pd.DataFrame({f.name: np.zeros(0) for f in schema.fields})
+        tdf = tdf.sort_values("tid", kind="stable")
+        tids, labels, Tm = tdf["tid"].to_numpy(), tdf["label"].to_numpy(), tdf[xs].to_numpy(dtype=np.float64)
+        Q, qids = qdf[xs].to_numpy(dtype=np.float64), qdf["qid"].to_numpy()
+        step, out = max(1, _BLOCK_ELEMS // len(Tm)), []
+        for s in range(0, len(Q), step):
+            for place, (name, p) in enumerate(metrics):
+                idx, vals = _topk_rows(_np_dist(Q[s:s + step], Tm, p), k)
+                n, kk = idx.shape
+                near = np.ones((n, kk), bool)
+                if bounds:
+                    near = vals <= qdf[f"_s{name}"].to_numpy()[s:s + step, None]
+                idx, vals, rank = idx[near], vals[near], np.tile(np.arange(1, kk + 1, dtype=np.int32), (n, 1))[near]
+                found = {g: np.repeat(np.array([v]), len(idx)) for g, v in zip(keys, key[:m])}
+                found |= {"metric": np.full(len(idx), place, np.int32), "qid": np.repeat(qids[s:s + step], near.sum(1)), "rank": rank,
+                          "tid": tids[idx], "dist_s": vals, "dist": _np_root(vals, p), "label": labels[idx]}
+                out.append(found)
+        return pd.DataFrame({f.name: np.concatenate([o[f.name] for o in out]) for f in schema.fields})
+
+    by = [*cell, "_ti", "_qi"]
+    found = q.select(*by, "qid", *xs, *bounds).groupBy(*by).cogroup(t.select(*by, "tid", "label", *xs).groupBy(*by)).applyInPandas(meet, coded)
+    return found.withColumn("metric", F.element_at(F.array(*[F.lit(name) for name, _ in metrics]), F.col("metric") + 1))
+
+
+def _merged(found: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """The k best of what all tiles found for a query."""
+    w = Window.partitionBy(*keys, "metric", "qid").orderBy("dist_s", "tid")
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def knn_join(query: DataFrame, train: DataFrame, features: list[str], k: int,
              metric: str | list[str] = "euclidean", group: str | list[str] | None = None,
              qid: str = "row_id", tid: str = "row_id", label: str = "target",
-             strategy: str = "auto", bucket_rows: int = BAND_BUCKET_ROWS) -> DataFrame:
+             cell_rows: int = CELL_ROWS, tile_rows: int = TILE_ROWS) -> DataFrame:
     """k nearest train rows of every query row, within equal ``group`` values.
 
     ``metric`` may be a list: all metrics are computed in the same pass.
     Output: (group..., metric, qid, rank 1..k, tid, dist_s (pre-root), dist, label).
     """
-    metrics = [metric] if isinstance(metric, str) else list(metric)
-    mp = [(m, METRICS[m] if m in METRICS else float(m)) for m in metrics]
-    group = [group] if isinstance(group, str) else list(group or [])
-    schema = _out_schema(group, [train.schema[g].dataType for g in group], query.schema[qid].dataType,
+    metrics = [(m, METRICS[m] if m in METRICS else float(m)) for m in ([metric] if isinstance(metric, str) else metric)]
+    keys = [group] if isinstance(group, str) else list(group or [])
+    schema = _out_schema(keys, [train.schema[g].dataType for g in keys], query.schema[qid].dataType,
                          train.schema[tid].dataType, train.schema[label].dataType)
-    if strategy in ("auto", "broadcast"):
-        max_rows = MAX_BROADCAST_CELLS // (len(features) + 2)
-        pdf = _collect_bounded(train, [*group, tid, label, *features], max_rows)
-        if pdf is not None:
-            return _broadcast_knn(query, pdf, features, k, mp, group, qid, tid, label, schema)
-        if strategy == "broadcast":
-            raise ValueError("train side exceeds the broadcast bound; use strategy='band'")
-    parts = [_band_knn(query, train, features, k, p, group, qid, tid, label, bucket_rows)
-             .withColumn("metric", F.lit(m)) for m, p in mp]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out.select(*[f.name for f in schema.fields])
+    xs = [f"_x{i}" for i in range(len(features))]
+    vector = [F.col(c).cast("double").alias(x) for c, x in zip(features, xs)]
+    q = query.select(*keys, F.col(qid).alias("qid"), *vector)
+    t = train.select(*keys, F.col(tid).alias("tid"), F.col(label).alias("label"), *vector)
+    t = t.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, *xs).orderBy("tid"))).where(F.col("_r") <= k).drop("_r")
+    # both sides are written: passes read them more than once, and no plan grows with the rounds
+    t, q = _kept(t, "train"), _kept(q, "query")
+    counted = t.groupBy(*keys).count() if keys else t.agg(F.count(F.lit(1)).alias("count"))
+    rows = counted.agg(F.max("count")).first()[0] or 0   # groups are folds, seeds or models
+    grid = _Grid(t, xs, rows, cell_rows)
+    t, q = grid.own(t), grid.own(q)
+    columns = [f.name for f in schema.fields]
+    if not grid.axes:
+        return _merged(_tiles(q, t, keys, xs, k, metrics, schema, tile_rows), keys, k).select(*columns)
+
+    id_cols = [*keys, "qid"]
+
+    def bounds(found: DataFrame) -> DataFrame:
+        """Per query with k rows: the k-th distance of each metric, and the farthest."""
+        return found.where(F.col("rank") == k).groupBy(*id_cols).agg(
+            *[F.max(F.when(F.col("metric") == m, F.col("dist_s"))).alias(f"_s{m}") for m, _ in metrics], F.max("dist").alias("_r"))
+
+    found = _kept(_merged(_tiles(q, t, keys, xs, k, metrics, schema, tile_rows), keys, k), "near")
+    reach = 1
+    while reach < 2 * grid.reach:
+        todo = _kept(q.join(bounds(found).select(*id_cols), id_cols, "left_anti"), "todo")
+        if todo.isEmpty():
+            break
+        around = grid.box(todo.drop("_cell"), lambda c, cuts, r=reach: grid.place(cuts, F.col(c)) - r, lambda c, cuts, r=reach: grid.place(cuts, F.col(c)) + r, None)
+        wider = _merged(_tiles(around, t, keys, xs, k, metrics, schema, tile_rows), keys, k)
+        # a wider box holds what the smaller one held
+        found = _kept(found.join(todo.select(*id_cols), id_cols, "left_anti").unionByName(wider), "found")
+        reach *= 2
+    # a query has k rows, or has seen all cells
+    edge = F.col("_r") * (1 + 1e-9) + 1e-12
+    far = grid.box(q.join(bounds(found), id_cols), lambda c, cuts: grid.place(cuts, F.col(c) - edge), lambda c, cuts: grid.place(cuts, F.col(c) + edge), F.col("_cell"))
+    both = found.unionByName(_tiles(far.drop("_r"), t, keys, xs, k, metrics, schema, tile_rows))
+    if reach > 1:   # boxes meet cells again; the same train row counts once
+        both = both.dropDuplicates([*keys, "metric", "qid", "tid"])
+    return _merged(both, keys, k).select(*columns)
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    spark, path = df.sparkSession, run_dir(df.sparkSession, f"foldwise-knn/{name}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # ------------------------------------------------------------------ E2, E3

@@ -9,6 +9,8 @@ whole table through one task.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -135,6 +137,49 @@ def bootstrap_draws(df: DataFrame, n_boot: int, seed: int, id_col: str = "row_id
     return (slots.join(ordd, slots._pick == ordd._ord).drop("_pick", "_ord"))
 
 
+# Poisson(1) by inversion: a uniform integer below _MERSENNE counts the cumulative
+# probabilities that it reaches.
+_MERSENNE = 2 ** 31 - 1
+_POISSON = [int(round(_MERSENNE * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)))) for k in range(12)]
+
+
+def boot_factors(n_boot: int) -> list[tuple[int, int]]:
+    """Per resample the two factors that mix a row's hash parts (powers of two
+    primitive roots modulo the prime)."""
+    return [(pow(48271, b, _MERSENNE), pow(69621, b, _MERSENNE)) for b in range(1, n_boot + 1)]
+
+
+def bootstrap_weights(df: DataFrame, n_boot: int, seed: int, id_col: str = "row_id", salt: str = "boot") -> DataFrame:
+    """How often each row is drawn in each of ``n_boot`` resamples: ``b`` (1..) and
+    ``w`` > 0 beside the row's columns.
+
+    The one-pass form of resampling: counts are independent Poisson(1), a pure
+    function of (seed, row, b), so a resample has n rows on average.  Rows
+    multiply only within their task; a sum per ``b`` is combined there, so what
+    is shuffled has one row per task and resample."""
+    key = _key(seed, salt, id_col)
+    part = lambda a: F.conv(F.substring(key, a, 8), 16, 10).cast("bigint") % _MERSENNE
+    factors = F.array(*[F.struct(F.lit(b).alias("b"), F.lit(x).cast("bigint").alias("x"), F.lit(y).cast("bigint").alias("y"))
+                        for b, (x, y) in enumerate(boot_factors(n_boot), 1)])
+    rows = df.withColumn("_h1", part(1)).withColumn("_h2", part(9)).withColumn("_f", F.explode(factors))
+    u = (F.col("_h1") * F.col("_f.x") + F.col("_h2") * F.col("_f.y")) % _MERSENNE
+    rows = rows.withColumn("_u", u).where(F.col("_u") >= _POISSON[0])
+    w = F.lit(1)
+    for t in _POISSON[1:]:
+        w = w + (F.col("_u") >= t).cast("int")
+    return rows.withColumn("b", F.col("_f.b")).withColumn("w", w).drop("_h1", "_h2", "_f", "_u")
+
+
+def bootstrap_weights_sql(table: str, n_boot: int, seed: int, id_expr: str = "row_id", salt: str = "boot") -> str:
+    """DuckDB twin: all columns of ``table`` with ``b`` and ``w``."""
+    key = f"md5(concat_ws('-', '{seed}', '{salt}', cast({id_expr} as varchar)))"
+    values = ", ".join(f"({b}, {x}, {y})" for b, (x, y) in enumerate(boot_factors(n_boot), 1))
+    part = lambda a: f"cast(('0x' || substr({key}, {a}, 8)) as bigint) % {_MERSENNE}"
+    w = " + ".join(f"cast(u >= {t} as integer)" for t in _POISSON)
+    return (f"select * exclude (h1, h2, fx, fy, u), {w} as w from (select *, (h1 * fx + h2 * fy) % {_MERSENNE} as u "
+            f"from (select *, {part(1)} as h1, {part(9)} as h2 from {table}), (values {values}) f(b, fx, fy)) where u >= {_POISSON[0]}")
+
+
 # ------------------------------------------------------------------ D9
 def batches(df: DataFrame, batch_size: int, epoch: int, seed: int, id_col: str = "row_id",
             salt: str = "epoch", out: str = "batch") -> DataFrame:

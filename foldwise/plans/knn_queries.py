@@ -106,27 +106,24 @@ nb as ({topk_sql("q", "t", f, "euclidean", 5, "true", "q.qid")})
 select qid, cast(rank as integer) as rank, tid, round(dist, 6) as dist from nb"""
 
 
-def _e1(spark, d, strategy):
+def _e1(spark, d, **sizes):
     n2 = fx.n2(spark, d)
     p = FE.fit_scaler(n2, fx.N2_FEATURES, "standard")
     s = FE.apply_scaler(n2, p, fx.N2_FEATURES)
-    if strategy == "band":
-        nb = KN.knn_join(s, s, fx.N2_FEATURES, 5, "euclidean", strategy="band", bucket_rows=64)
-    else:
-        nb = KN.knn_join(s, s, fx.N2_FEATURES, 5, "euclidean", strategy=strategy)
+    nb = KN.knn_join(s, s, fx.N2_FEATURES, 5, "euclidean", **sizes)
     return nb.select("qid", "rank", "tid", r6("dist").alias("dist"))
 
 
 @register("e1_knn_join", _e1_sql())
 def e1_knn_join(spark, d):
-    """Exact 5-NN of every customer among all customers (train side broadcast if small, else banded)."""
-    return _e1(spark, d, "auto")
+    """Exact 5-NN of every customer among all customers."""
+    return _e1(spark, d)
 
 
 @register("e1_knn_join_band", _e1_sql())
 def e1_knn_join_band(spark, d):
-    """Same neighbours through the bucketed band strategy (64-row buckets)."""
-    return _e1(spark, d, "band")
+    """Same neighbours through many small cells, several tiles each."""
+    return _e1(spark, d, cell_rows=64, tile_rows=40)
 
 
 # ------------------------------------------------------------------ E2

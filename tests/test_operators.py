@@ -57,10 +57,49 @@ def test_knn_strategies_match_brute_force(spark, metric):
     for i in range(len(ids)):
         order = np.lexsort((ids, D[i]))[:k]
         expect[int(ids[i])] = [int(ids[j]) for j in order]
-    for strategy, extra in (("broadcast", {}), ("band", {"bucket_rows": 16})):
-        nb = KN.knn_join(sc, sc, feats, k, metric, strategy=strategy, **extra).toPandas()
+    for sizes in ({}, {"cell_rows": 16}, {"cell_rows": 5, "tile_rows": 3}, {"tile_rows": 10}):
+        nb = KN.knn_join(sc, sc, feats, k, metric, **sizes).toPandas()
         got = {int(q): list(g.sort_values("rank").tid.astype(int)) for q, g in nb.groupby("qid")}
-        assert got == expect, strategy
+        assert got == expect, sizes
+
+
+def test_knn_hot_points_and_groups(spark):
+    """A third of the train rows in one point, few rows in one group, queries far
+    outside; all metrics at once against every pair."""
+    rng = np.random.default_rng(0)
+    train = [(i, g, i % 3, *((1.0, 1.0) if i % 3 == 0 else rng.normal(0, 3, 2).round(1))) for g in (0, 1) for i in range(240)]
+    train += [(i, 2, 1, float(i), 0.0) for i in range(3)]
+    query = [(i, i % 3, *(rng.normal(0, 3, 2).round(1) if i % 5 else (40.0, -70.0))) for i in range(60)] + [(99, 0, 1.0, 1.0)]
+    t = spark.createDataFrame([(int(r[0]), int(r[1]), int(r[2]), float(r[3]), float(r[4])) for r in train],
+                              "row_id long, g int, target int, a double, b double")
+    q = spark.createDataFrame([(int(r[0]), int(r[1]), float(r[2]), float(r[3])) for r in query], "row_id long, g int, a double, b double")
+    metrics = list(KN.METRICS)
+    for sizes in ({}, {"cell_rows": 12, "tile_rows": 7}):
+        got = {}
+        for r in KN.knn_join(q, t, ["a", "b"], 6, metrics, group="g", **sizes).collect():
+            got.setdefault((r["metric"], r["qid"]), {})[r["rank"]] = (r["tid"], r["label"])
+        for i, g, a, b in query:
+            side = [r for r in train if r[1] == g]
+            for m in metrics:
+                d = KN._np_dist(np.array([[a, b]]), np.array([r[3:] for r in side]), KN.METRICS[m])[0]
+                order = np.lexsort(([r[0] for r in side], d))[:6]
+                assert got[m, i] == {n + 1: (side[j][0], side[j][2]) for n, j in enumerate(order)}, (m, i, sizes)
+
+
+def test_bootstrap_weights_are_poisson(spark):
+    n2 = fx.n2(spark, SF_SMALL).select("row_id")
+    w = S.bootstrap_weights(n2, 50, 3)
+    n = n2.count() * 50
+    count = {r["w"]: r["count"] for r in w.groupBy("w").count().collect()}
+    assert abs(sum(k * v for k, v in count.items()) / n - 1) < 0.05
+    for k, p in ((1, 0.3679), (2, 0.1839), (3, 0.0613)):
+        assert abs(count[k] / n - p) < 0.02
+    again = S.bootstrap_weights(n2.repartition(7), 50, 3)
+    assert w.exceptAll(again).isEmpty() and again.exceptAll(w).isEmpty()
+    # resamples are not alike: two of them agree on a row as often as chance has it
+    a, b = (w.where(f"b = {i}").select("row_id", F.col("w").alias(f"w{i}")) for i in (1, 2))
+    both = a.join(b, "row_id").count() / n2.count()
+    assert abs(both - 0.632 ** 2) < 0.1
 
 
 def test_bootstrap_draws_size(spark):
