@@ -259,7 +259,11 @@ def against_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     id_type = _arrow_type(id_field.dataType)
     ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order, "_text").select("_id", "_text")
-    rows = written(ordered.mapInArrow(run, schema), "fingerprints", "zstd")
+    # both trees of a document share branches: stored side by side, they compress as one
+    found = ordered.mapInArrow(run, schema).withColumn("_both", F.concat_ws("\n", "fingerprint", "edited_fingerprint")).drop("fingerprint", "edited_fingerprint")
+    rows = written(found, "fingerprints", "zstd")
+    rows = (rows.withColumn("fingerprint", F.when(F.col("_kind") == 0, F.substring_index("_both", "\n", 1)))
+            .withColumn("edited_fingerprint", F.when(F.col("_kind") == 0, F.substring_index("_both", "\n", -1))))
     # part numbers only, bounded by the tasks of one stage
     parts = sorted(r[0] for r in rows.where("_kind = 1").select("_part").collect())
     follow = docs.sparkSession.createDataFrame([(p, parts[(k + 1) % len(parts)]) for k, p in enumerate(parts)], "_part int, _next int")
