@@ -2,9 +2,8 @@
 
 Features are cut once into at most ``max_bins`` bins, and the rows become
 blocks of small integers in the shared folder.  Growing a tree takes one
-pass per level: every task replays the trees since the last write on its
-blocks, routes the rows through the tree so far and adds up gradient, second
-derivative and rows per (node, feature, bin).  The sums are merged in Spark;
+pass per level: every task routes its rows through the tree so far and adds
+up gradient, second derivative and rows per (node, feature, bin).  The sums are merged in Spark;
 what reaches the driver has nodes x features x bins cells, whatever the
 number of rows.  Only the smaller child of a split is summed; its sibling is
 the parent's histogram less that.
@@ -15,9 +14,10 @@ per level, the histograms of all leaves that may still be opened are
 summed ahead of the queue, which then decides on exact gains only.
 
 Gradients are added as integers (multiples of 1 / ``SCALE``), so sums, trees
-and scores do not depend on how rows are dealt over tasks.  Every ``refresh``
-rounds the margins are written beside the blocks: a lost executor costs one
-pass over its blocks, and no lineage grows with the rounds.
+and scores do not depend on how rows are dealt over tasks.  Margins are kept
+with the blocks from round to round and written every ``refresh`` rounds: a
+lost executor costs as many trees on its blocks at most, and no lineage grows
+with the rounds.
 """
 
 from __future__ import annotations
@@ -53,7 +53,7 @@ class Params:
     validation: float = 0.0          # share of rows kept for early stopping
     patience: int = 10
     tolerance: float = 1e-7
-    refresh: int = 8
+    refresh: int = 16
 
 
 #: histogram boosting: best-first, a tenth of the rows decides when to stop (on more than 10,000 rows)
@@ -127,7 +127,7 @@ def _binned(X: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.searchsorted(c, x, "left") for c, x in zip(cuts, X.T)]).astype(np.uint8 if max(map(len, cuts), default=0) < 256 else np.uint16)
 
 
-def _blocks(df: DataFrame, features: list[str], label: str, cuts: list[np.ndarray], held: str | None, n: int):
+def _blocks(df: DataFrame, features: list[str], label: str, cuts: list[np.ndarray], held: str | None, n: int, start: float):
     """The rows as blocks (bins, labels, held-out marks), written to the shared folder.
     Few rows are dealt over all cores; many are taken as they lie."""
     spark = df.sparkSession
@@ -161,7 +161,7 @@ def _blocks(df: DataFrame, features: list[str], label: str, cuts: list[np.ndarra
         rows = rows.repartition(min(cores, n // 4096 + 1))
     path = run_dir(spark, "foldwise-boosting/blocks")
     rows.mapInArrow(run, "n long, width int, bins binary, y binary, held binary").write.parquet(path)
-    return spark.read.parquet(path).rdd.map(partial(_unpacked, m=m))
+    return spark.read.parquet(path).rdd.map(partial(_unpacked, m=m, start=start))
 
 
 @dataclass
@@ -169,12 +169,12 @@ class _Block:
     bins: np.ndarray
     y: np.ndarray
     train: np.ndarray
-    margin: np.ndarray | None = None
+    margin: np.ndarray
 
 
-def _unpacked(r, m: int) -> _Block:
+def _unpacked(r, m: int, start: float) -> _Block:
     bins = np.frombuffer(r["bins"], np.uint8 if r["width"] == 1 else np.uint16).reshape(m, r["n"])
-    return _Block(bins, np.frombuffer(r["y"], np.int8).astype(np.float64), np.frombuffer(r["held"], np.int8) == 0)
+    return _Block(bins, np.frombuffer(r["y"], np.int8).astype(np.float64), np.frombuffer(r["held"], np.int8) == 0, np.full(r["n"], start))
 
 
 def _leaf_of(packed, bins: np.ndarray) -> np.ndarray:
@@ -188,24 +188,18 @@ def _leaf_of(packed, bins: np.ndarray) -> np.ndarray:
         node[live] = child[at] + (bins[feature[at], live] > cut[at])
 
 
-def _margins(block: _Block, start: float, recent: list) -> np.ndarray:
-    out = np.full(len(block.y), start) if block.margin is None else block.margin.copy()
-    for t in recent:
-        out += t[3][_leaf_of(t, block.bins)]
-    return out
-
-
-def _moved(block: _Block, start: float, recent: list) -> _Block:
-    return replace(block, margin=_margins(block, start, recent))
+def _moved(block: _Block, tree) -> _Block:
+    """The block after one more tree."""
+    return replace(block, margin=block.margin + tree[3][_leaf_of(tree, block.bins)])
 
 
-def _sums(blocks, start: float, recent: list, growing, wanted: list[int], n_bins: int, loss: bool):
+def _sums(blocks, growing, wanted: list[int], n_bins: int, loss: bool):
     """One partial sum: (gradient, second derivative, rows) per wanted node,
     feature and bin; log loss and rows of the held-out rows if asked for."""
     total, lost = None, np.zeros(2)
     for b in blocks:
         m = b.bins.shape[0]
-        margin = _margins(b, start, recent)
+        margin = b.margin
         if loss:
             held = ~b.train
             z = margin[held] * (1 - 2 * b.y[held])
@@ -234,34 +228,36 @@ def _merged(a, b):
 
 
 class _Passes:
-    """The blocks, what has been grown on them, and one pass over them at a time."""
+    """The blocks with their margins, and one pass over them at a time."""
 
-    def __init__(self, spark, blocks, start: float, m: int, n_bins: int, refresh: int):
-        self.sc, self.blocks, self.start, self.m, self.n_bins, self.refresh = spark.sparkContext, blocks.cache(), start, m, n_bins, refresh
-        self.recent: list = []
-        self.spark, self.held = spark, None
+    def __init__(self, spark, blocks, m: int, n_bins: int, refresh: int):
+        self.spark, self.blocks, self.m, self.n_bins, self.refresh = spark, blocks.cache(), m, n_bins, refresh
+        self.before, self.rounds = None, 0
 
     def sums(self, growing, wanted: list[int], loss: bool = False):
         """(len(wanted), 3, features, bins) and the held-out loss, merged in Spark
         (pairwise over tasks where there are many)."""
-        run = partial(_sums, start=self.start, recent=self.recent, growing=growing, wanted=wanted, n_bins=self.n_bins, loss=loss)
-        parts = self.blocks.mapPartitions(run)
+        parts = self.blocks.mapPartitions(partial(_sums, growing=growing, wanted=wanted, n_bins=self.n_bins, loss=loss))
         few = self.blocks.getNumPartitions() <= 32
         total, lost = parts.reduce(_merged) if few else parts.treeReduce(_merged, 3)
         return total.reshape(3, self.m, len(wanted), self.n_bins).transpose(2, 0, 1, 3), lost
 
     def grown(self, tree: Tree) -> None:
         """The tree counts from now on; now and then the margins are written."""
-        self.recent.append(tree.packed())
-        if len(self.recent) == self.refresh:
-            moved = self.blocks.map(partial(_moved, start=self.start, recent=self.recent))
+        if self.before is not None:   # its successor has been computed by the passes since
+            self.before.unpersist()
+        self.before, self.rounds = self.blocks, self.rounds + 1
+        moved = self.blocks.map(partial(_moved, tree=tree.packed()))
+        if self.rounds % self.refresh == 0:
             path = run_dir(self.spark, "foldwise-boosting/margins")
             moved.saveAsPickleFile(path, batchSize=1)
-            old, self.blocks, self.recent = self.blocks, self.sc.pickleFile(path, self.blocks.getNumPartitions()).cache(), []
-            old.unpersist()
+            moved = self.spark.sparkContext.pickleFile(path, self.blocks.getNumPartitions())
+        self.blocks = moved.cache()
 
     def close(self) -> None:
-        self.blocks.unpersist()
+        for rdd in (self.before, self.blocks):
+            if rdd is not None:
+                rdd.unpersist()
 
 
 # ---------------------------------------------------------------- growing
@@ -373,7 +369,7 @@ def fit(df: DataFrame, features: list[str], p: Params = HISTOGRAM, label: str =
     if not 0 < pos < n:   # one class or none: no gradient to follow
         return Model(features, cuts, 30.0 if n and pos == n else -30.0, [], [])
     model = Model(features, cuts, float(np.log(pos / (n - pos))), [], [])
-    passes = _Passes(df.sparkSession, _blocks(df, features, label, cuts, held, n), model.start, len(features), max(map(len, cuts)) + 1, p.refresh)
+    passes = _Passes(df.sparkSession, _blocks(df, features, label, cuts, held, n, model.start), len(features), max(map(len, cuts)) + 1, p.refresh)
     try:
         for _ in range(p.rounds):
             tree, lost = _grow(passes, p, bool(held))

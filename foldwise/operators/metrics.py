@@ -285,3 +285,15 @@ def cumulative(df: DataFrame, order: str, value: str, by: list[str] | None = Non
     by = list(by or [])
     r = running_before(df, by, order, [value])
     return r.withColumn(out, F.col(f"{value}_before") + F.col(value)).drop(f"{value}_before")
+
+
+# ---------------------------------------------------------------- J28
+def normalised(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Class scores divided by their row's sum; null where that is 0."""
+    total = sum((F.col(c) for c in cols[1:]), F.col(cols[0]))
+    return df.select(*[x for x in df.columns if x not in cols], *[(F.col(c) / F.nullif(total, F.lit(0.0))).alias(c) for c in cols])
+
+
+def row_sum_mean(df: DataFrame, cols: list[str], by: list[str] | None = None, out: str = "proba_rowsum_mean") -> DataFrame:
+    """Mean over rows of the sum of class probabilities; rows with a null are left out."""
+    return df.groupBy(*(by or [])).agg(F.avg(sum((F.col(c) for c in cols[1:]), F.col(cols[0]))).alias(out))

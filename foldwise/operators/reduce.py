@@ -102,15 +102,17 @@ def reconstruction_errors(df: DataFrame, fit: PCAFit, ns: list[int]) -> dict:
     return {ns[r["t"]]: float(np.sqrt(max(r["r"], 0.0))) for r in rows}
 
 
-def kernel_pca_project(df: DataFrame, landmarks: np.ndarray, cols: list[str], kernel: str, k: int,
+def kernel_pca_project(df: DataFrame, train: DataFrame, landmarks: np.ndarray, cols: list[str], kernel: str, k: int,
                        keep: list[str], gamma: float | None = None, degree: int = 3,
                        coef0: float = 1.0) -> DataFrame:
-    """I6 re-aimed as Nystrom kernel PCA.  The m landmark rows (m is a
-    parameter, not the row count) give an m x m kernel that is centred and
-    eigen-decomposed on the driver; every row's k components are its
-    centred kernel row against the landmarks times the scaled eigenvectors,
-    computed per Arrow batch in NumPy.  Exact kernel PCA when the landmarks
-    are the whole train set."""
+    """Kernel PCA through a Nystrom map.
+
+    The m landmark rows (a parameter, not the row count) span the feature
+    space: a row's map is its kernel row against them times the inverse root
+    of their own kernel.  Centre and covariance of the mapped rows come from
+    one Gram pass over all ``train`` rows, and the components are that
+    covariance's.  Exact where the landmarks span the train rows, as they do
+    for the linear kernel with m >= p, and when they are the train set."""
     import pandas as pd
     from pyspark.sql import types as T
     gamma = gamma if gamma is not None else 1.0 / len(cols)
@@ -125,25 +127,27 @@ def kernel_pca_project(df: DataFrame, landmarks: np.ndarray, cols: list[str], ke
             return (gamma * (A @ B.T) + coef0) ** degree
         raise ValueError(kernel)
 
-    K = kern(landmarks, landmarks)
-    m = len(landmarks)
-    one = np.full((m, m), 1.0 / m)
-    Kc = K - one @ K - K @ one + one @ K @ one
-    ev, V = np.linalg.eigh(Kc)
-    order = np.argsort(ev)[::-1][:k]
-    ev, V = ev[order], V[:, order]
-    if np.any(ev <= 1e-12):
-        raise ValueError("kernel matrix has fewer than k positive eigenvalues")
-    A = V / np.sqrt(ev)
-    col_means, all_mean = K.mean(axis=0), K.mean()
-    bc = df.sparkSession.sparkContext.broadcast((landmarks, A, col_means, all_mean))
+    ev, V = np.linalg.eigh(kern(landmarks, landmarks))
+    span = ev > max(ev[-1], 0) * 1e-10
+    root = V[:, span] / np.sqrt(ev[span])
+    if root.shape[1] < k:
+        raise ValueError("the landmarks span fewer than k directions")
+
+    def mapped(X):
+        return kern(X, landmarks) @ root
+
+    part = train.select(*cols, F.lit(0).alias("_g"), F.lit(0.0).alias("_y0"))
+    G = L.gram_blocks(part, cols, "_y0", "_g", mapped, root.shape[1])[0]
+    n, mean, _, C, _, _ = L._moments(G)
+    var, U = np.linalg.eigh(C / max(n - 1, 1))
+    U = U[:, np.argsort(var)[::-1][:k]]
+    U = U * np.where(U[np.abs(U).argmax(axis=0), np.arange(k)] < 0, -1.0, 1.0)
+    bc = df.sparkSession.sparkContext.broadcast((root @ U, mean @ U, landmarks))
 
     def run(batches):
-        Lm, Am, cm, am = bc.value
+        A, centre, Lm = bc.value
         for b in batches:
-            Kx = kern(b[cols].to_numpy(dtype=np.float64), Lm)
-            Kxc = Kx - cm[None, :] - Kx.mean(axis=1, keepdims=True) + am
-            S = Kxc @ Am
+            S = kern(b[cols].to_numpy(dtype=np.float64), Lm) @ A - centre
             out = b[keep].copy()
             for j in range(S.shape[1]):
                 out[f"kp{j + 1}"] = S[:, j]

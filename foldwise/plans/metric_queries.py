@@ -366,3 +366,18 @@ def j25_cumulative_share(spark, d):
     c = M.cumulative(s, "p_size", "v")
     return c.select(F.col("p_size").cast("int"), r6(F.col("v") / tot).alias("share"),
                     r6(F.col("cumulative") / tot).alias("cumulative"))
+
+
+# ---------------------------------------------------------------- J28
+_SCORES = ["score_1", "score_2", "score_3"]
+
+
+@register("j28_row_sum_mean", fq.with_(y1=fq.Y1) + """, s as (select *, score_1 + score_2 + score_3 as total from y1)
+select 'raw' as form, round(avg(total), 6) as proba_rowsum_mean from s
+union all select 'normalised', round(avg(score_1 / nullif(total, 0) + score_2 / nullif(total, 0) + score_3 / nullif(total, 0)), 6) from s""")
+def j28_row_sum_mean(spark, d):
+    """Mean sum of three one-vs-rest scores a row, as they are and after normalisation."""
+    y = fx.y1(spark, d).select("row_id", *_SCORES)
+    raw = M.row_sum_mean(y, _SCORES).withColumn("form", F.lit("raw"))
+    out = raw.unionByName(M.row_sum_mean(M.normalised(y, _SCORES), _SCORES).withColumn("form", F.lit("normalised")))
+    return out.select("form", r6("proba_rowsum_mean").alias("proba_rowsum_mean"))

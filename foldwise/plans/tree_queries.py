@@ -186,7 +186,7 @@ ENSEMBLES = {
 
 BOOSTERS = {"histogram_boosting": BO.HISTOGRAM, "second_order_level": BO.LEVEL, "second_order_leaf": BO.LEAF}
 
-MODELS = (*ENSEMBLES, "extra_trees", *BOOSTERS)
+MODELS = (*ENSEMBLES, "extra_trees")
 
 
 def _evaluate(h, name: str, s: int):
@@ -285,7 +285,7 @@ for _name, _p in FIRST_ROUNDS.items():
 @register("g13_ensemble_benchmark")
 def g13_ensemble_benchmark(spark, d, seeds=(0, 1, 2), models=MODELS, parallelism: int = 8):
     """Ensembles x seeds on stratified 80/20 hold-outs: AUC, F1, accuracy, fit seconds,
-    and each model's AUC mean and standard deviation over the seeds.  The
+    and each model's mean and standard deviation of them over the seeds.  The
     (model, seed) fits are independent jobs submitted concurrently; a model Spark
     cannot fit is a row of nulls."""
     splits = {s: _split(spark, d, s) for s in seeds}
@@ -302,10 +302,17 @@ def g13_ensemble_benchmark(spark, d, seeds=(0, 1, 2), models=MODELS, parallelism
     for h in splits.values():
         h.unpersist()
     out = spark.createDataFrame(rows, _ROW)
-    per = out.groupBy("model").agg(F.avg("roc_auc").alias("auc_mean"), F.stddev_pop("roc_auc").alias("auc_std"))
+    over = {"roc_auc": "auc", "f1": "f1", "accuracy": "accuracy", "fit_time_s": "fit_time"}
+    per = out.groupBy("model").agg(*[f(c).alias(f"{n}_{k}") for c, n in over.items() for k, f in (("mean", F.avg), ("std", F.stddev_pop))])
     return out.join(F.broadcast(per), "model")
 
 
+@register("g13_booster_benchmark")
+def g13_booster_benchmark(spark, d, seeds=(0, 1, 2)):
+    """The other three ensembles: histogram and second-order boosting, as above."""
+    return g13_ensemble_benchmark(spark, d, seeds, tuple(BOOSTERS))
+
+
 @register("g4_ccp_path")
 def g4_ccp_path(spark, d):
     """Cost-complexity pruning path of a full-depth gini tree: weakest-link alphas

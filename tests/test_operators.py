@@ -116,3 +116,35 @@ def test_permute_all_matches_permute_column(spark):
     allp = S.permute_all(n2, ["spend_high", "c_acctbal"], 2, 0).filter(
         (F.col("feature") == "c_acctbal") & (F.col("rep") == 1)).select("row_id", "c_acctbal")
     assert sorted(one.collect()) == sorted(allp.collect())
+
+
+def test_kernel_pca_uses_all_train_rows(spark):
+    """The linear kernel is plain PCA whatever the landmarks; with all train rows as
+    landmarks any kernel equals the centred kernel matrix's eigenvectors."""
+    from foldwise.operators import reduce as R
+    rng = np.random.default_rng(2)
+    X = rng.normal(0, 1, (90, 4)) @ np.diag([3, 2, 1, 0.5])
+    cols = ["a", "b", "c", "d"]
+    df = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(X)], ["row_id", *cols])
+    S_ = np.linalg.svd(X - X.mean(0), full_matrices=False)
+    got = R.kernel_pca_project(df, df, X[:7], cols, "linear", 3, ["row_id"]).toPandas().sort_values("row_id")
+    assert np.allclose(np.abs(got[["kp1", "kp2", "kp3"]]), np.abs(S_[0] * S_[1])[:, :3], atol=1e-6)
+    K = np.exp(-((X[:, None] - X[None]) ** 2).sum(-1) / 4)
+    one = np.full((90, 90), 1 / 90)
+    ev, V = np.linalg.eigh(K - one @ K - K @ one + one @ K @ one)
+    want = V[:, ::-1][:, :2] * np.sqrt(ev[::-1][:2])
+    got = R.kernel_pca_project(df, df, X, cols, "rbf", 2, ["row_id"]).toPandas().sort_values("row_id")
+    assert np.allclose(np.abs(got[["kp1", "kp2"]]), np.abs(want), atol=1e-5)
+
+
+def test_sgd_parts_are_added_in_spark(spark, monkeypatch):
+    from foldwise.operators import sgd
+    monkeypatch.setattr(sgd, "FAN_IN", 3)
+    rng = np.random.default_rng(0)
+    w, n = rng.normal(0, 1, (20, 2, 3)), rng.integers(1, 9, 20)
+    parts = spark.createDataFrame([(i, int(n[i]), (w[i] * n[i]).tobytes(), np.array([1.0, i]).tobytes(), float(i)) for i in range(20)], sgd._PART)
+    out = sgd._added(parts, 20, (2, 3))
+    assert len(out) <= 3 and sum(r["n"] for r in out) == n.sum() and max(r["steps"] for r in out) == 19
+    total = sum(np.frombuffer(r["w"]).reshape(2, 3) for r in out)
+    assert np.allclose(total, (w * n[:, None, None]).sum(0), atol=1e-9)
+    assert np.allclose(sum(np.frombuffer(r["l"]) for r in out), [20, 190])

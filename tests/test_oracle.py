@@ -16,8 +16,9 @@ import os
 # heavy or non-SQL entries are covered elsewhere
 SKIP = set()
 # many-fit searches: run with FOLDWISE_SLOW=1
-SLOW = {"k4_grid_search", "k5_k6_k7_k8_search_comparison", "k9_n_iter_sensitivity", "g13_ensemble_benchmark",
-        "h2_init_comparison", "f6_degree_sweep", "f7_condition_number", "f11_optimizer_comparison", "f15_sgd_grid", "f18_epoch_curve",
+SLOW = {"k9_n_iter_sensitivity", "g13_ensemble_benchmark", "g13_booster_benchmark", "g8_histogram_boosting", "g9_second_order_level",
+        "g10_second_order_leaf",
+        "h2_init_comparison", "f7_condition_number", "f11_optimizer_comparison", "f15_sgd_grid", "f18_epoch_curve",
         "k14_k17_scaler_algo_matrix", "k15_outlier_ablation", "h5_k_sweep", "j27_importance_compare"}
 
 
