@@ -30,6 +30,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foldwise.llm.common import written
+
 #: licence families and phrases of their public notices (fixed values)
 TEMPLATES = [
     ("MIT", "released under the mit license"),
@@ -206,8 +208,10 @@ def fit(docs: DataFrame, text: str = "text", max_rows: int = 3000, false_rate: f
               .withColumn("y", F.expr("if(arrays_overlap(_any, _g), array_max(transform(_tpl, t -> struct(size(array_intersect(t.g, _g)) / size(t.g) as s, -t.f as f))), "
                                       "struct(0D as s, 0 as f))"))
               .select("w", F.col("y.s").alias("s"), (-F.col("y.f")).alias("f")))
+    # both kinds of windows are read from one pass over the texts
+    marked = written(marked.where((F.col("s") >= LABEL) | (F.col("s") <= NONE)).dropDuplicates(["w"]), "licence-windows")
     words = F.xxhash64(F.array_join("w", " "))
-    near, far = (marked.where(cond).select("w", f.alias("f")).dropDuplicates(["w"]).orderBy(words, "w").limit(max_rows)
+    near, far = (marked.where(cond).select("w", f.alias("f")).orderBy(words, "w").limit(max_rows)
                  for cond, f in ((F.col("s") >= LABEL, F.col("f")), (F.col("s") <= NONE, F.lit(0))))
     plain = (_windows(t.where(F.pmod(F.xxhash64("_text"), F.lit(16)) == 0), "_text", cue=False).select(F.inline("_win")).select("w", F.lit(0).alias("f"))
              .orderBy(words, "w").limit(max_rows))

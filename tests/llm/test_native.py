@@ -157,7 +157,8 @@ def test_licenses(spark):
 
 def test_op10_query(spark, sf):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
-    named = {"MIT": r"mit\W+license", "Apache-2.0": r"apache\W+license", "GPL": r"gnu\W+general", "CC-BY-NC": r"cc\W+by-nc"}
+    named = {"MIT": r"mit\W+license", "Apache-2.0": r"apache\W+license", "GPL": r"gnu\W+general", "CC-BY-NC": r"cc\W+by-nc",
+             "All-rights-reserved": r"all\W+rights\W+reserved"}
     for r in registry.QUERIES["op10_license_scan"](spark, sf).collect():
         want = sorted(k for k, p in named.items() if re.search(p, docs[r.doc_id].lower()))
         assert sorted(filter(None, r.families.split(","))) == want
