@@ -43,7 +43,7 @@ A_FILE, B_FILE = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 SHIFT = 15
 #: a word with the blanks before it
 _WORD = re.compile(r" *[^ ]+| +")
-#: words whose ids are kept
+#: words whose ids, and wide groups whose texts are kept
 CACHE = 1 << 18
 
 
@@ -71,6 +71,7 @@ class Vocabularies:
             raise ValueError("a vocabulary is too large for the number of a pair")
         pieces = [self._b.id_to_piece(i) for i in range(n)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self._a_sizes = [len(t) for t in self.a_bytes]
         # no piece of B goes on over a blank, so words are encoded apart and kept
         self._by_word = not any("▁" in p.lstrip("▁") for p in pieces)
         self._kept: dict[str, list[int]] = {}
@@ -83,7 +84,8 @@ class Vocabularies:
         data = " " + text
         a, b = self._a.encode_ordinary(data), self._pieces(text)
         data = data.encode()
-        if b"".join(map(self.a_bytes.__getitem__, a)) != data or b"".join(map(self.b_bytes.__getitem__, b)) != data:
+        # A's ids stand for the text's own bytes, so their length decides
+        if sum(map(self._a_sizes.__getitem__, a)) != len(data) or b"".join(map(self.b_bytes.__getitem__, b)) != data:
             return [], []
         return a, b
 
@@ -131,6 +133,11 @@ def common_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.
             if i + step <= longest and raw_a[8 * i:8 * (i + step)] == raw_b[8 * j:8 * (j + step)]:
                 i, j = i + step, j + step
                 step = 2 * step if growing else step // 2
+            elif step <= 32:
+                # the first difference is at most 32 ends away
+                while i < longest and a[i] == b[j]:
+                    i, j = i + 1, j + 1
+                break
             else:
                 growing, step = False, step // 2
         if i > begin:
@@ -176,14 +183,25 @@ class Alignment:
         parts = list(map(shown.__getitem__, self.pairs().tolist()))
         wide = (np.diff(self.link_a, prepend=-1) > 1) | (np.diff(self.link_b, prepend=-1) > 1)
         starts_a, starts_b = np.append(0, self.link_a[:-1] + 1), np.append(0, self.link_b[:-1] + 1)
-        at = np.flatnonzero(wide)
-        for g, i0, i1, j0, j1 in zip(at.tolist(), starts_a[at].tolist(), self.link_a[at].tolist(), starts_b[at].tolist(), self.link_b[at].tolist()):
-            parts[g] = f"{','.join(map(str, self.a[i0:i1 + 1]))}|{','.join(map(str, self.b[j0:j1 + 1]))}"
+        at, a, b, known = np.flatnonzero(wide), self.a, self.b, shown.wide
+        for g, i0, i1, j0, j1 in zip(at.tolist(), starts_a[at].tolist(), (self.link_a[at] + 1).tolist(), starts_b[at].tolist(), (self.link_b[at] + 1).tolist()):
+            key = (*a[i0:i1], -1, *b[j0:j1])
+            text = known.get(key)
+            if text is None:
+                if len(known) >= CACHE:
+                    known.clear()
+                text = known[key] = f"{','.join(map(str, a[i0:i1]))}|{','.join(map(str, b[j0:j1]))}"
+            parts[g] = text
         return ";".join(parts)
 
 
 class _PairText(dict):
-    """The text of a group of one token a side, kept per pair (bounded as pairs are)."""
+    """The text of a group of one token a side, kept per pair (bounded as pairs are),
+    and up to ``CACHE`` texts of wider groups."""
+
+    def __init__(self):
+        super().__init__()
+        self.wide: dict[tuple, str] = {}
 
     def __missing__(self, pair: int) -> str:
         self[pair] = text = f"{pair >> SHIFT}|{pair & (1 << SHIFT) - 1}"
