@@ -76,7 +76,7 @@ def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors (once per session), so functions that
     run in Python workers find it there without an installation."""
     sc = spark.sparkContext
-    if sc.master.startswith("local[") or sc.applicationId in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.abspath(__file__))
     path = os.path.join(tempfile.mkdtemp(prefix="foldwise-zip-"), "foldwise.zip")
