@@ -13,8 +13,10 @@ two words is held as that pair.
 Training labels come from the templates: windows that hold a template are
 of its family, windows that hold almost none of any are unknown, as are
 those of paragraphs without a cue word.  At most ``max_rows`` labelled windows
-of each of the three sorts are used (chosen by hash, a documented bound for
-the classifier); every whole text is scanned.
+of each of the three sorts are used, the unknown ones of at most ``max_texts``
+texts a sort (chosen by hash, documented bounds for the classifier).  Every whole
+text is scanned; windows are cut only where a gram of a template begins, as no
+other window can be confirmed.
 
 Defined cases: a null text has no paragraphs; a paragraph without a cue
 word is unknown; repeated rows are scanned alike; without any labelled
@@ -30,8 +32,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import written
-
 #: licence families and phrases of their public notices (fixed values)
 TEMPLATES = [
     ("MIT", "released under the mit license"),
@@ -115,7 +115,8 @@ def _features(words: str) -> str:
             f"zip_with(slice({words}, 1, {n}), slice({words}, 2, {n}), (a, b) -> {_bucket('a, b')})))")
 
 
-_CUT = rf"transform(sequence(0, int(greatest(0, ceil((size(ws) - {WINDOW}) / {STEP})))), i -> slice(ws, i * {STEP} + 1, {WINDOW}))"
+#: numbers of the windows of the words ``ws``
+_STARTS = f"sequence(0, int(greatest(0, ceil((size(ws) - {WINDOW}) / {STEP}))))"
 _WORD_SPLIT = r"regexp_extract_all(lower(x), '[a-z0-9]+(?:[.][0-9]+)*', 0)"
 
 
@@ -125,18 +126,29 @@ _PARAGRAPHS = r"""filter(split(concat('\n', array_join(transform(_lines, (x, i)
     concat(i, char(2), translate(x, concat(char(1), char(2)), '  ')), char(1))), '\n')), char(1)), x -> instr(x, char(2)) > 0)"""
 
 
-def _windows(df: DataFrame, text: str, cue: bool = True) -> DataFrame:
+#: grams that lie in a template: a window without any of them is unknown
+_LINE_GRAMS = sorted({" ".join(w[i:i + n]) for _, t in TEMPLATES for w in [t.split()] for n in [min(3, len(w))] for i in range(len(w) - n + 1)})
+
+
+def _windows(df: DataFrame, text: str, cue: bool = True, near: bool = False) -> DataFrame:
     """``df`` with ``_win``: (number of the paragraph's first line, words) windows of
-    the paragraphs with a cue word (``cue=False``: without one)."""
+    the paragraphs with a cue word (``cue=False``: without one); ``near``: only
+    windows in which a gram of a template begins."""
     body = F.coalesce(F.col(text), F.lit(""))
     has = f"lower(x.t) rlike '{CUES}'"
     d = df.withColumn("_lines", F.when(F.lower(body).rlike(CUES) if cue else F.lit(True), F.split(body, "\n")).otherwise(F.array().cast("array<string>")))
     d = d.withColumn("_para", F.expr(rf"""transform({_PARAGRAPHS}, x -> struct(int(regexp_extract(x, '\n([0-9]+)\\x02', 1)) as p,
         regexp_replace(x, '\n[0-9]+\\x02', '\n') as t))"""))
-    # line breaks end no window of the whole paragraph; those of a line by itself count with the paragraph
+    grams = ", ".join(f"'{g}'" for g in _LINE_GRAMS)
+    places = (f"filter(sequence(0, size(ws) - 1), i -> concat(get(ws, i), ' ', get(ws, i + 1)) in ({grams}) "
+              f"or concat(get(ws, i), ' ', get(ws, i + 1), ' ', get(ws, i + 2)) in ({grams}))")
+    starts = (f"flatten(transform(array({places}), ps -> filter({_STARTS}, i -> exists(ps, a -> a >= i * {STEP} and a < i * {STEP} + {WINDOW}))))"
+              if near else _STARTS)
+    # line breaks end no window of the whole paragraph; those of a line by itself count with
+    # the paragraph, and a paragraph of one line is cut once
     return d.withColumn("_win", F.expr(f"""array_distinct(flatten(transform(filter(_para, x -> {has if cue else f'not ({has})'}), y ->
-        flatten(transform(concat(array(y.t), split(y.t, '\n')), x -> flatten(transform(array({_WORD_SPLIT}),
-            ws -> if(size(ws) = 0, array(), transform({_CUT}, w -> struct(y.p as p, w as w)))))))))) """))
+        flatten(transform(if(size(split(y.t, '\n')) > 2, concat(array(y.t), split(y.t, '\n')), array(y.t)), x -> flatten(transform(array({_WORD_SPLIT}),
+            ws -> if(size(ws) = 0, array(), transform({starts}, i -> struct(y.p as p, slice(ws, i * {STEP} + 1, {WINDOW}) as w)))))))))) """))
 
 
 def _literal(values: np.ndarray) -> str:
@@ -198,22 +210,35 @@ def _train(features: list[np.ndarray], target: np.ndarray, classes: int, steps:
     return np.vstack([w, b])
 
 
-def fit(docs: DataFrame, text: str = "text", max_rows: int = 3000, false_rate: float = 0.001) -> Model:
-    """Train on windows that the templates label, and on the templates.  The
-    threshold leaves ``false_rate`` of held-back unknown windows above it."""
+def _some_texts(t: DataFrame, most: int) -> DataFrame:
+    """The ``most`` distinct texts whose hashes are smallest; only hashes are ranked."""
+    h = t.select(F.xxhash64("_text").alias("h")).distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    if h is None:
+        return t.limit(0)
+    return t.where(F.xxhash64("_text") <= h).groupBy(F.xxhash64("_text").alias("_h")).agg(F.min("_text").alias("_text")).select("_text")
+
+
+def fit(docs: DataFrame, text: str = "text", max_rows: int = 3000, false_rate: float = 0.001, max_texts: int = 1000) -> Model:
+    """Train on windows that the templates label, and on the templates.  Windows of
+    a family are sought in all texts, unknown ones in at most ``max_texts`` distinct
+    texts with a cue word and as many of all; each sort is bounded by ``max_rows``.
+    The threshold leaves ``false_rate`` of held-back unknown windows above it."""
     spark = docs.sparkSession
-    t = docs.select(F.col(text).alias("_text"))
-    marked = (_windows(t, "_text").withColumn("_tpl", F.expr(_templates())).withColumn("_any", F.expr(_every_gram())).select("_tpl", "_any", F.inline("_win"))
-              .withColumn("_g", F.expr(_held_grams("w")))
-              .withColumn("y", F.expr("if(arrays_overlap(_any, _g), array_max(transform(_tpl, t -> struct(size(array_intersect(t.g, _g)) / size(t.g) as s, -t.f as f))), "
-                                      "struct(0D as s, 0 as f))"))
-              .select("w", F.col("y.s").alias("s"), (-F.col("y.f")).alias("f")))
-    # both kinds of windows are read from one pass over the texts
-    marked = written(marked.where((F.col("s") >= LABEL) | (F.col("s") <= NONE)).dropDuplicates(["w"]), "licence-windows")
+    t = docs.select(F.col(text).alias("_text")).where("_text is not null")
     words = F.xxhash64(F.array_join("w", " "))
-    near, far = (marked.where(cond).select("w", f.alias("f")).orderBy(words, "w").limit(max_rows)
-                 for cond, f in ((F.col("s") >= LABEL, F.col("f")), (F.col("s") <= NONE, F.lit(0))))
-    plain = (_windows(t.where(F.pmod(F.xxhash64("_text"), F.lit(16)) == 0), "_text", cue=False).select(F.inline("_win")).select("w", F.lit(0).alias("f"))
+
+    def marked(d: DataFrame, cond: str, near: bool) -> DataFrame:
+        """Windows of ``d`` under ``cond``: ``s``, the largest share of a template, and its family ``f``."""
+        d = (_windows(d, "_text", near=near).withColumn("_tpl", F.expr(_templates())).withColumn("_any", F.expr(_every_gram())).select("_tpl", "_any", F.inline("_win"))
+             .withColumn("_g", F.expr(_held_grams("w")))
+             .withColumn("y", F.expr("if(arrays_overlap(_any, _g), array_max(transform(_tpl, t -> struct(size(array_intersect(t.g, _g)) / size(t.g) as s, -t.f as f))), "
+                                     "struct(0D as s, 0 as f))"))
+             .select("w", F.col("y.s").alias("s"), (-F.col("y.f")).alias("f")))
+        return d.where(cond).select("w", "f").dropDuplicates(["w"]).orderBy(words, "w").limit(max_rows)
+
+    near = marked(t, f"s >= {LABEL}", True)
+    far = marked(_some_texts(t.where(F.lower("_text").rlike(CUES)), max_texts), f"s <= {NONE}", False).select("w", F.lit(0).alias("f"))
+    plain = (_windows(_some_texts(t, max_texts), "_text", cue=False).select(F.inline("_win")).select("w", F.lit(0).alias("f")).dropDuplicates(["w"])
              .orderBy(words, "w").limit(max_rows))
     own = spark.createDataFrame([(x.split(), FAMILIES.index(f) + 1) for f, x in TEMPLATES], "w array<string>, f int")
     rows = near.unionByName(far).unionByName(plain).unionByName(own).select(F.expr(_features("w")).alias("x"), "f", F.pmod(words, F.lit(5)).alias("h")).collect()
@@ -236,10 +261,12 @@ def _probabilities(w: np.ndarray, f: np.ndarray) -> np.ndarray:
 def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``licenses``: per licence paragraph its number, the family, the
     probability and the share of the template, by paragraph; ``families``:
-    the sorted distinct families."""
+    the sorted distinct families.  Input columns of these two names give way;
+    all others stay, whatever their names."""
     k = len(FAMILIES) + 1
-    d = _windows(docs, text)
-    # a prediction stands on a template's grams, so windows without any need no classifier
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("licenses", "families")]
+    d = _windows(docs.select(F.struct(*rest).alias("_row"), F.col(f"`{text}`").alias("_text")), "_text", near=True)
+    # a prediction stands on a template's grams, so windows without any are not cut
     d = d.withColumn("_any", F.expr(_every_gram()))
     d = d.withColumn("_g", F.expr(f"filter(transform(_win, x -> struct(x.p as p, x.w as w, {_held_grams('x.w')} as g)), x -> arrays_overlap(_any, x.g))"))
     d = d.withColumn("_f", F.expr(f"transform(_g, x -> struct(x.p as p, {_features('x.w')} as f, x.g as g))"))
@@ -254,9 +281,8 @@ def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         u -> array_max(transform(filter(_hit, x -> x.p = u.p and x.k = u.k), x -> struct(x.held as held, x.prob as prob, u.p as p, u.k as k))))"""))
     found = F.expr(f"transform(_one, x -> named_struct('paragraph', x.p, 'family', element_at({names}, x.k), 'probability', x.prob, 'template_share', x.held))")
     d = d.withColumn("_found", found)
-    cols = [F.col(f"`{c}`") for c in docs.columns if c not in ("licenses", "families")]
-    return d.select(*cols, F.inline(F.array(F.struct(F.col("_found").alias("licenses"),
-                                                     F.array_sort(F.array_distinct(F.transform("_found", lambda x: x["family"]))).alias("families")))))
+    return d.select("_row.*", F.inline(F.array(F.struct(F.col("_found").alias("licenses"),
+                                                       F.array_sort(F.array_distinct(F.transform("_found", lambda x: x["family"]))).alias("families")))))
 
 
 def columns() -> list[Column]:

@@ -187,6 +187,15 @@ def test_op10_query_every_licence_line(spark, sf):
     assert any("All-rights-reserved" in f for f in out.values())
 
 
+def test_licence_scan_keeps_columns_of_any_name(spark):
+    names = ["_lines", "_para", "_win", "_any", "_g", "_tpl", "_row", "_text", "a.b"]
+    df = spark.createDataFrame([(1, "MIT License", "old", *names)], ["doc_id", "text", "families", *names])
+    out = licenses.scan(df, licenses.fit(df))
+    assert out.columns == ["doc_id", "text", *names, "licenses", "families"]
+    r = out.first()
+    assert [r[c] for c in names] == names and list(r.families) == ["MIT"]
+
+
 def test_wrapped_licence_notices(spark):
     notices = {
         "BSD": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:",
