@@ -9,12 +9,17 @@ is then binary-searched: all places of its first ``window`` words are
 found exactly, and the neighbours of its insertion point give its longest
 verbatim match in the shard, with document and word offset.
 
-No shuffle: documents stay where they are read.  The benchmark is taken in
-blocks of at most ``block_bytes`` of text, each broadcast by itself, and
-the documents pass through one search after the other; each adds to the
-marks of the one before it.  A block grows with its words, not with the
-square of an item; all blocks pass through the driver, which bounds the
-benchmark.
+No shuffle of documents: they stay where they are read.  The benchmark is
+taken in blocks of at most ``block_bytes`` of text, each broadcast by itself,
+and the documents pass through one search after the other; each adds to the
+marks of the one before it.  The driver holds one block at a time, and after
+``CHAIN`` blocks the marks are written down, so neither a task nor a plan
+grows with the benchmark.  A block grows with its words, not with the square
+of an item.
+
+Equal windows of a block are searched once, whatever the number of items
+that share them; a document's words are marked once per window, and items
+are listed per document from its distinct windows.
 
 Defined cases: a null or word-less text has no words and is clean; a null
 or word-less item has no windows; a null item id counts as the empty
@@ -33,7 +38,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import with_key
+from foldwise.llm.common import with_key, written
 
 #: bytes to words: A-Z become a-z, what is no word character becomes a blank
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -44,8 +49,15 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().translate(_TABLE).split() if text else []
 
 
+#: blocks that are searched one after the other before the marks are written
+CHAIN = 4
+
+
 class Block:
-    """The suffixes of some benchmark items, ready to be searched for."""
+    """The suffixes of some benchmark items, ready to be searched for.
+
+    ``first`` holds one suffix of every distinct window; ``of`` and ``at`` list
+    the suffixes that begin with it (``of[at[w]:at[w + 1]]``)."""
 
     def __init__(self, items: list[tuple[str, str | None]], window: int):
         self.vocab: dict[bytes, int] = {}
@@ -69,6 +81,19 @@ class Block:
         self.full = length[of] - self.offset
         self.size = np.minimum(window, length)[of]
         self.item = np.array(owner, np.int64)[of]
+        group = self._group(window)
+        self.of = np.argsort(group, kind="stable")
+        self.at = np.flatnonzero(np.diff(np.concatenate([[-1], group[self.of], [-1]])))
+        self.first = self.of[self.at[:-1]]
+
+    def _group(self, window: int) -> np.ndarray:
+        """Number of each suffix's window among the distinct ones, word by word."""
+        group = self.size.copy()
+        for d in range(min(window, self.depth)):
+            inside = d < self.size
+            word = np.where(inside, self.ids[np.where(inside, self.begin + d, 0)], 0)
+            group = np.unique(group * (len(self.vocab) + 1) + word, return_inverse=True)[1]
+        return group
 
     @property
     def query(self) -> Iterator[np.ndarray]:
@@ -156,14 +181,49 @@ class Shard:
     def doc_of(self, place: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, place, side="right") - 1
 
-    def windows(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place, length, item) of every occurrence of every window."""
-        lo = search(self.a, self.order, block.ids, block.begin, block.size, False)
-        hi = search(self.a, self.order, block.ids, block.begin, block.size, True)
+    def occurrences(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, length, window) of every occurrence of every distinct window, and
+        no more: items that share a window do not multiply it."""
+        begin, size = block.begin[block.first], block.size[block.first]
+        lo = search(self.a, self.order, block.ids, begin, size, False)
+        hi = search(self.a, self.order, block.ids, begin, size, True)
         n = hi - lo
         q = np.repeat(np.arange(len(n)), n)
         at = np.arange(int(n.sum())) + np.repeat(lo - (np.cumsum(n) - n), n)
-        return self.place[self.order[at]], block.size[q], block.item[q]
+        return self.place[self.order[at]], size[q], q
+
+    def windows(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, length, item) of every occurrence of every item's windows."""
+        place, size, w = self.occurrences(block)
+        n = np.diff(block.at)[w]
+        suffix = block.of[np.arange(int(n.sum())) + np.repeat(block.at[w] - (np.cumsum(n) - n), n)]
+        return np.repeat(place, n), np.repeat(size, n), block.item[suffix]
+
+    def matches(self, block: Block, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, ...]]:
+        """(item, its word offset, length, place) of every verbatim match of at least
+        a window that can be extended to neither side, some places at a time:
+        occurrences of an item's next windows at the next places are one match."""
+        place, _, w = self.occurrences(block)
+        order = np.argsort(place, kind="stable")
+        place, w = place[order], w[order]
+        n = np.diff(block.at)[w]
+        total = np.cumsum(n)
+        # no match reaches over a place where no window begins
+        ends = np.append(np.flatnonzero(np.diff(place) > 1) + 1, len(place))
+        i = 0
+        while i < len(place):
+            j = max(int(np.searchsorted(total, total[i] + most)), i + 1)
+            j = int(ends[np.searchsorted(ends, j)])
+            k, m = w[i:j], n[i:j]
+            suffix = block.of[np.arange(int(m.sum())) + np.repeat(block.at[k] - (np.cumsum(m) - m), m)]
+            at, size = np.repeat(place[i:j], m), block.size[suffix]
+            item, start = block.begin[suffix] - block.offset[suffix], block.offset[suffix]
+            by = np.lexsort((at, at - start, item))
+            at, size, item, start, suffix = at[by], size[by], item[by], start[by], suffix[by]
+            new = np.concatenate([[True], (item[1:] != item[:-1]) | (at[1:] - start[1:] != at[:-1] - start[:-1]) | (at[1:] != at[:-1] + 1)])
+            run = np.flatnonzero(new)
+            yield block.item[suffix[run]], start[run], size[run] + np.diff(np.append(run, len(at))) - 1, at[run]
+            i = j
 
     def longest(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """(length, place) of the longest verbatim match of every query suffix."""
@@ -179,18 +239,19 @@ class Shard:
         return best, place
 
 
-def blocks(benchmark: DataFrame, window: int, item_id: str, text: str, block_bytes: int) -> list[Block]:
-    """The benchmark as search blocks, all of them in the driver."""
-    rows = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.col(text).alias("t"))
-    out, part, size = [], [], 0
+def blocks(benchmark: DataFrame, window: int, item_id: str, text: str, block_bytes: int) -> Iterator[Block]:
+    """The benchmark as search blocks, one at a time in the driver."""
+    rows = benchmark.select(F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("")).alias("i"), F.col(f"`{text}`").alias("t"))
+    part, size = [], 0
     for r in rows.orderBy("i", "t").toLocalIterator():
-        n = len(r.t or "")
+        n = len((r.t or "").encode())
         if part and size + n > block_bytes:
-            out.append(Block(part, window))
+            yield Block(part, window)
             part, size = [], 0
         part.append((r.i, r.t))
         size += n
-    return out + [Block(part, window)] if part else out
+    if part:
+        yield Block(part, window)
 
 
 def _batches(batches, most: int = 16 << 20):
@@ -199,7 +260,7 @@ def _batches(batches, most: int = 16 << 20):
         yield from slices(b, "_text", most)
 
 
-def _marked(frame: DataFrame, blocks_: list[Block]) -> DataFrame:
+def _marked(frame: DataFrame, blocks_: Iterator[Block]) -> DataFrame:
     """``frame`` (with ``_text``) after a search for every block, one after the
     other: ``_hits``, the bits of the hit words (null: none), ``_items``."""
     spark = frame.sparkSession
@@ -208,18 +269,21 @@ def _marked(frame: DataFrame, blocks_: list[Block]) -> DataFrame:
     def mark(sent):
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block = sent.value
-            names = max(1, len(block.names))
+            every = max(1, len(block.first))
             for b in _batches(parts):
                 shard = Shard(b.column("_text").to_pylist(), block)
-                place, size, item = shard.windows(block)
+                place, size, window = shard.occurrences(block)
                 cover = np.zeros(shard.length + 1, np.int64)
                 np.add.at(cover, place, 1)
                 np.add.at(cover, place + size, -1)
                 hit = np.cumsum(cover) > 0
-                pairs = np.unique(shard.doc_of(place) * names + item)
+                pairs = np.unique(shard.doc_of(place) * every + window)
+                doc = pairs // every
+                edge = np.flatnonzero(np.diff(np.concatenate([[-1], doc, [-1]]))) if len(doc) else np.zeros(1, np.int64)
                 found: dict[int, set] = {}
-                for d, i in zip(pairs // names, pairs % names):
-                    found.setdefault(int(d), set()).add(block.names[i])
+                for x, y in zip(edge[:-1], edge[1:]):
+                    mine = [block.item[block.of[block.at[k]:block.at[k + 1]]] for k in pairs[x:y] % every]
+                    found[int(doc[x])] = {block.names[i] for i in np.unique(np.concatenate(mine))}
                 hits, items = b.column("_hits").to_pylist(), b.column("_items").to_pylist()
                 for d, got in found.items():
                     s = shard.starts[d]
@@ -230,7 +294,9 @@ def _marked(frame: DataFrame, blocks_: list[Block]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string()))], b.schema.names)
         return run
 
-    for block in blocks_:
+    for k, block in enumerate(blocks_):
+        if k and k % CHAIN == 0:
+            frame = written(frame, "benchmark-marks")
         frame = frame.mapInArrow(mark(spark.sparkContext.broadcast(block)), frame.schema)
     return frame
 
@@ -258,15 +324,53 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
     return out.select(F.col("_id").alias(id_col), "n_words", "n_hit", "items", (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def _found(frame: DataFrame, blocks_: Iterator[Block], find, schema: str) -> DataFrame:
+    """What ``find`` returns for every block, together."""
+    spark, out = frame.sparkSession, None
+    for k, block in enumerate(blocks_):
+        part = frame.mapInArrow(find(spark.sparkContext.broadcast(block)), schema)
+        out = part if out is None else out.unionByName(part)
+        if k % CHAIN == CHAIN - 1:
+            out = written(out, "benchmark-matches")
+    return spark.createDataFrame([], schema) if out is None else out
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id",
+            text: str = "text", item_id: str = "item_id", item_text: str = "text",
+            block_bytes: int = 16 << 20) -> DataFrame:
+    """Every verbatim match of at least a window (or a whole shorter item) that can
+    be extended to neither side: ``item_id``, ``item_word`` (offset in the item),
+    ``length`` in words, the document's id, ``doc_word``.  Items with one id are
+    listed by themselves; repeated documents and items have rows of their own."""
+    frame = with_key(docs, id_col, text)
+    id_type = frame.schema["_id"].dataType.simpleString()
+    schema = f"item_id string, item_word bigint, length bigint, _id {id_type}, doc_word bigint"
+
+    def find(sent):
+        def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            block = sent.value
+            for b in _batches(parts):
+                shard = Shard(b.column("_text").to_pylist(), block)
+                for item, start, length, place in shard.matches(block):
+                    doc = shard.doc_of(place)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([block.names[i] for i in item], pa.string()), pa.array(start), pa.array(length),
+                         b.column("_id").take(pa.array(doc)), pa.array(place - shard.starts[doc])],
+                        ["item_id", "item_word", "length", "_id", "doc_word"])
+        return run
+
+    found = _found(frame, blocks(benchmark, window, item_id, item_text, block_bytes), find, schema)
+    return found.select("item_id", "item_word", "length", F.col("_id").alias(id_col), "doc_word")
+
+
 def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id",
                     text: str = "text", item_id: str = "item_id", item_text: str = "text",
                     block_bytes: int = 16 << 20) -> DataFrame:
     """For every item suffix that begins a window: the longest verbatim match of
-    at least a window in all documents and its place (``item_id``, ``item_word``,
-    ``length``, the document's id, ``doc_word``); of equal lengths the smallest
-    id and offset within a shard's two candidates.  Suffixes without a match of
-    that length have no row."""
-    spark = docs.sparkSession
+    at least a window in each document shard, the longest over all of them kept
+    (``item_id``, ``item_word``, ``length``, the document's id, ``doc_word``); ties
+    go to the smallest id, then offset, among the shards' candidates.  Suffixes
+    without a match of that length have no row."""
     frame = with_key(docs, id_col, text)
     id_type = frame.schema["_id"].dataType.simpleString()
     schema = f"item_id string, item_word bigint, length bigint, _id {id_type}, doc_word bigint"
@@ -285,15 +389,10 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_
                     ["item_id", "item_word", "length", "_id", "doc_word"])
         return run
 
-    found = None
-    for block in blocks(benchmark, window, item_id, item_text, block_bytes):
-        part = frame.mapInArrow(find(spark.sparkContext.broadcast(block)), schema)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = spark.createDataFrame([], schema)
-    best = F.max_by(F.struct("_id", "doc_word"), F.struct("length", F.hash("_id"), -F.col("doc_word")))
-    return (found.groupBy("item_id", "item_word").agg(F.max("length").alias("length"), best.alias("b"))
-            .select("item_id", "item_word", "length", F.col("b._id").alias(id_col), F.col("b.doc_word").alias("doc_word")))
+    found = _found(frame, blocks(benchmark, window, item_id, item_text, block_bytes), find, schema)
+    best = F.min(F.struct((-F.col("length")).alias("l"), "_id", "doc_word"))
+    return (found.groupBy("item_id", "item_word").agg(best.alias("b"))
+            .select("item_id", "item_word", (-F.col("b.l")).alias("length"), F.col("b._id").alias(id_col), F.col("b.doc_word").alias("doc_word")))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text", item_id: str = "item_id",

@@ -96,3 +96,56 @@ def test_block_grows_with_the_words_of_an_item():
     assert sum(v.nbytes for v in vars(block).values() if isinstance(v, np.ndarray)) < 100 * len(words)
     place, size, item = D.Shard([" ".join(["no", *words[500:530], "no"])], block).windows(block)
     assert sorted(place) == list(range(1, 22)) and set(size) == {10} and set(item) == {0}
+
+
+def test_shared_windows_are_searched_once():
+    """The windows of 2,000 items that share a passage are marked once a place."""
+    passage = " ".join(f"p{i}" for i in range(12))
+    block = D.Block([(f"i{i}", f"a{i} {passage} z{i}") for i in range(2000)], 10)
+    shard = D.Shard([f"x {passage} y"] * 300, block)
+    place, size, window = shard.occurrences(block)
+    assert len(place) == 3 * 300 and set(size) == {10} and len(set(window)) == 3
+    got = list(shard.matches(block, 1 << 16))
+    assert sum(len(item) for item, *_ in got) == 300 * 2000 and len(got) > 5
+    assert all((set(start), set(length), set(place % 15)) == ({1}, {12}, {1}) for _, start, length, place in got)
+
+
+def maximal(text, items, window):
+    ws, out = WORD.findall(lower(text)), []
+    for name, t in items:
+        b = WORD.findall(lower(t))
+        least = min(window, len(b))
+        for p in range(len(ws)):
+            for o in range(len(b)):
+                if ws[p] == b[o] and not (p and o and ws[p - 1] == b[o - 1]):
+                    n = 0
+                    while p + n < len(ws) and o + n < len(b) and ws[p + n] == b[o + n]:
+                        n += 1
+                    if n >= least:
+                        out.append((str(name), o, n, p))
+    return out
+
+
+def test_matches_against_brute_force(spark):
+    rnd, words = random.Random(5), "a b c d".split()
+    items = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 14)))) for i in range(9)]
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 30))) for _ in range(25)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    want = sorted((i, *m) for i, t in enumerate(texts) for m in maximal(t, items, 4))
+    for size in (1 << 20, 10):  # one block, and more than are chained
+        got = D.matches(d, b, window=4, block_bytes=size).collect()
+        assert sorted((r.doc_id, r.item_id, r.item_word, r.length, r.doc_word) for r in got) == want
+        out = D.contamination(d, b, window=4, block_bytes=size).collect()
+        for r in out:
+            w, h, f = brute(texts[r.doc_id], items, 4)
+            assert (r.n_words, r.n_hit, r["items"]) == (w, h, f)
+            # the columns follow from the matches
+            mine = [m for m in want if m[0] == r.doc_id]
+            assert len({p for m in mine for p in range(m[4], m[4] + m[3])}) == r.n_hit and sorted({m[1] for m in mine}) == r["items"]
+
+
+def test_longest_match_ties_go_to_the_smallest_id(spark):
+    d = spark.createDataFrame([(i, "x a b c y") for i in (7, 3, 12)], "doc_id long, text string").repartition(3)
+    b = spark.createDataFrame([(9, "a b c")], "item_id long, text string")
+    assert [tuple(r) for r in D.longest_matches(d, b, window=3).collect()] == [("9", 0, 3, 3, 1)]
