@@ -210,12 +210,13 @@ def _train(features: list[np.ndarray], target: np.ndarray, classes: int, steps:
     return np.vstack([w, b])
 
 
-def _some_texts(t: DataFrame, most: int) -> DataFrame:
-    """The ``most`` distinct texts whose hashes are smallest; only hashes are ranked."""
-    h = t.select(F.xxhash64("_text").alias("h")).distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
+def _some_texts(t: DataFrame, most: int, cond: Column) -> DataFrame:
+    """Of the texts under ``cond`` the ``most`` distinct ones whose hashes are
+    smallest; only hashes are ranked."""
+    h = t.where(cond).select(F.xxhash64("_text").alias("h")).distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
     if h is None:
         return t.limit(0)
-    return t.where(F.xxhash64("_text") <= h).groupBy(F.xxhash64("_text").alias("_h")).agg(F.min("_text").alias("_text")).select("_text")
+    return t.where(F.xxhash64("_text") <= h).where(cond).groupBy(F.xxhash64("_text").alias("_h")).agg(F.min("_text").alias("_text")).select("_text")
 
 
 def fit(docs: DataFrame, text: str = "text", max_rows: int = 3000, false_rate: float = 0.001, max_texts: int = 1000) -> Model:
@@ -237,8 +238,8 @@ def fit(docs: DataFrame, text: str = "text", max_rows: int = 3000, false_rate: f
         return d.where(cond).select("w", "f").dropDuplicates(["w"]).orderBy(words, "w").limit(max_rows)
 
     near = marked(t, f"s >= {LABEL}", True)
-    far = marked(_some_texts(t.where(F.lower("_text").rlike(CUES)), max_texts), f"s <= {NONE}", False).select("w", F.lit(0).alias("f"))
-    plain = (_windows(_some_texts(t, max_texts), "_text", cue=False).select(F.inline("_win")).select("w", F.lit(0).alias("f")).dropDuplicates(["w"])
+    far = marked(_some_texts(t, max_texts, F.lower("_text").rlike(CUES)), f"s <= {NONE}", False).select("w", F.lit(0).alias("f"))
+    plain = (_windows(_some_texts(t, max_texts, F.lit(True)), "_text", cue=False).select(F.inline("_win")).select("w", F.lit(0).alias("f")).dropDuplicates(["w"])
              .orderBy(words, "w").limit(max_rows))
     own = spark.createDataFrame([(x.split(), FAMILIES.index(f) + 1) for f, x in TEMPLATES], "w array<string>, f int")
     rows = near.unionByName(far).unionByName(plain).unionByName(own).select(F.expr(_features("w")).alias("x"), "f", F.pmod(words, F.lit(5)).alias("h")).collect()
