@@ -34,5 +34,26 @@ def with_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
 
 
+def apart(df: DataFrame, working: list[str], text: str) -> tuple[DataFrame, str, dict[str, str]]:
+    """``df`` with the columns that bear a ``working`` name under other names, the
+    name of ``text`` then, and the names to give back (none: ``df`` itself)."""
+    back: dict[str, str] = {}
+    for c in df.columns:
+        if c in working:
+            new = f"input_{c}"
+            while new in df.columns or new in working or new in back:
+                new += "_"
+            back[new] = c
+    there = {old: new for new, old in back.items()}
+    if back:
+        df = df.select(*[F.col(f"`{c}`").alias(there.get(c, c)) for c in df.columns])
+    return df, there.get(text, text), back
+
+
+def renamed_back(df: DataFrame, back: dict[str, str]) -> DataFrame:
+    """``df`` with the names that ``apart`` took away."""
+    return df.select(*[F.col(f"`{c}`").alias(back.get(c, c)) for c in df.columns]) if back else df
+
+
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()

@@ -28,6 +28,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foldwise.llm.common import apart, renamed_back
+
 #: the base kinds in their order; possessive forms of the given patterns, which
 #: match the same text without backtracking.  An email starts where its run of
 #: characters does, or at the end of the last match.
@@ -88,10 +90,16 @@ def _passes(kind: str) -> str:
     }[kind]
 
 
+#: working columns of this module
+_STEPS = ["_t", "_digit", *(f"{p}{k}" for k in BASE for p in ("_m_", "_s_")), "_found", "_mc", "_cs", "_c", "_all"]
+
+
 def base_spans(df: DataFrame, text: str = "text", out: str = "base") -> DataFrame:
     """``df`` with ``out``: array of (start, end, kind) of the base kinds, by
-    start, then kind as listed."""
-    d = df.withColumn("_t", F.coalesce(F.col(text), F.lit("")))
+    start, then kind as listed.  An input column ``out`` gives way; all others
+    stay, whatever their names."""
+    df, text, back = apart(df, _STEPS, text)
+    d = df.withColumn("_t", F.coalesce(F.col(f"`{text}`"), F.lit("")))
     none = F.array().cast("array<string>")
     has_digit = F.col("_t").rlike("[0-9]")
     d = d.withColumn("_digit", has_digit)
@@ -103,12 +111,13 @@ def base_spans(df: DataFrame, text: str = "text", out: str = "base") -> DataFram
         d = d.withColumn(f"_s_{k}", F.expr(f"transform(filter(_s_{k}, x -> {_passes(k)}), x -> named_struct('start', x.start, 'rank', {i}, 'end', x.end, 'kind', '{k}'))"))
     every = F.array_sort(F.concat(*[F.col(f"_s_{k}") for k in BASE]))
     found = F.transform(every, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")))
-    return d.withColumn("_found", found).select(*[F.col(f"`{c}`") for c in df.columns if c != out], F.inline(F.array(F.struct(F.col("_found").alias(out)))))
+    d = d.withColumn("_found", found).select(*[F.col(f"`{c}`") for c in df.columns if c != out], F.inline(F.array(F.struct(F.col("_found").alias(out)))))
+    return renamed_back(d, back)
 
 
 def _candidates(df: DataFrame, text: str) -> DataFrame:
     """``df`` with ``_c``: the further candidates, each with votes and shape."""
-    d = df.withColumn("_t", F.coalesce(F.col(text), F.lit("")))
+    d = df.withColumn("_t", F.coalesce(F.col(f"`{text}`"), F.lit("")))
     d = d.withColumn("_mc", F.regexp_extract_all("_t", F.lit(_CANDIDATE), F.lit(0)))
     d = d.withColumn("_cs", _spans("_mc", _CANDIDATE))
     # strings of letters alone are words
@@ -232,7 +241,9 @@ def _decision(model: Model) -> str:
 
 def find(docs: DataFrame, model: Model, text: str = "text", out: str = "spans") -> DataFrame:
     """``docs`` with ``base`` and ``out``: arrays of (start, end, kind); ``out`` has
-    the base spans and the candidates the classifier accepts."""
+    the base spans and the candidates the classifier accepts.  Input columns of
+    these two names give way; all others stay, whatever their names."""
+    docs, text, back = apart(docs, _STEPS, text)
     d = _candidates(base_spans(docs, text, "base"), text)
     keep = f"filter(_c, x -> {_decision(model)} and not exists(base, b -> b.start <= x.start and x.end <= b.end))" if model.weights else "slice(_c, 1, 0)"
     order = "case x.kind " + " ".join(f"when '{k}' then {i}" for i, k in enumerate([*BASE, *FURTHER])) + " end"
@@ -240,7 +251,7 @@ def find(docs: DataFrame, model: Model, text: str = "text", out: str = "spans")
         x -> named_struct('start', x.start, 'rank', {order}, 'end', x.end, 'kind', x.kind))),
         x -> named_struct('start', x.start, 'end', x.end, 'kind', x.kind))""")
     cols = [F.col(f"`{c}`") for c in docs.columns if c not in ("base", out)]
-    return d.withColumn("_all", every).select(*cols, F.inline(F.array(F.struct("base", F.col("_all").alias(out)))))
+    return renamed_back(d.withColumn("_all", every).select(*cols, F.inline(F.array(F.struct("base", F.col("_all").alias(out))))), back)
 
 
 def joined(spans: str) -> Column:

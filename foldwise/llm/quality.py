@@ -25,6 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foldwise.llm.common import apart, renamed_back
+
 _WS = "\t\n\x0b\x0c\r "
 _WORDS = r"[\x20\x09-\x0D]+"
 _SYMBOLS = "#*$%&|<>"
@@ -36,14 +38,20 @@ RATIOS = ["repeat_share", "symbol_share", "dup_line_share", "mean_word", "upper_
           "stop_share", "bang_share", "bare_line_share"]
 
 
+#: working columns of ``add_statistics``
+_STEPS = ["_t", "_w", "_h", "_s", "_d", "_o", "_p", "_lines", "_q"]
+
+
 def add_statistics(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with the columns ``BASE`` and ``RATIOS`` for ``text``.
+    """``df`` with the columns ``BASE`` and ``RATIOS`` for ``text``.  Input columns
+    of these names give way; all others stay, whatever their names.
 
     Words of a 3-word window that occurs again are counted by sorting the
     windows' hashes within the row; only rows with many repeated windows sort
     their positions too.
     """
-    body = F.coalesce(F.col(text), F.lit(""))
+    df, text, back = apart(df.drop(*(c for c in [*BASE, *RATIOS] if c != text)), _STEPS, text)
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     # one projection per step: a step's arrays are columns of the next
     d = df.withColumn("_t", body)
     d = d.withColumn("_w", F.filter(F.split("_t", _WORDS), lambda w: w != ""))
@@ -87,7 +95,7 @@ def add_statistics(df: DataFrame, text: str = "text") -> DataFrame:
     d = d.withColumn("symbol_share", F.col("n_symbols") / chars)
     # through a generator of one row: filters on the statistics stay above it,
     # where they would otherwise be moved down with a copy of every expression
-    return d.select(*[F.col(f"`{c}`") for c in df.columns], F.inline(F.array(F.struct(*BASE, *RATIOS))))
+    return renamed_back(d.select(*[F.col(f"`{c}`") for c in df.columns], F.inline(F.array(F.struct(*BASE, *RATIOS)))), back)
 
 
 def base_failed() -> Column:
@@ -216,7 +224,9 @@ def verdict(rules: list[Rule]) -> Column:
 
 
 def judge(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
-    """``docs`` with the base statistics, ``base_failed``, ``rule`` and ``kept``."""
+    """``docs`` with the base statistics, ``base_failed``, ``rule`` and ``kept``;
+    input columns of these names, and of the names in ``RATIOS``, give way."""
+    docs = docs.drop("base_failed", "rule", "kept")
     d = add_statistics(docs, text).withColumn("rule", verdict(rules)).withColumn("base_failed", base_failed())
     return d.withColumn("kept", F.col("rule").isNull()).drop(*RATIOS)
 

@@ -108,3 +108,12 @@ def test_lm_features_stay_within_their_text():
     one, two = lm.features(h, np.array([6])), lm.features(h, np.array([2, 1, 3]))
     assert (two[:, 3:] == lm.features(h[3:], np.array([3]))).all() and (one[:, :2] == two[:, :2]).all()
     assert (two[:, 2] == two[:, 0]).all()
+
+
+def test_lm_score_columns_of_any_name(spark):
+    """All input columns stay, but for those that bear an output's name."""
+    df = spark.createDataFrame([(1, "a b c", 7, "x", "y", "z")], ["doc_id", "text", "n_tokens", "a.b", "_row", "_cold"])
+    out = lm.score(df, lm.train(df))
+    assert out.columns == ["doc_id", "text", "a.b", "_row", "_cold", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    r = out.first()
+    assert (r["a.b"], r["_row"], r["_cold"], r.n_tokens, r.n_known) == ("x", "y", "z", 4, 4)

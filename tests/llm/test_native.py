@@ -229,3 +229,25 @@ def test_secret_around_a_card_number_is_found_and_redacted(spark):
     assert [tuple(x) for x in out[101].spans] == [(5, 21, "card")]
     clean = {r.doc_id: r.text for r in pii.redact(df, model).collect()}
     assert clean[100] == 'word token = "<secret>" here' and clean[101] == "card <card> here"
+
+
+def test_columns_of_any_name_stay(spark):
+    """Extra columns that bear the operators' working names keep their values;
+    those that bear an output's name give way."""
+    text = "write to a.b@c.org or 10.0.0.1 " + "word " * 60
+    for module, run, made in [
+        (pii, lambda d: pii.find(d, pii.fit(d)), ["base", "spans"]),
+        (pii, pii.base_spans, ["base"]),
+        (quality, lambda d: quality.judge(d, []), [*quality.BASE, "rule", "base_failed", "kept"]),
+        (quality, quality.add_statistics, [*quality.BASE, *quality.RATIOS]),
+    ]:
+        names = [*module._STEPS, "_row", "_text", "a.b", "input__t"]
+        values = [f"value {i}" for i in range(len(names))]
+        df = spark.createDataFrame([(1, text, *values, *map(str, made))], ["doc_id", "text", *names, *made])
+        r = run(df).first()
+        assert [r[c] for c in names] == values and r["text"] == text
+        assert sorted(r.asDict()) == sorted(["doc_id", "text", *names, *made])
+        plain = run(df.select("doc_id", "text")).first()
+        assert [r[c] for c in made] == [plain[c] for c in made]
+    clean = pii.redact(df, pii.fit(df)).first()
+    assert [clean[c] for c in names] == values and clean["text"].startswith("write to <email> or <ip> word")
