@@ -178,7 +178,7 @@ def t2_numeric(spark, d):
 
 ENSEMBLES = {
     "random_forest": lambda s: RandomForestClassifier(featuresCol="features", labelCol="target", numTrees=300,
-                                                      featureSubsetStrategy="sqrt", maxDepth=12, maxBins=255, seed=s),
+                                                      featureSubsetStrategy="sqrt", maxDepth=30, maxBins=255, seed=s),
     "gradient_boosting": lambda s: GBTClassifier(featuresCol="features", labelCol="target", maxIter=200, maxDepth=3,
                                                  stepSize=0.1, maxBins=255, seed=s),
 }
@@ -231,7 +231,7 @@ def _one_model(spark, d, name, s=SEED):
 
 @register("g5_random_forest")
 def g5_random_forest(spark, d):
-    """Random forest (300 trees, sqrt features, depth 12) on a stratified 80/20 hold-out."""
+    """Random forest (300 trees, sqrt features, depth 30, the most Spark allows) on a stratified 80/20 hold-out."""
     return _one_model(spark, d, "random_forest")
 
 
