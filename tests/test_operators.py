@@ -1,5 +1,8 @@
 """Operator invariants and brute-force cross-checks on the sf0.001 tables."""
 
+import hashlib
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import Window
@@ -110,6 +113,32 @@ def test_bootstrap_draws_size(spark):
     assert d.groupBy("b").count().agg(F.min("count"), F.max("count")).first() == (n, n)
 
 
+def test_bootstrap_draws_counted(spark):
+    """Every draw by hand; ids come twice and are null."""
+    ids = [*range(300), 7, 7, 150, None, None]
+    df = spark.createDataFrame([(i, n) for n, i in enumerate(ids)], "row_id long, place long")
+    got = S.bootstrap_draws(df, 5, 3, counted=True).collect()
+    key = lambda text: hashlib.md5(text.encode()).hexdigest()
+    order = sorted(ids, key=lambda i: (key("3-ord" if i is None else f"3-ord-{i}"), i is not None, i or 0))
+    for b in range(1, 6):
+        drawn = [order[int(key(f"3-boot-{b}-{i}")[:15], 16) % len(ids)] for i in range(1, len(ids) + 1)]
+        mine = [r for r in got if r["b"] == b]
+        w = Counter()
+        for r in mine:
+            w[r["row_id"]] += r["w"]
+        assert w == Counter(drawn)
+        assert sum(r["new"] for r in mine) == len(set(drawn) - {None})
+    assert S.bootstrap_draws(df.limit(0), 5, 3).count() == 0
+
+
+@pytest.mark.parametrize("name", ["d8_bootstrap", "j17_bootstrap_ci"])
+def test_bootstrap_queries_draw_exactly_n(spark, name):
+    import __spark_entry__ as E
+    one, exact = (E.queries()[n](spark, SF_SMALL).collect() for n in (name, f"{name}_exact"))
+    assert sorted(one) == sorted(exact)
+    assert name[0] == "j" or {r["n_draws"] for r in one} == {fx.n1(spark, SF_SMALL).count()}
+
+
 def test_permute_all_matches_permute_column(spark):
     n2 = fx.n2(spark, SF_SMALL).select("row_id", "target", *fx.N2_FEATURES)
     one = S.permute_column(n2, "c_acctbal", 1, 0).select("row_id", "c_acctbal")
