@@ -23,7 +23,6 @@ id and text are not read, so their names cannot clash.
 from __future__ import annotations
 
 import base64
-import re
 from collections import Counter
 from functools import lru_cache
 
@@ -41,9 +40,7 @@ from foldwise.llm.common import sha256_hex, with_key, written
 A_FILE, B_FILE = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 #: bits of B's ids in the number of a pair
 SHIFT = 15
-#: a word with the blanks before it
-_WORD = re.compile(r" *[^ ]+| +")
-#: words whose ids, and wide groups whose texts are kept
+#: wide groups whose texts are kept
 CACHE = 1 << 18
 
 
@@ -72,9 +69,6 @@ class Vocabularies:
         pieces = [self._b.id_to_piece(i) for i in range(n)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self._a_sizes = [len(t) for t in self.a_bytes]
-        # no piece of B goes on over a blank, so words are encoded apart and kept
-        self._by_word = not any("▁" in p.lstrip("▁") for p in pieces)
-        self._kept: dict[str, list[int]] = {}
         self.a_length, self.b_length = (np.array([len(t) for t in side], np.int64) for side in (self.a_bytes, self.b_bytes))
 
     def encode(self, text: str | None) -> tuple[list[int], list[int]]:
@@ -82,29 +76,13 @@ class Vocabularies:
         if not text:
             return [], []
         data = " " + text
-        a, b = self._a.encode_ordinary(data), self._pieces(text)
+        a, b = self._a.encode_ordinary(data), self._b.encode(text)
         data = data.encode()
         # A's ids stand for the text's own bytes, so their length decides
         if sum(map(self._a_sizes.__getitem__, a)) != len(data) or b"".join(map(self.b_bytes.__getitem__, b)) != data:
             return [], []
         return a, b
 
-    def _pieces(self, text: str) -> list[int]:
-        """Ids of B, which puts a blank before what it is given."""
-        if not self._by_word:
-            return self._b.encode(text)
-        out, kept = [], self._kept
-        for word in _WORD.findall(" " + text):
-            ids = kept.get(word)
-            if ids is None:
-                if len(kept) >= CACHE:
-                    kept.clear()
-                ids = self._b.encode(word[1:]) or [self._b.piece_to_id("▁")]
-                if len(word) < 64:
-                    kept[word] = ids
-            out += ids
-        return out
-
     def pair_bound(self) -> int:
         """How many pairs have one token's bytes as a suffix of the other's."""
         total, sides = 0, (self.a_bytes, self.b_bytes)
