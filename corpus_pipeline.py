@@ -38,8 +38,10 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of what they
-    decode to."""
-    out = bpe.decode_documents(bpe.encode_documents(docs.select("doc_id", "text")).drop("text"))
+    decode to.  Ids are written first: in one stage, every task would hold an
+    encoding and a decoding worker at once."""
+    ids = written(bpe.encode_documents(docs.select("doc_id", "text")).drop("text"), "pipeline-ids")
+    out = bpe.decode_documents(ids)
     return out.select("doc_id", "ids", *bpe.digests(out))
 
 

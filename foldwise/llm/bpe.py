@@ -214,6 +214,10 @@ class Encoder:
             add(self._pieces.get(s) or self.remember(s))
         return out
 
+    def forget(self) -> None:
+        """Drop the memo tables; what the tokenizer needs stays."""
+        self._pairs, self._pieces, self._old, self._border = {}, {}, {}, {}
+
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -288,14 +292,18 @@ def encode_documents(df: DataFrame, text: str = "text", out: str = "ids",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pattern)
-        for b in batches:
-            for part in slices(b, text):
-                flat, ends = array("i"), [0]
-                for t in part.column(text).to_pylist():
-                    flat.extend(enc.encode(t))
-                    ends.append(len(flat))
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], schema.names)
+        try:
+            for b in batches:
+                for part in slices(b, text):
+                    flat, ends = array("i"), [0]
+                    for t in part.column(text).to_pylist():
+                        flat.extend(enc.encode(t))
+                        ends.append(len(flat))
+                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
+                    yield pa.RecordBatch.from_arrays([*part.columns, lists], schema.names)
+        finally:  # a worker that waits for other work keeps the tokenizer only
+            enc.forget()
+            pa.default_memory_pool().release_unused()
 
     return base.mapInArrow(run, schema)
 

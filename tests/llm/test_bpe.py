@@ -73,3 +73,21 @@ def test_query(spark, sf):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest()
+
+
+def test_memo_tables_end_with_the_task(spark):
+    """A worker that waits keeps the tokenizer, not what it has remembered."""
+    ENC.encode("remembered")
+    assert ENC._pieces
+    ENC.forget()
+    assert not (ENC._pieces or ENC._old or ENC._pairs or ENC._border) and ENC.encode("thea in é") == TIK.encode_ordinary("thea in é")
+    docs = spark.createDataFrame([(i, f"zq{i}xv and k{i}w") for i in range(200)], "doc_id long, text string").repartition(4)
+    assert bpe.encode_documents(docs).selectExpr("sum(size(ids))").first()[0] > 600
+
+    def held(batches):
+        import pandas as pd
+        for b in batches:
+            enc = bpe.encoder(bpe.default_path(), bpe.default_pattern())
+            yield pd.DataFrame({"n": [sum("zq" in p for p in [*enc._pieces, *enc._old])]})
+
+    assert spark.range(0, 4, 1, 4).mapInPandas(held, "n long").selectExpr("max(n)").first()[0] == 0
