@@ -66,6 +66,38 @@ def test_knn_strategies_match_brute_force(spark, metric):
         assert got == expect, sizes
 
 
+@pytest.mark.parametrize("p", [1.0, 2.0, 3.0])
+def test_knn_tiles_pass_over_far_leaves(monkeypatch, p):
+    """Same rows as from all distances, ties included, from few of the distances."""
+    rnd = np.random.default_rng(1)
+    X = np.round(np.concatenate([rnd.normal(size=(3000, 4)), rnd.normal(size=(1000, 4)) * 3]), 1)
+    X[100:140] = X[100]
+    Q, k = np.concatenate([X[:500], rnd.normal(size=(300, 4))]), 7
+    D = KN._np_dist(Q, X, p)
+    cols, vals = KN._topk_rows(D, k)
+    expect = {i: list(zip(c, v)) for i, (c, v) in enumerate(zip(cols.tolist(), vals.tolist()))}
+    done, plain = [], KN._np_dist
+    monkeypatch.setattr(KN, "_np_dist", lambda a, b, p: done.append(len(a) * len(b)) or plain(a, b, p))
+    bound = vals[:, -1] * np.where(np.arange(len(Q)) % 2, 1, 0.5)
+    for limit in (None, bound):
+        got = {i: [] for i in range(len(Q))}
+        for i, c, v in zip(*(x.tolist() for x in KN._Tile(X).meet(Q, p, k, limit))):
+            got[i].append((c, v))
+        most = np.inf if limit is None else limit
+        assert {i: sorted(r, key=lambda t: t[::-1]) for i, r in got.items()} == {
+            i: [t for t in r if t[1] <= np.broadcast_to(most, len(Q))[i]] for i, r in expect.items()}
+    assert sum(done) < D.size
+
+
+def test_knn_small_cells_travel_together(spark):
+    """Tiles of a few rows are dealt to tasks in bundles, not one by one."""
+    n2 = fx.n2(spark, SF_SMALL)
+    nb = KN.knn_join(n2, n2, fx.N2_FEATURES, 3, cell_rows=8, tile_rows=4)
+    groups = [x for x in nb._jdf.queryExecution().optimizedPlan().toString().splitlines() if "FlatMapCoGroupsInPandas" in x]
+    assert groups and all("_bundle" in x and "_cell" not in x.split("meet")[0] for x in groups)
+    assert nb.groupBy("qid").count().where("count <> 3").count() == 0
+
+
 def test_knn_hot_points_and_groups(spark):
     """A third of the train rows in one point, few rows in one group, queries far
     outside; all metrics at once against every pair."""
