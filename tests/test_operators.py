@@ -209,3 +209,19 @@ def test_sgd_parts_are_added_in_spark(spark, monkeypatch):
     total = sum(np.frombuffer(r["w"]).reshape(2, 3) for r in out)
     assert np.allclose(total, (w * n[:, None, None]).sum(0), atol=1e-9)
     assert np.allclose(sum(np.frombuffer(r["l"]) for r in out), [20, 190])
+
+
+def test_knn_votes_copy_no_rows(spark):
+    """Votes of every k come from one list a query, null labels and ties included."""
+    rows = [(0, 1, 1, 0.5), (0, 2, 0, 1.0), (0, 3, 0, 1.0), (1, 1, 1, 0.0), (1, 2, 0, 0.1), (1, 3, 0, 0.2), (2, 1, None, 1.0), (2, 2, 1, 1.0), (2, 3, 1, 4.0)]
+    nb = spark.createDataFrame(rows, "qid long, rank int, label int, dist double")
+    out = KN.knn_classify(nb, [1, 2, 3], [])
+    got = {(r.qid, r.k, r.weights): r.pred for r in out.collect()}
+    assert [got[0, k, "uniform"] for k in (1, 2, 3)] == [1, 0, 0] and [got[0, k, "distance"] for k in (1, 2, 3)] == [1, 1, 0]
+    assert [got[1, k, "uniform"] for k in (1, 2, 3)] == [1, 0, 0] and [got[1, k, "distance"] for k in (1, 2, 3)] == [1, 1, 1]
+    assert [got[2, k, "uniform"] for k in (1, 2, 3)] == [None, 1, 1] and [got[2, k, "distance"] for k in (1, 2, 3)] == [None, 1, 1]
+    far = {(r.qid, r.k, r.weights): r.pred for r in KN.knn_regress(nb, [1, 3], []).collect()}
+    assert far[0, 3, "uniform"] == pytest.approx(1 / 3) and far[0, 3, "distance"] == pytest.approx(0.5) and far[1, 3, "distance"] == 1
+    assert far[2, 1, "uniform"] is None and far[2, 1, "distance"] is None and far[2, 3, "uniform"] == 1 and far[2, 3, "distance"] == pytest.approx(1.25 / 2.25)
+    for df in (out, KN.knn_regress(nb, [1, 3], [])):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
