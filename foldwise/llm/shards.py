@@ -100,15 +100,25 @@ def _tokenizer(path: str, pattern: str):
 _LONG = 5000
 
 
+def _unbroken(text: str) -> bool:
+    """Whether ``_LONG`` characters in a row are all white space or all not.  Such a
+    run holds one of the blocks of half its length whole, and few blocks are of one
+    kind: the runs are measured only then."""
+    half = _LONG // 2
+    if all(_SPACE.search(text, k, k + half) and _INK.search(text, k, k + half) for k in range(0, len(text) - half + 1, half)):
+        return False
+    return max(map(len, text.split()), default=_LONG) >= _LONG or max(map(len, _GAP.findall(text)), default=0) >= _LONG
+
+
 def _ids(text: str | None, path: str, pattern: str) -> np.ndarray:
     if not text:
         return np.zeros(0, np.uint32)
-    if len(text) > _LONG and (max(map(len, text.split()), default=_LONG) >= _LONG or max(map(len, _GAP.findall(text)), default=0) >= _LONG):
+    if len(text) > _LONG and _unbroken(text):
         return np.array(bpe.encoder(path, pattern).encode(text), np.uint32)
-    return _tokenizer(path, pattern).encode_to_numpy(text, disallowed_special=())
+    return np.array(_tokenizer(path, pattern).encode_ordinary(text), np.uint32)
 
 
-_GAP = re.compile(r"\s{64,}")
+_GAP, _SPACE, _INK = re.compile(r"\s{64,}"), re.compile(r"\s"), re.compile(r"\S")
 
 
 def _encoded(docs: DataFrame, length: int, kind: str, end: int, path: str, pattern: str) -> DataFrame:

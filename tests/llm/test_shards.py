@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import json
 import random
 from collections import Counter
@@ -70,3 +71,19 @@ def test_op8_query(spark, sf, monkeypatch):
     out = registry.QUERIES["op8_training_order"](spark, sf)
     assert out.count() == made[0]["n_sequences"]
     check(spark, made[0], [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()])
+
+
+def test_long_runs_are_found_from_few_blocks():
+    """As by measuring every run; such texts go to the linear encoder, with equal ids."""
+    rnd, n = random.Random(4), shards._LONG
+    found = set()
+    for _ in range(2000):
+        text = "".join(rnd.choice([" ", "a", " ", "é"]) * rnd.choice([1, 100, n // 2 - 1, n - 2, n - 1, n, n + 1]) for _ in range(rnd.randint(1, 6)))
+        runs = [len(list(g)) for _, g in itertools.groupby(text, str.isspace)]
+        if len(text) > n:
+            found.add(max(runs) >= n)
+            assert shards._unbroken(text) == (max(runs) >= n)
+    assert found == {False, True}
+    path, pattern = bpe.default_path(), bpe.default_pattern()
+    for text in ("<|endoftext|> it's 12  \n\n x", "word " * 2000, "a" * n + " b" * n):
+        assert shards._ids(text, path, pattern).tolist() == bpe.encoder(path, pattern).encode(text)
