@@ -4,11 +4,15 @@ Tokens are the white-space separated words of the text (A-Z lower-cased)
 and one end token.  Two scores come from one pass:
 
 * base: add-one-half unigrams with the counts of all training documents;
-* model: ``P(class | history) * P(token | class)``.  The class softmax sums
-  hashed feature weights of the previous token, the previous two, and the
-  token before the previous one (skip); the second factor is a softmax
-  over the class's tokens with their smoothed log counts as weights.
-  Frequent tokens are a class each, the others share classes by ending.
+* model: ``P(class | history) * P(token | class, history)``.  The class softmax
+  sums hashed feature weights of the previous token, the previous two, and the
+  token before the previous one (skip).  Frequent tokens are a class each, the
+  others share classes by ending.  The tokens of such a class are the leaves of
+  a binary tree, placed by their hashes: every step down is a maximum-entropy
+  choice with the same three features, hashed with the tree's node, beside the
+  log ratio of the counts below.  A tree has about as many leaves as its class
+  has tokens (``DEPTH`` steps at most); tokens that share a leaf, and one unseen
+  token, share its probability by their smoothed counts.
 
 Counts cover all training documents.  Training is one pass of mini-batch
 gradient updates in every task over its own rows, started from the class
@@ -46,6 +50,8 @@ CLASSES, OWN = 32, 16
 #: rows of the weight table, and how many of them travel together
 BUCKETS, BLOCK = 1 << 14, 64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+#: steps of a class's tree at most, weights of the tree's features, tokens of an update
+DEPTH, SLOTS, STEP = 16, 1 << 19, 1 << 13
 END = b""
 
 
@@ -99,8 +105,8 @@ def _signed(h: np.ndarray) -> np.ndarray:
     return h.astype(np.uint64).view(np.int64)
 
 
-def features(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Buckets of the three features of every token, within its own text."""
+def contexts(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the three features of every token, within its own text."""
     first = np.zeros(len(h), bool)
     first[np.cumsum(sizes)[:-1]] = True
     if len(h):
@@ -112,11 +118,70 @@ def features(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     two[first] = 2
     two[second] = 1
 
-    def bucket(x: np.ndarray) -> np.ndarray:
-        x = (x ^ (x >> np.uint64(29))) * _ODD[3]
-        return (x >> np.uint64(64 - 14)).astype(np.uint16)
+    def mixed(x: np.ndarray) -> np.ndarray:
+        return (x ^ (x >> np.uint64(29))) * _ODD[3]
+
+    return np.stack([mixed(one * _ODD[0]), mixed(one * _ODD[0] + two * _ODD[1] + np.uint64(7)), mixed(two * _ODD[2] + np.uint64(3))])
+
 
-    return np.stack([bucket(one * _ODD[0]), bucket(one * _ODD[0] + two * _ODD[1] + np.uint64(7)), bucket(two * _ODD[2] + np.uint64(3))])
+def buckets_of(context: np.ndarray) -> np.ndarray:
+    return (context >> np.uint64(64 - 14)).astype(np.uint16)
+
+
+def features(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Buckets of the three features of every token, within its own text."""
+    return buckets_of(contexts(h, sizes))
+
+
+class Tree:
+    """The trees of all classes by ending, ``depth`` steps each: per inner node the
+    log ratio of the counts below its two sides, per leaf the log10 of its count."""
+
+    def __init__(self, depth: int, mass: np.ndarray):
+        """``mass``: smoothed counts of the leaves, class by class."""
+        self.depth = depth
+        at = mass.reshape(CLASSES - OWN, 1 << depth).astype(np.float64)
+        self.leaf = np.log10(at).astype(np.float32).ravel()
+        self.prior = np.zeros((CLASSES - OWN, 1 << depth), np.float32)
+        for k in range(depth - 1, -1, -1):   # a level's nodes are 2^k .. 2^(k+1)-1
+            self.prior[:, 1 << k:2 << k] = np.log(at[:, 1::2] / at[:, ::2])
+            at = at[:, ::2] + at[:, 1::2]
+        self.prior = self.prior.ravel()
+
+    def leaves(self, h: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        """The leaf of every token of a class by ending."""
+        return (cls - OWN << self.depth) + (h >> np.uint64(64 - self.depth)).astype(np.int64)
+
+    def steps(self, leaf: np.ndarray, context: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(side taken, log odds of the right side, slots of the three features) of
+        every step (rows) to every leaf."""
+        d = self.depth
+        leaf = leaf.astype(np.int32)
+        place = (leaf & (1 << d) - 1) + (1 << d)
+        down = np.arange(d, -1, -1, dtype=np.int32)[:, None]
+        path = place >> down
+        side = (path[1:] & 1).astype(np.float32)
+        node = path[:-1]
+        node += leaf >> d << d
+        mixed = node.view(np.uint32) * np.uint32(0x9E3779B1)
+        low = (context >> np.uint64(18)).astype(np.uint32)
+        slot = np.empty((3, *node.shape), np.int64)
+        z = self.prior.take(node)
+        for k in range(3):
+            x = mixed ^ low[k]
+            x *= np.uint32(0x85EBCA6B)
+            x >>= np.uint32(32 - 19)
+            slot[k] = x
+            z += weights.take(slot[k])
+        return side, np.clip(z, -30, 30, out=z), slot
+
+
+def token_logprob(tree: Tree, weights: np.ndarray, leaf: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """Natural log of the probability of each leaf within its class, given the history."""
+    side, z, _ = tree.steps(leaf, context, weights)
+    z *= 1 - 2 * side
+    # sixteen factors of 1 + e^30 at most
+    return -np.log(np.prod(1 + np.exp(z, out=z), axis=0, dtype=np.float64))
 
 
 class Classes:
@@ -155,8 +220,9 @@ def class_logprob(buckets: np.ndarray, cls: np.ndarray, bias: np.ndarray, weight
 class Trainer:
     """Weights of one task while it runs over its rows (row-wise Adagrad)."""
 
-    def __init__(self, bias: np.ndarray, weights: np.ndarray, rate: float):
+    def __init__(self, bias: np.ndarray, weights: np.ndarray, rate: float, tree: Tree, slots: np.ndarray):
         self.bias, self.weights, self.rate = bias, weights.copy(), rate
+        self.tree, self.slots, self.seen = tree, slots.copy(), np.zeros(SLOTS, np.float32)
         self.square, self.used = np.full(BUCKETS, 1e-6, np.float32), np.zeros(BUCKETS, np.float32)
 
     def update(self, buckets: np.ndarray, cls: np.ndarray) -> None:
@@ -182,13 +248,29 @@ class Trainer:
             self.used[u] += n.astype(np.float32)
 
 
+    def update_tree(self, leaf: np.ndarray, context: np.ndarray) -> None:
+        """One update of the steps to the tokens' leaves, slot by slot (Adagrad)."""
+        side, z, slot = self.tree.steps(leaf, context, self.slots)
+        g = 1 / (1 + np.exp(-z)) - side
+        g, square = g.ravel(), (g * g).ravel()
+        slot = slot.reshape(3, -1)
+        for at in slot:
+            np.add.at(self.seen, at, square)
+        g *= np.float32(self.rate)
+        for at in slot:
+            root = self.seen.take(at)
+            root += 1
+            np.subtract.at(self.slots, at, g / np.sqrt(root, out=root))
+
+
 class Lookup:
     """What the scoring tasks get: hot counts, class sizes and weights."""
 
-    def __init__(self, hash_: np.ndarray, count: np.ndarray, classes: Classes, size: np.ndarray, bias, weights, n: int, v: int):
+    def __init__(self, hash_: np.ndarray, count: np.ndarray, classes: Classes, size: np.ndarray, bias, weights, n: int, v: int, tree: Tree, slots):
         order = np.argsort(hash_)
         self.hash, self.count, self.classes = hash_[order], count[order], classes
         self.size, self.bias, self.weights, self.n, self.v = size, bias, weights, n, v
+        self.tree, self.slots = tree, slots
 
 
 class Model:
@@ -246,28 +328,40 @@ def train(docs: DataFrame, text: str = "text", hot: int = 1_000_000, epochs: int
         mass[r.k] += r.c
     bias = np.log(mass / mass.sum()).astype(np.float32)
     weights = np.zeros((BUCKETS, CLASSES), np.float32)
+    depth = min(DEPTH, max(1, int(np.ceil(np.log2(max(1, v) / (CLASSES - OWN))))))
+    mass = np.full((CLASSES - OWN) << depth, 0.5)
+    # at most 2^(4 + DEPTH) leaves, whatever the vocabulary
+    leaf = F.shiftleft(number - OWN, depth) + F.shiftrightunsigned("h", 64 - depth)
+    part = counts.where(number >= OWN).groupBy(leaf.alias("leaf")).agg(F.sum(F.col("c") + 0.5).alias("m")).toArrow()
+    mass[part.column("leaf").to_numpy()] += part.column("m").to_numpy()
+    tree, slots = Tree(depth, mass), np.zeros(SLOTS, np.float32)
     for _ in range(epochs if n else 0):
-        weights = _epoch(docs, text, classes, bias, weights, rate)
+        weights, slots = _epoch(docs, text, classes, bias, weights, rate, tree, slots)
     table = counts.where(F.col("c") >= least).select("h", "c").toArrow()
-    look = Lookup(table.column("h").to_numpy().view(np.uint64), table.column("c").to_numpy(), classes, size, bias, weights, n, v)
+    look = Lookup(table.column("h").to_numpy().view(np.uint64), table.column("c").to_numpy(), classes, size, bias, weights, n, v, tree, slots)
     return Model(counts, least, look)
 
 
-def _epoch(docs: DataFrame, text: str, classes: Classes, bias, weights, rate: float) -> np.ndarray:
+def _epoch(docs: DataFrame, text: str, classes: Classes, bias, weights, rate: float, tree: Tree, slots) -> tuple[np.ndarray, np.ndarray]:
     """One pass of updates over all training texts; the tasks' weights, averaged
-    by use, come back in blocks (the table's size is a constant)."""
+    by use, come back in blocks (the tables' sizes are constants)."""
     from foldwise.llm.bpe import slices
-    sent = docs.sparkSession.sparkContext.broadcast((classes, bias, weights, rate))
+    sent = docs.sparkSession.sparkContext.broadcast((classes, bias, weights, rate, tree, slots))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, bias, weights, rate = sent.value
-        seen, trainer = Hashes(), Trainer(bias, weights, rate)
+        classes, bias, weights, rate, tree, slots = sent.value
+        seen, trainer = Hashes(), Trainer(bias, weights, rate, tree, slots)
         for b in batches:
             for part in slices(b, "_text", 2 << 20):
                 h, ending, sizes = seen.read(part.column("_text").to_pylist())
-                f, c = features(h, sizes), classes.of(h, ending)
-                for i in range(0, len(h), 1 << 13):
-                    trainer.update(f[:, i:i + (1 << 13)], c[i:i + (1 << 13)])
+                x, c = contexts(h, sizes), classes.of(h, ending)
+                f = buckets_of(x)
+                for i in range(0, len(h), STEP):
+                    trainer.update(f[:, i:i + STEP], c[i:i + STEP])
+                tail = np.flatnonzero(c >= OWN)
+                leaf = tree.leaves(h[tail], c[tail])
+                for i in range(0, len(tail), STEP):
+                    trainer.update_tree(leaf[i:i + STEP], x[:, tail[i:i + STEP]])
         key, data, used = [], [], []
         for k in range(0, BUCKETS, BLOCK):
             n = trainer.used[k:k + BLOCK]
@@ -275,12 +369,24 @@ def _epoch(docs: DataFrame, text: str, classes: Classes, bias, weights, rate: fl
                 key.append(k)
                 data.append((trainer.weights[k:k + BLOCK] * n[:, None]).tobytes())
                 used.append(n.tobytes())
+        # the tree's weights follow as keys from BUCKETS on, in half precision
+        for k in range(0, SLOTS, BLOCK * CLASSES):
+            n = np.minimum(trainer.seen[k:k + BLOCK * CLASSES], 60_000).astype(np.float16)
+            if n.any():
+                key.append(BUCKETS + k)
+                data.append(trainer.slots[k:k + BLOCK * CLASSES].astype(np.float16).tobytes())
+                used.append(n.tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(key, pa.int32()), pa.array(data, pa.binary()), pa.array(used, pa.binary())], ["k", "w", "n"])
 
     def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, n = np.zeros(BLOCK * CLASSES), np.zeros(BLOCK)
+        w, n = np.zeros(BLOCK * CLASSES), np.zeros(BLOCK if key[0].as_py() < BUCKETS else BLOCK * CLASSES)
         for b in batches:
             for x, y in zip(b.column("w").to_pylist(), b.column("n").to_pylist()):
+                if len(x) == 2 * len(w):
+                    often = np.frombuffer(y, np.float16).astype(np.float32)
+                    w += np.frombuffer(x, np.float16) * often
+                    n += often
+                    continue
                 w += np.frombuffer(x, np.float32)
                 n += np.frombuffer(y, np.float32)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([w.astype(np.float32).tobytes()], pa.binary()),
@@ -291,12 +397,16 @@ def _epoch(docs: DataFrame, text: str, classes: Classes, bias, weights, rate: fl
     rows = (docs.select(F.col(text).alias("_text")).mapInArrow(run, shape)
             .groupBy("k", F.pmod(F.spark_partition_id(), F.lit(32)).alias("s")).applyInArrow(add, shape)
             .groupBy("k").applyInArrow(add, shape).collect())
-    out = weights.copy()
+    out, slots = weights.copy(), slots.copy()
     for r in rows:
         n = np.frombuffer(bytes(r.n), np.float32)
+        if r.k >= BUCKETS:
+            at, w = r.k - BUCKETS, np.frombuffer(bytes(r.w), np.float32)
+            slots[at:at + len(n)][n > 0] = w[n > 0] / n[n > 0]
+            continue
         mean = np.frombuffer(bytes(r.w), np.float32).reshape(BLOCK, CLASSES) / np.maximum(n, 1)[:, None]
         out[r.k:r.k + BLOCK][n > 0] = mean[n > 0]
-    return out
+    return out, slots
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -322,12 +432,17 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
         for b in batches:
             for part in slices(b, "_text", 2 << 20):
                 h, ending, sizes = seen.read(part.column("_text").to_pylist())
-                f, c = features(h, sizes), m.classes.of(h, ending)
+                x, c = contexts(h, sizes), m.classes.of(h, ending)
+                f = buckets_of(x)
                 cls = np.empty(len(h))
-                for i in range(0, len(h), 1 << 13):
-                    k = c[i:i + (1 << 13)]
-                    cls[i:i + (1 << 13)] = class_logprob(f[:, i:i + (1 << 13)], k, m.bias, m.weights) / np.log(10)
-                cls -= log_size[c]
+                for i in range(0, len(h), STEP):
+                    cls[i:i + STEP] = class_logprob(f[:, i:i + STEP], c[i:i + STEP], m.bias, m.weights) / np.log(10)
+                tail = np.flatnonzero(c >= OWN)
+                leaf = m.tree.leaves(h[tail], c[tail])
+                for i in range(0, len(tail), STEP):
+                    cls[tail[i:i + STEP]] += token_logprob(m.tree, m.slots, leaf[i:i + STEP], x[:, tail[i:i + STEP]]) / np.log(10)
+                cls[tail] -= m.tree.leaf[leaf]
+                cls[c < OWN] -= log_size[c[c < OWN]]
                 at = np.minimum(np.searchsorted(m.hash, h), max(0, len(m.hash) - 1))
                 known = m.hash[at] == h if len(m.hash) else np.zeros(len(h), bool)
                 logs = np.where(known, np.log10(m.count[at] + 0.5), 0.0) if len(m.hash) else np.zeros(len(h))

@@ -117,3 +117,22 @@ def test_lm_score_columns_of_any_name(spark):
     assert out.columns == ["doc_id", "text", "a.b", "_row", "_cold", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     r = out.first()
     assert (r["a.b"], r["_row"], r["_cold"], r.n_tokens, r.n_known) == ("x", "y", "z", 4, 4)
+
+
+def test_lm_tokens_of_a_class_see_their_context(spark):
+    """The leaves of a class's tree share its probability under every history, and a
+    rare token that always follows the same word is likelier there than elsewhere."""
+    rnd = random.Random(8)
+    rare = [f"q{i}zz" for i in range(40)]   # one ending: one class
+    texts = [" ".join(f"p{k} {rare[k]}" for k in rnd.choices(range(40), k=30)) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    model = lm.train(docs)
+    m = model.lookup
+    k = lm.OWN + lm.token_hash(b"zz") % (lm.CLASSES - lm.OWN)
+    at = (k - lm.OWN << m.tree.depth) + np.arange(1 << m.tree.depth)
+    for seed in range(3):
+        x = np.random.default_rng(seed).integers(0, 1 << 63, (3, 1), np.uint64).repeat(len(at), 1)
+        assert abs(np.exp(lm.token_logprob(m.tree, m.slots, at, x)).sum() - 1) < 1e-4
+    pairs = [(0, " ".join(f"p{k} {rare[k]}" for k in range(20, 40))), (1, " ".join(f"p{k} {rare[59 - k]}" for k in range(20, 40)))]
+    got = {r.doc_id: r for r in lm.score(spark.createDataFrame(pairs, "doc_id long, text string"), model).collect()}
+    assert math.isclose(got[0].base_score, got[1].base_score) and got[0].score > got[1].score + 5
