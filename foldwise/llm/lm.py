@@ -222,7 +222,9 @@ class Trainer:
 
     def __init__(self, bias: np.ndarray, weights: np.ndarray, rate: float, tree: Tree, slots: np.ndarray):
         self.bias, self.weights, self.rate = bias, weights.copy(), rate
-        self.tree, self.slots, self.seen = tree, slots.copy(), np.zeros(SLOTS, np.float32)
+        # a copy would keep the unpickled dtype object, for which ufunc.at takes its slow path
+        self.tree, self.slots, self.seen = tree, np.zeros(len(slots), np.float32), np.zeros(SLOTS, np.float32)
+        self.slots[:] = slots
         self.square, self.used = np.full(BUCKETS, 1e-6, np.float32), np.zeros(BUCKETS, np.float32)
 
     def update(self, buckets: np.ndarray, cls: np.ndarray) -> None:

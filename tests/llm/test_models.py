@@ -136,3 +136,12 @@ def test_lm_tokens_of_a_class_see_their_context(spark):
     pairs = [(0, " ".join(f"p{k} {rare[k]}" for k in range(20, 40))), (1, " ".join(f"p{k} {rare[59 - k]}" for k in range(20, 40)))]
     got = {r.doc_id: r for r in lm.score(spark.createDataFrame(pairs, "doc_id long, text string"), model).collect()}
     assert math.isclose(got[0].base_score, got[1].base_score) and got[0].score > got[1].score + 5
+
+
+def test_trainer_starts_with_plain_arrays():
+    """ufunc.at leaves its fast path for the dtype object of an unpickled array."""
+    import pickle
+    tree, slots = pickle.loads(pickle.dumps((lm.Tree(1, np.ones((lm.CLASSES - lm.OWN) << 1)), np.full(lm.SLOTS, 0.5, np.float32))))
+    t = lm.Trainer(np.zeros(lm.CLASSES, np.float32), np.zeros((lm.BUCKETS, lm.CLASSES), np.float32), 0.1, tree, slots)
+    assert t.slots.dtype is np.dtype(np.float32) and t.seen.dtype is np.dtype(np.float32)
+    assert (t.slots == slots).all() and t.slots is not slots
