@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +61,17 @@ def tokens(text: str | None) -> list[bytes]:
     return out
 
 
+def words(texts) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """(words of all texts in a row as numbers of distinct ones, tokens per text with
+    the end): :func:`tokens` of many texts at once."""
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat, at = lists.values, lists.offsets.to_numpy()
+    full = pc.greater(pc.binary_length(flat), 0)   # spaces at a text's ends leave empty strings
+    count = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])[at]
+    return flat.filter(full).dictionary_encode(), np.diff(count) + 1
+
+
 def token_hash(token: bytes) -> int:
     return xxhash.xxh64_intdigest(token)
 
@@ -72,33 +83,60 @@ class Hashes(dict):
         super().__init__()
         self.hash, self.ending = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.new: list[bytes] = []
-
-    def __missing__(self, token: bytes) -> int:
-        self[token] = k = len(self)
-        self.new.append(token)
-        return k
+        self.by_end: dict[bytes, int] = {}
 
     def settle(self) -> None:
         """Bring the arrays up to the tokens numbered since the last call."""
         if self.new:
             h = np.array([token_hash(t) for t in self.new], np.uint64)
-            e = np.array([token_hash(t[-2:]) % (CLASSES - OWN) for t in self.new], np.int64) + OWN
+            ends = [t[-2:] for t in self.new]
+            for t in set(ends) - self.by_end.keys():   # two bytes: 65,793 endings at most
+                self.by_end[t] = token_hash(t) % (CLASSES - OWN)
+            e = np.fromiter(map(self.by_end.__getitem__, ends), np.int64, len(ends)) + OWN
             self.hash, self.ending = np.concatenate([self.hash, h]), np.concatenate([self.ending, e])
             self.new = []
 
-    def read(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(hash, class by ending, tokens per text) of all tokens in a row."""
+    def numbers(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """(number of every token in a row, tokens per text)."""
         if len(self) > _CACHE:
             self.clear()
             self.hash, self.ending = self.hash[:0], self.ending[:0]
-        ids, sizes = [], []
-        for t in texts:
-            toks = tokens(t)
-            ids.extend(map(self.__getitem__, toks))
-            sizes.append(len(toks))
+        found, sizes = words(texts)
+        own = [*found.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist(), END]
+        self.new = [t for t in own if t not in self]
+        self.update(zip(self.new, range(len(self), len(self) + len(self.new))))
+        number = np.fromiter(map(self.__getitem__, own), np.int64, len(own))
+        out, inner = np.full(sizes.sum(), number[-1]), np.ones(sizes.sum(), bool)
+        inner[np.cumsum(sizes) - 1] = False
+        out[inner] = number[found.indices.to_numpy()]
         self.settle()
-        k = np.fromiter(ids, np.int64, len(ids))
-        return self.hash[k], self.ending[k], np.array(sizes, np.int64)
+        return out, sizes
+
+    def read(self, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, class by ending, tokens per text) of all tokens in a row."""
+        k, sizes = self.numbers(texts)
+        return self.hash[k], self.ending[k], sizes
+
+
+class Counted(Hashes):
+    """Also whether a token is hot, and the log10 of its count, found once a number."""
+
+    def __init__(self, hash_: np.ndarray, count: np.ndarray):
+        super().__init__()
+        self.hot, self.count = hash_, count
+        self.known, self.logs = np.zeros(0, bool), np.zeros(0)
+
+    def settle(self) -> None:
+        begin = len(self.hash)
+        super().settle()
+        h = self.hash[begin:]
+        known, logs = np.zeros(len(h), bool), np.zeros(len(h))
+        if len(self.hot):
+            at = np.minimum(np.searchsorted(self.hot, h), len(self.hot) - 1)
+            known = self.hot[at] == h
+            logs = np.where(known, np.log10(self.count[at] + 0.5), 0.0)
+        # the arrays by number start again whenever the numbers do
+        self.known, self.logs = np.concatenate([self.known[:begin], known]), np.concatenate([self.logs[:begin], logs])
 
 
 def _signed(h: np.ndarray) -> np.ndarray:
@@ -180,8 +218,10 @@ def token_logprob(tree: Tree, weights: np.ndarray, leaf: np.ndarray, context: np
     """Natural log of the probability of each leaf within its class, given the history."""
     side, z, _ = tree.steps(leaf, context, weights)
     z *= 1 - 2 * side
+    np.exp(z, out=z)
+    z += 1
     # sixteen factors of 1 + e^30 at most
-    return -np.log(np.prod(1 + np.exp(z, out=z), axis=0, dtype=np.float64))
+    return -np.log(np.prod(z, axis=0, dtype=np.float64))
 
 
 class Classes:
@@ -203,9 +243,9 @@ _ONES = np.ones(CLASSES, np.float32)
 
 def class_scores(buckets: np.ndarray, bias: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Summed weights of every class, kept within -60 and 60."""
-    z = weights[buckets[0]]
-    z += weights[buckets[1]]
-    z += weights[buckets[2]]
+    z = weights.take(buckets[0], axis=0)
+    z += weights.take(buckets[1], axis=0)
+    z += weights.take(buckets[2], axis=0)
     z += bias
     return np.clip(z, -60, 60, out=z)
 
@@ -239,12 +279,12 @@ class Trainer:
             n = np.diff(np.append(begin, len(keys)))
             u = keys[begin].astype(np.int64)
             # sums per bucket; most have one or two tokens and need no reduction
-            total = g[order[begin]]
+            total = g.take(order.take(begin), axis=0)
             two = np.flatnonzero(n == 2)
-            total[two] += g[order[begin[two] + 1]]
+            total[two] += g.take(order.take(begin[two] + 1), axis=0)
             many = np.flatnonzero(n > 2)
             if len(many):
-                total[many] = np.add.reduceat(g[order[np.repeat(n > 2, n)]], np.cumsum(n[many]) - n[many], axis=0)
+                total[many] = np.add.reduceat(g.take(order[np.repeat(n > 2, n)], axis=0), np.cumsum(n[many]) - n[many], axis=0)
             self.square[u] += np.einsum("ij,ij->i", total, total)
             self.weights[u] -= (self.rate / np.sqrt(self.square[u]))[:, None] * total
             self.used[u] += n.astype(np.float32)
@@ -298,10 +338,7 @@ def token_counts(docs: DataFrame, text: str) -> DataFrame:
                 if len(seen) > _CACHE:
                     yield emit()
                     seen, total = Hashes(), np.zeros(0, np.int64)
-                ids = []
-                for t in part.column("_text").to_pylist():
-                    ids.extend(map(seen.__getitem__, tokens(t)))
-                n = np.bincount(np.fromiter(ids, np.int64, len(ids)), minlength=len(seen))
+                n = np.bincount(seen.numbers(part.column("_text"))[0], minlength=len(seen))
                 n[:len(total)] += total
                 total = n
         if len(seen):
@@ -355,7 +392,7 @@ def _epoch(docs: DataFrame, text: str, classes: Classes, bias, weights, rate: fl
         seen, trainer = Hashes(), Trainer(bias, weights, rate, tree, slots)
         for b in batches:
             for part in slices(b, "_text", 2 << 20):
-                h, ending, sizes = seen.read(part.column("_text").to_pylist())
+                h, ending, sizes = seen.read(part.column("_text"))
                 x, c = contexts(h, sizes), classes.of(h, ending)
                 f = buckets_of(x)
                 for i in range(0, len(h), STEP):
@@ -429,12 +466,13 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
                           + [T.StructField(c, T.DoubleType()) for c in ("_log", "_class")] + [T.StructField("_cold", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, seen = sent.value, Hashes()
-        log_size = np.log10(m.size)
+        m = sent.value
+        seen, log_size = Counted(m.hash, m.count), np.log10(m.size)
         for b in batches:
             for part in slices(b, "_text", 2 << 20):
-                h, ending, sizes = seen.read(part.column("_text").to_pylist())
-                x, c = contexts(h, sizes), m.classes.of(h, ending)
+                number, sizes = seen.numbers(part.column("_text"))
+                h = seen.hash[number]
+                x, c = contexts(h, sizes), m.classes.of(h, seen.ending[number])
                 f = buckets_of(x)
                 cls = np.empty(len(h))
                 for i in range(0, len(h), STEP):
@@ -445,9 +483,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
                     cls[tail[i:i + STEP]] += token_logprob(m.tree, m.slots, leaf[i:i + STEP], x[:, tail[i:i + STEP]]) / np.log(10)
                 cls[tail] -= m.tree.leaf[leaf]
                 cls[c < OWN] -= log_size[c[c < OWN]]
-                at = np.minimum(np.searchsorted(m.hash, h), max(0, len(m.hash) - 1))
-                known = m.hash[at] == h if len(m.hash) else np.zeros(len(h), bool)
-                logs = np.where(known, np.log10(m.count[at] + 0.5), 0.0) if len(m.hash) else np.zeros(len(h))
+                known, logs = seen.known[number], seen.logs[number]
                 begin = np.cumsum(sizes) - sizes
                 cold = pa.array(_signed(h[~known]))
                 ends = np.concatenate([[0], np.cumsum(np.add.reduceat((~known).astype(np.int64), begin))])

@@ -145,3 +145,19 @@ def test_trainer_starts_with_plain_arrays():
     t = lm.Trainer(np.zeros(lm.CLASSES, np.float32), np.zeros((lm.BUCKETS, lm.CLASSES), np.float32), 0.1, tree, slots)
     assert t.slots.dtype is np.dtype(np.float32) and t.seen.dtype is np.dtype(np.float32)
     assert (t.slots == slots).all() and t.slots is not slots
+
+
+def test_lm_words_of_many_texts_at_once():
+    """Arrow's split equals that of one text, the end token included."""
+    chars = [chr(i) for i in range(0x180)] + [" ", "　", "\U0001f600", "\xa0"] + [" "] * 60 + list("abZ") * 30
+    rng = np.random.default_rng(2)
+    texts = [None, "", " ", "\n\t", "a ", " a", *("".join(rng.choice(chars, 50)) for _ in range(300))]
+    seen = lm.Counted(np.sort(np.array([lm.token_hash(b"a"), lm.token_hash(b"")], np.uint64)), np.array([3, 4]))
+    for part in (texts[:100], texts[100:], []):
+        want = [lm.tokens(t) for t in part]
+        number, sizes = seen.numbers(part)
+        flat = [t for w in want for t in w]
+        assert sizes.tolist() == [len(w) for w in want]
+        assert seen.hash[number].tolist() == [lm.token_hash(t) for t in flat]
+        assert seen.ending[number].tolist() == [lm.token_hash(t[-2:]) % (lm.CLASSES - lm.OWN) + lm.OWN for t in flat]
+        assert seen.known[number].tolist() == [t in (b"a", b"") for t in flat]
